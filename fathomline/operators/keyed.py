@@ -53,7 +53,7 @@ def duplicate_of_first(
     first = (
         seen.where(F.col(hash_col).isNotNull())
         .groupBy(hash_col)
-        .agg(F.min(F.struct(*order, *ref)).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+        .agg(F.min(F.struct(*dict.fromkeys([*order, *ref]))).alias("_first"), F.count(F.lit(1)).alias("_copies"))
         .where(F.col("_copies") > 1)
     )
     first = first.select(hash_col, F.struct(*[F.col(f"_first.{r}") for r in ref]).alias("_primary"), "_copies")

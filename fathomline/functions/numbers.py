@@ -34,11 +34,11 @@ def safe_ratio(num: Column, den: Column) -> Column:
 def money_scale(currency: Column, unit: Column) -> Column:
     """Divisor that brings an amount to the display unit of its currency.
 
-    Fixed values: whole units of TWD, JPY, KRW and CNY are shown in 100 millions,
-    other currencies in millions; amounts already in millions or thousands only
-    need the rest.
+    Fixed values: TWD, JPY, KRW, CNY and HKD are shown in 100 millions, USD and
+    other currencies in millions; amounts already in thousands or millions need
+    the smaller rest.
     """
-    target = F.when(F.upper(currency).isin("TWD", "JPY", "KRW", "CNY"), F.lit(1e8)).otherwise(F.lit(1e6))
+    target = F.when(F.upper(currency).isin("TWD", "JPY", "KRW", "CNY", "HKD"), F.lit(1e8)).otherwise(F.lit(1e6))
     have = (
         F.when(F.lower(unit) == "million", F.lit(1e6))
         .when(F.lower(unit) == "thousand", F.lit(1e3))

@@ -28,12 +28,17 @@ def html_elements(t):
                                             F.countDistinct("page_id").alias("pages"))
 
 
-@query()
+@query("""
+SELECT page_id, '|  | Amount | Share |' || chr(10) || '|---|---|---|' || chr(10) || '| ' || url || ' | $' || page_id || ' | (' || length(url) || ')% |' AS content FROM pages
+""")
 def html_tables(t):
-    """Outermost tables as markdown."""
-    rows = markup.element_rows(t.pages, "page_id", "html")
-    return rows.where("element_type = 'table'").select(
-        "page_id", "element_id", F.size(F.split("content", "\n")).alias("n_lines"), F.sha1("content").alias("table_hash"))
+    """Outermost tables as markdown: spanning headers, split currency and percent cells, empty rows and columns."""
+    table = F.concat(
+        F.lit("<table><tr><th></th><th colspan='2'>Amount</th><th></th><th colspan=\"3\">Share</th></tr><tr><td> </td></tr><tr><td>"),
+        F.regexp_replace("url", "&", "&amp;"), F.lit("</td><td>$</td><td>"), F.col("page_id").cast("string"), F.lit("</td><td></td><td>(</td><td><table><tr><td>"),
+        F.length("url").cast("string"), F.lit("</td></tr></table></td><td>)%</td></tr></table>"))
+    rows = markup.element_rows(t.pages.select("page_id", F.concat("html", table).alias("html")), "page_id", "html")
+    return rows.where("element_type = 'table'").select("page_id", "content")
 
 
 @query()
@@ -46,8 +51,7 @@ def document_text(t):
 @query()
 def document_elements(t):
     rows = markup.document_elements(page_payloads(t), "page_id")
-    return rows.select("page_id", "element_id", "seq", "page_id", "element_type", F.sha1("content").alias("content_hash")).toDF(
-        "page_id", "element_id", "seq", "page_id2", "element_type", "content_hash").drop("page_id2")
+    return rows.select(F.col("doc_key").alias("doc_page"), "element_id", "seq", "element_type", F.sha1("content").alias("content_hash"))
 
 
 @query("""
@@ -219,7 +223,7 @@ def parse_sender(t):
 
 
 @query(r"""
-SELECT doc_id, NULLIF(trim(regexp_replace(string_split(text, chr(10))[1], '\s+', ' ', 'g')), '') AS subject FROM documents
+SELECT doc_id, NULLIF(regexp_replace(trim(regexp_replace(string_split(text, chr(10))[1], '\s+', ' ', 'g')), '(?i)^(\s*(fwd|fw|re)\s*([:：]|\s)\s*)+', ''), '') AS subject FROM documents
 """)
 def subject_clean(t):
     return t.documents.select("doc_id", tx.subject_clean(F.concat(F.lit("FW: Re:  回覆： "), F.substring_index("text", "\n", 1))).alias("subject"))
@@ -283,7 +287,7 @@ def sensitivity(t):
 WITH r AS (SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'Maker ' || c_mktsegment || ' Ltd.' WHEN c_mktsegment = 'FURNITURE' THEN lower(n_name) ELSE 'x ' || n_name || ', group' END AS raw FROM customer JOIN nation ON c_nationkey = n_nationkey),
 a AS (SELECT lower(regexp_replace(n_name, '[\p{P}\p{Z}\p{C}]', '', 'g')) AS k, n_name AS entity FROM nation WHERE n_nationkey <> 5),
 k AS (SELECT *, lower(regexp_replace(raw, '[\p{P}\p{Z}\p{C}]', '', 'g')) AS nk FROM r)
-SELECT c_custkey, (SELECT arg_max(entity, CASE WHEN a.k = k.nk THEN 1000 ELSE length(a.k) END) FROM a WHERE contains(k.nk, a.k)) AS entity FROM k
+SELECT c_custkey, (SELECT arg_max(entity, CASE WHEN a.k = r2.nk THEN 1000 ELSE length(a.k) END) FROM a WHERE contains(r2.nk, a.k)) AS entity FROM k r2
 """)
 def alias_match(t):
     nat = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
@@ -297,13 +301,14 @@ def alias_match(t):
 @query(r"""
 WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
 q AS (SELECT doc_id, text, ls[1] AS a, ls[-1] AS b, len(ls) AS n FROM l)
-SELECT doc_id, n > 1 AS several, contains(lower(regexp_replace(text, '[\p{P}\p{S}\p{Z}\p{C}]', '', 'g')), lower(regexp_replace(upper(a), '[\p{P}\p{S}\p{Z}\p{C}]', '', 'g')))
+SELECT doc_id, n > 1 AS several, contains(lower(regexp_replace(text, '[\p{P}\p{S}\p{Z}\p{C}]', '', 'g')), lower(regexp_replace(a, '[\p{P}\p{S}\p{Z}\p{C}]', '', 'g')))
   AND regexp_replace(a, '[\p{P}\p{S}\p{Z}\p{C}]', '', 'g') <> '' AS loose, false AS wrong FROM q
 """)
 def quote_in_text(t):
     """Quotes of a document checked against its own text: re-cased and re-punctuated, and a text it lacks."""
     first, last = F.substring_index("text", "\n", 1), F.substring_index("text", "\n", -1)
-    quote = F.concat(F.lit("** "), F.upper(first), F.lit(" !"))
+    recased = F.translate(first, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    quote = F.concat(F.lit("** "), recased, F.lit(" !"))
     rows = t.documents.select("doc_id", "text", (F.size(F.split("text", "\n")) > 1).alias("several"), quote.alias("q"),
                               F.concat(last, F.lit(" … zqx zqx zqx")).alias("w"))
     return rows.select("doc_id", "several", tx.quote_in_text(F.col("q"), F.col("text")).alias("loose"),
@@ -409,7 +414,7 @@ def email_domains(t):
 
 @query("""
 WITH p AS (SELECT a.conv_id, a.turn FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn - 1)
-SELECT conv_id * 1000 + turn AS pk_seq, CAST(DATE '2024-01-01' + CAST(conv_id % 28 AS INTEGER) AS TIMESTAMP) + INTERVAL 15 HOUR + to_minutes(CAST((turn - 1) % 10 AS INTEGER)) AS sent_ts,
+SELECT conv_id * 1000 + turn AS pk_seq, CAST(DATE '2024-01-01' + CAST(conv_id % 28 AS INTEGER) AS TIMESTAMP) + INTERVAL 15 HOUR + to_minutes(CAST(turn % 10 AS INTEGER)) AS sent_ts,
   'en' AS sent_kind FROM p
 """)
 def sent_values(t):

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from fathomline.functions.binding import let
+
 
 def month_key(c: Column) -> Column:
     """yyyy-MM"""
@@ -82,29 +84,31 @@ def mail_datetime(text: Column) -> Column:
     en = r"(?i)(January|February|March|April|May|June|July|August|September|October|November|December)" \
          r" (\d{1,2}), ?(\d{4})(?: (\d{1,2}):(\d{2})(?::\d{2})? ?([AP]M)?)?"
     zh = r"(\d{4})年(\d{1,2})月(\d{1,2})日(?:[^\d]{0,12}?(上午|下午)? ?(\d{1,2}):(\d{2}))?"
-    def part(pattern, i):
-        return F.regexp_extract(t, pattern, i)
 
     def stamp(y, mo, d, h, mi, half):
         hour = F.coalesce(h.try_cast("int"), F.lit(0))
         hour = F.when((half == "PM") & (hour < 12), hour + 12).when((half == "AM") & (hour == 12), F.lit(0)).otherwise(hour)
-        text_form = F.concat_ws(
-            "-", y, F.lpad(mo, 2, "0"), F.lpad(d, 2, "0")
-        )
         full = F.concat(
-            text_form, F.lit(" "), F.lpad(hour.cast("string"), 2, "0"), F.lit(":"),
-            F.when(mi == "", F.lit("00")).otherwise(mi),
+            y, F.lit("-"), F.lpad(mo, 2, "0"), F.lit("-"), F.lpad(d, 2, "0"), F.lit(" "),
+            F.lpad(hour.cast("string"), 2, "0"), F.lit(":"), F.when(mi == "", F.lit("00")).otherwise(mi),
         )
         return full.try_cast("timestamp_ntz")
 
     names = ["january", "february", "march", "april", "may", "june", "july", "august",
              "september", "october", "november", "december"]
-    month = F.array_position(F.array(*[F.lit(n) for n in names]), F.lower(part(en, 1))).cast("string")
-    half_zh = F.when(part(zh, 4) == "下午", F.lit("PM")).otherwise(F.lit(""))
-    return (
-        F.when(t.rlike(en), stamp(part(en, 3), month, part(en, 2), part(en, 4), part(en, 5), F.upper(part(en, 6))))
-        .when(t.rlike(zh), stamp(part(zh, 1), part(zh, 2), part(zh, 3), part(zh, 5), part(zh, 6), half_zh))
-    )
+
+    def parsed(t):
+        def part(pattern, i):
+            return F.regexp_extract(t, pattern, i)
+
+        month = F.array_position(F.array(*[F.lit(n) for n in names]), F.lower(part(en, 1))).cast("string")
+        half_zh = F.when(part(zh, 4) == "下午", F.lit("PM")).otherwise(F.lit(""))
+        return (
+            F.when(t.rlike(en), stamp(part(en, 3), month, part(en, 2), part(en, 4), part(en, 5), F.upper(part(en, 6))))
+            .when(t.rlike(zh), stamp(part(zh, 1), part(zh, 2), part(zh, 3), part(zh, 5), part(zh, 6), half_zh))
+        )
+
+    return let(F.regexp_replace(F.trim(text), r"[\s\u00a0]+", " "), parsed)
 
 
 def inferred_date(month: Column, day: Column, anchor: Column) -> Column:

@@ -254,6 +254,6 @@ def parse_results(docs: DataFrame, key: str) -> DataFrame:
 
 def document_elements(docs: DataFrame, key: str) -> DataFrame:
     """One row per element of a payload; the id is the given one, else the position."""
-    items = docs.select(key, F.posexplode(F.from_json("payload", PAYLOAD)["document"]["elements"]).alias("seq", "e"))
-    return items.select(key, F.coalesce("e.id", "seq").alias("element_id"), "seq", F.col("e.page_id").alias("page_id"),
+    items = docs.select(F.col(key).alias("_doc"), F.posexplode(F.from_json("payload", PAYLOAD)["document"]["elements"]).alias("seq", "e"))
+    return items.select(F.col("_doc").alias("doc_key"), F.coalesce("e.id", "seq").alias("element_id"), "seq", F.col("e.page_id").alias("page_id"),
                         F.col("e.type").alias("element_type"), F.col("e.content").alias("content"))

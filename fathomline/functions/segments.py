@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from fathomline.functions import text as tx
+from fathomline.functions.binding import let
 
 # Header keys; the last key of a block ends at its line, or at a blank line.
 KEYS = ("From", "Sent", "To", "Cc", "Bcc", "Subject", "When", "Where")
@@ -24,21 +25,27 @@ def field(block: Column, name: str) -> Column:
     It runs to the next marker; the last value runs to its line end, or for address
     lists and times to the first blank line.
     """
-    inner = F.regexp_extract(block, rf"(?s){_mark(name)}(.*?)(?={_mark(ANY)})", 1)
     tail_rule = r"([^\n]*)" if name in LINE_KEYS.split("|") else r"((?s:.*?))(?=\n[ \t]*\n|\z)"
-    tail = F.regexp_extract(block, _mark(name) + tail_rule, 1)
-    has_next = block.rlike(rf"(?s){_mark(name)}.*?{_mark(ANY)}")
-    return F.when(block.rlike(_mark(name)), tx.squeeze(F.when(has_next, inner).otherwise(tail)))
+
+    def value(b):
+        inner = F.regexp_extract(b, rf"(?s){_mark(name)}(.*?)(?={_mark(ANY)})", 1)
+        tail = F.regexp_extract(b, _mark(name) + tail_rule, 1)
+        has_next = b.rlike(rf"(?s){_mark(name)}.*?{_mark(ANY)}")
+        return F.when(b.rlike(_mark(name)), tx.squeeze(F.when(has_next, inner).otherwise(tail)))
+
+    return let(block, value)
 
 
 def header_length(block: Column) -> Column:
     """Characters of a block up to the end of its last header value."""
-    by_line = F.length(F.regexp_extract(block, rf"(?s)^(.*{_mark(LINE_KEYS)}[^\n]*)", 1))
-    by_para = F.length(F.regexp_extract(block, rf"(?s)^(.*{_mark('To|Cc|Bcc|When')}.*?)(?:\n[ \t]*\n|\z)", 1))
-    last = F.regexp_extract(block, rf"(?s)^.*(?:\*\*({ANY}):\*\*|(?m:^)[ \t]*({ANY}):)", 1)
-    last2 = F.regexp_extract(block, rf"(?s)^.*(?:\*\*({ANY}):\*\*|(?m:^)[ \t]*({ANY}):)", 2)
-    key = F.concat(last, last2)
-    return F.when(key.rlike(f"^(?:{LINE_KEYS})$"), by_line).otherwise(by_para)
+    def size(b):
+        by_line = F.length(F.regexp_extract(b, rf"(?s)^(.*{_mark(LINE_KEYS)}[^\n]*)", 1))
+        by_para = F.length(F.regexp_extract(b, rf"(?s)^(.*{_mark('To|Cc|Bcc|When')}.*?)(?:\n[ \t]*\n|\z)", 1))
+        marker = rf"(?s)^.*(?:\*\*({ANY}):\*\*|(?m:^)[ \t]*({ANY}):)"
+        key = F.concat(F.regexp_extract(b, marker, 1), F.regexp_extract(b, marker, 2))
+        return F.when(key.rlike(f"^(?:{LINE_KEYS})$"), by_line).otherwise(by_para)
+
+    return let(block, size)
 
 
 def pieces(text: Column) -> Column:
@@ -111,16 +118,17 @@ def mask_dictionary(text: Column, entries: Column) -> Column:
         bounded = F.when(loose, F.concat(F.lit("(?i:"), ascii_form, F.lit(")"))).otherwise(ascii_form)
         return F.when(e["name"].rlike(r"^\p{ASCII}+$"), bounded).otherwise(quoted)
 
-    alternation = F.concat(F.lit("("), F.array_join(F.transform(ordered, pattern), "|"), F.lit(")"))
-    # hits are fenced by a control character, so the odd pieces are the hits
-    marked = F.regexp_replace(text, alternation, F.lit("\u0001$1\u0001"))
-    lookup = F.map_from_entries(F.aggregate(
-        ordered, F.array().cast("array<struct<key:string,value:string>>"),
-        lambda acc, e: F.when(F.exists(acc, lambda a: a["key"] == F.lower(e["name"])), acc).otherwise(
-            F.concat(acc, F.array(F.struct(F.lower(e["name"]).alias("key"), e["token"].alias("value")))))))
-    swapped = F.transform(F.split(marked, "\u0001"), lambda p, i: F.when(
-        (i % 2) == 1, F.coalesce(F.try_element_at(lookup, F.lower(p)), F.lit(""))).otherwise(p))
-    return F.when(F.size(ordered) > 0, F.array_join(swapped, "")).otherwise(text)
+    def masked(args):
+        ordered, source = args["ordered"], args["text"]
+        alternation = F.concat(F.lit("("), F.array_join(F.transform(ordered, pattern), "|"), F.lit(")"))
+        # hits are fenced by a control character, so the odd pieces are the hits
+        marked = F.regexp_replace(source, alternation, F.lit("\u0001$1\u0001"))
+        names = F.transform(ordered, lambda e: F.lower(e["name"]))
+        swapped = F.transform(F.split(marked, "\u0001"), lambda p, i: F.when((i % 2) == 1, F.coalesce(
+            F.get(ordered, (F.array_position(names, F.lower(p)) - 1).cast("int"))["token"], F.lit(""))).otherwise(p))
+        return F.when(F.size(ordered) > 0, F.array_join(swapped, "")).otherwise(source)
+
+    return let(F.struct(ordered.alias("ordered"), text.alias("text")), masked)
 
 
 def assign_tokens(entries: Column) -> Column:

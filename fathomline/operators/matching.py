@@ -31,8 +31,8 @@ def alias_match(rows: DataFrame, raw: str, row_key: str, aliases: DataFrame, ali
     short = (F.length("_k") < 3) & F.col("_k").rlike(r"^\p{ASCII}+$")
     lengths = al.where(~short).agg(F.array_sort(F.collect_set(F.length("_k")))).scalar()
     names = rows.where(F.col(raw).isNotNull()).groupBy(raw).agg(F.count(F.lit(1)).alias("_n"))
-    keyed = names.withColumn("_name", tx.loose_key(F.col(raw)))
-    parts = F.transform(substrings_of_lengths(F.col("_name"), lengths), lambda s: F.struct(s.alias("_k"), F.lit(False).alias("word")))
+    keyed = names.withColumns({"_name": tx.loose_key(F.col(raw)), "_lengths": lengths})
+    parts = F.transform(substrings_of_lengths(F.col("_name"), F.col("_lengths")), lambda s: F.struct(s.alias("_k"), F.lit(False).alias("word")))
     words = F.transform(
         F.array_distinct(F.filter(F.split(F.lower(raw), "[^a-z0-9]+"), lambda w: (w != "") & (F.length(w) < 3))),
         lambda w: F.struct(w.alias("_k"), F.lit(True).alias("word")))

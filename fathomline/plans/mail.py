@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from fathomline.functions import dates as dt
 from fathomline.functions import rules
 from fathomline.functions import segments as sg
 from fathomline.functions import text as tx
+from fathomline.functions.binding import let
 from fathomline.operators import joins as jn
 from fathomline.operators.keyed import duplicate_of_first
 
@@ -40,16 +43,20 @@ def choose_body(df: DataFrame, fields: list[str], html: str | None = None) -> Da
 
 def body_conflict(df: DataFrame, fields: list[str], parties: dict[str, str]) -> Column:
     """Chosen body and another one differ (Jaccard under 0.3) and name disjoint, non-empty parties."""
-    display = F.col("body_display")
-    mine, own = tx.tokens(display), tx.dictionary_hits(display, parties)
-    out = F.lit(False)
-    for f in fields:
-        other = F.col(f"_c_{f}")
-        theirs = tx.dictionary_hits(other, parties)
-        clash = ((other != "") & (F.col("body_source_field") != f) & (tx.jaccard(mine, tx.tokens(other)) < 0.3)
-                 & (F.size(own) > 0) & (F.size(theirs) > 0) & ~F.arrays_overlap(own, theirs))
-        out = out | F.coalesce(clash, F.lit(False))
-    return out
+    def facts(c):
+        return F.struct(c.alias("text"), tx.tokens(c).alias("tokens"), tx.dictionary_hits(c, parties).alias("parties"))
+
+    def clash(own):
+        def against(f):
+            return let(facts(F.col(f"_c_{f}")), lambda other: (
+                (other["text"] != "") & (F.col("body_source_field") != f) & (F.size(other["parties"]) > 0)
+                & ~F.arrays_overlap(own["parties"], other["parties"])
+                & (tx.jaccard(own["tokens"], other["tokens"]) < 0.3)))
+
+        hits = [F.coalesce(against(f), F.lit(False)) for f in fields]
+        return (F.size(own["parties"]) > 0) & reduce(lambda a, b: a | b, hits)
+
+    return let(facts(F.col("body_display")), clash)
 
 
 def clean_rows(src: DataFrame, parties: dict[str, str] | None = None, version: str = "0.2") -> DataFrame:
@@ -79,7 +86,7 @@ def split_quarantine(mails: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def participants(mails: DataFrame) -> DataFrame:
     """Sender, top recipients and header recipients → rows with tokens shared by the same person."""
-    blocks = F.filter(sg.with_blocks(F.coalesce("body_display", F.lit(""))), lambda b: b["is_block"])
+    staged = mails.withColumn("_blocks", F.filter(sg.with_blocks(F.coalesce("body_display", F.lit(""))), lambda b: b["is_block"]))
 
     def listed(col, role, no):
         return F.transform(tx.split_recipients(F.coalesce(col, F.lit(""))), lambda r: F.struct(
@@ -89,18 +96,19 @@ def participants(mails: DataFrame) -> DataFrame:
         F.lit(0).alias("segment_no"), F.lit("forwarder").alias("role"), F.col("sender_name").alias("display"),
         F.lit(None).cast("string").alias("email")))).otherwise(
         F.array().cast("array<struct<segment_no:int,role:string,display:string,email:string>>"))
-    in_blocks = F.flatten(F.transform(blocks, lambda b, i: F.concat(*[
+    in_blocks = F.flatten(F.transform(F.col("_blocks"), lambda b, i: F.concat(*[
         listed(sg.field(b["text"], key), role, i + 1) for key, role in (("From", "from"), ("To", "to"), ("Cc", "cc"), ("Bcc", "bcc"))])))
     entries = F.concat(own, listed(F.col("mail_to"), "to", F.lit(0)), in_blocks)
-    named = F.transform(entries, lambda e: F.struct(
+    staged = staged.withColumn("_entries", entries)
+    named = F.transform(F.col("_entries"), lambda e: F.struct(
         e["segment_no"].alias("segment_no"), e["role"].alias("role"), e["email"].alias("email"), e["display"].alias("display"),
         tx.parse_display_name(e["display"]).alias("n")))
-    keyed = F.transform(named, lambda e: F.struct(
+    keyed = F.transform(F.col("e"), lambda e: F.struct(
         F.when(e["email"].isNotNull(), F.concat(F.lit("e:"), e["email"])).alias("key1"),
         F.when(e["n"]["name_zh"].isNotNull(), F.concat(F.lit("z:"), tx.loose_key(e["n"]["name_zh"]))).when(
             e["n"]["name_en"].isNotNull(), F.concat(F.lit("n:"), tx.loose_key(e["n"]["name_en"]))).alias("key2"),
         e["n"]["kind"].alias("kind")))
-    rows = mails.select("pk_seq", named.alias("e"), keyed.alias("k")).select(
+    rows = staged.select("pk_seq", named.alias("e")).select("pk_seq", "e", keyed.alias("k")).select(
         "pk_seq", "e", sg.assign_tokens(F.col("k")).alias("tokens"))
     flat = rows.select("pk_seq", F.posexplode(F.arrays_zip("e", "tokens")).alias("pos", "z")).select(
         "pk_seq", "pos", F.col("z.e.segment_no").alias("segment_no"), F.col("z.tokens").alias("token"), F.col("z.e.role").alias("role"),
@@ -133,7 +141,8 @@ def segment_rows(mails: DataFrame) -> DataFrame:
     df = mails.withColumn("_parts", parts).withColumn("_segs", F.when(has_block, F.col("_parts")).otherwise(plain))
     lead_in = F.element_at(F.col("_segs"), 1)["is_block"]
     seg = df.select("pk_seq", "mail_date", "subject_clean", lead_in.alias("_no_intro"), F.posexplode("_segs").alias("_pos", "s"))
-    sent = dt.mail_datetime(sg.field(F.col("s.text"), "Sent"))
+    seg = seg.withColumn("_sent", dt.mail_datetime(sg.field(F.col("s.text"), "Sent")))
+    sent = F.col("_sent")
     models = F.size(F.regexp_extract_all("s.text", F.lit(MODEL), F.lit(1)))
     starts_with_model = F.col("s.text").rlike(r"^[ \t]*[BMT]\d{3}[A-Z]{3}\d{2}\.")
     return seg.select(

@@ -42,8 +42,10 @@ def validated_items(responses: DataFrame, key: str) -> DataFrame:
     known = F.slice(F.filter(listed, lambda x: F.array_contains(tags_known, x)), 1, MAX_TAGS)
     free = F.filter(listed, lambda x: ~F.array_contains(tags_known, x))
     date = F.when(F.trim("it.event_date").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.trim("it.event_date").try_cast("date"))
-    conf = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("it.confidence")))
-    capped = F.when(tx.blank_to_null(F.col("it.speaker_token")).isNull(), F.least(conf, F.lit(SPEAKERLESS_CAP))).otherwise(conf)
+    given = F.col("it.confidence")
+    conf = F.when(given.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), given)))
+    capped = F.when(tx.blank_to_null(F.col("it.speaker_token")).isNull(), F.when(
+        conf.isNotNull(), F.least(conf, F.lit(SPEAKERLESS_CAP)))).otherwise(conf)
     return rows.select(
         key, (F.coalesce("pos", F.lit(0)) + 1).alias("item_no"), status.alias("extract_status"),
         F.when(F.array_contains(vocab, kind), kind).alias("statement_type"),

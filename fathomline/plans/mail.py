@@ -11,7 +11,7 @@ from fathomline.functions import dates as dt
 from fathomline.functions import rules
 from fathomline.functions import segments as sg
 from fathomline.functions import text as tx
-from fathomline.functions.binding import let
+from fathomline.functions.binding import fenced, let
 from fathomline.operators import joins as jn
 from fathomline.operators.keyed import duplicate_of_first
 
@@ -27,7 +27,7 @@ def choose_body(df: DataFrame, fields: list[str], html: str | None = None) -> Da
     if html:
         names.append(html)
         cleaned[html] = tx.clean_display(tx.html_plain(F.col(html)))
-    df = df.withColumns({f"_c_{f}": c for f, c in cleaned.items()})
+    df = fenced(df, {f"_c_{f}": c for f, c in cleaned.items()})
     enough = rules.decide([(f, F.length(f"_c_{f}") >= tx.MIN_BODY_CHARS) for f in names], None)
     # the earlier field wins an equal length
     longest = F.array_max(F.array(*[
@@ -64,7 +64,8 @@ def clean_rows(src: DataFrame, parties: dict[str, str] | None = None, version: s
     df = choose_body(src, BODY_FIELDS)
     sender = tx.parse_sender(F.col("mail_from"))
     block = F.coalesce(F.try_element_at(F.filter(sg.with_blocks(F.col("body_display")), lambda b: b["is_block"]), F.lit(1))["text"], F.lit(""))
-    df = df.withColumns({"_s": sender, "_block": block, "body_conflict": body_conflict(df, BODY_FIELDS, parties or {"none": "$^"})})
+    conflict = body_conflict(df, BODY_FIELDS, parties) if parties else F.lit(False)
+    df = fenced(df, {"_s": sender, "_block": block, "body_conflict": conflict})
     display = F.col("body_display")
     return df.select(
         "pk_seq", "mail_date", "mail_from", "mail_to", F.col("mail_subject").alias("subject_raw"),
@@ -86,7 +87,7 @@ def split_quarantine(mails: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def participants(mails: DataFrame) -> DataFrame:
     """Sender, top recipients and header recipients → rows with tokens shared by the same person."""
-    staged = mails.withColumn("_blocks", F.filter(sg.with_blocks(F.coalesce("body_display", F.lit(""))), lambda b: b["is_block"]))
+    staged = fenced(mails.select("pk_seq", "body_display", "sender_name", "mail_to"), {"_blocks": F.filter(sg.with_blocks(F.coalesce("body_display", F.lit(""))), lambda b: b["is_block"])})
 
     def listed(col, role, no):
         return F.transform(tx.split_recipients(F.coalesce(col, F.lit(""))), lambda r: F.struct(
@@ -99,7 +100,7 @@ def participants(mails: DataFrame) -> DataFrame:
     in_blocks = F.flatten(F.transform(F.col("_blocks"), lambda b, i: F.concat(*[
         listed(sg.field(b["text"], key), role, i + 1) for key, role in (("From", "from"), ("To", "to"), ("Cc", "cc"), ("Bcc", "bcc"))])))
     entries = F.concat(own, listed(F.col("mail_to"), "to", F.lit(0)), in_blocks)
-    staged = staged.withColumn("_entries", entries)
+    staged = fenced(staged.select("pk_seq", "sender_name", "mail_to", "_blocks"), {"_entries": entries})
     named = F.transform(F.col("_entries"), lambda e: F.struct(
         e["segment_no"].alias("segment_no"), e["role"].alias("role"), e["email"].alias("email"), e["display"].alias("display"),
         tx.parse_display_name(e["display"]).alias("n")))
@@ -108,7 +109,7 @@ def participants(mails: DataFrame) -> DataFrame:
         F.when(e["n"]["name_zh"].isNotNull(), F.concat(F.lit("z:"), tx.loose_key(e["n"]["name_zh"]))).when(
             e["n"]["name_en"].isNotNull(), F.concat(F.lit("n:"), tx.loose_key(e["n"]["name_en"]))).alias("key2"),
         e["n"]["kind"].alias("kind")))
-    rows = staged.select("pk_seq", named.alias("e")).select("pk_seq", "e", keyed.alias("k")).select(
+    rows = fenced(fenced(staged.select("pk_seq", "_entries"), {"e": named}), {"k": keyed}).select(
         "pk_seq", "e", sg.assign_tokens(F.col("k")).alias("tokens"))
     flat = rows.select("pk_seq", F.posexplode(F.arrays_zip("e", "tokens")).alias("pos", "z")).select(
         "pk_seq", "pos", F.col("z.e.segment_no").alias("segment_no"), F.col("z.tokens").alias("token"), F.col("z.e.role").alias("role"),
@@ -138,10 +139,11 @@ def segment_rows(mails: DataFrame) -> DataFrame:
     has_block = F.exists("_parts", lambda p: p["is_block"])
     minutes = sg.by_line_marker(F.coalesce("body_display", F.lit("")), r"[BMT]\d{3}[A-Z]{3}\d{2}\.[A-Z0-9]+")
     plain = F.transform(minutes, lambda m: F.struct(F.lit(0).alias("start"), m.alias("text"), F.lit(False).alias("is_block")))
-    df = mails.withColumn("_parts", parts).withColumn("_segs", F.when(has_block, F.col("_parts")).otherwise(plain))
+    df = fenced(mails.select("pk_seq", "mail_date", "subject_clean", "body_display"), {"_parts": parts})
+    df = fenced(df, {"_segs": F.when(has_block, F.col("_parts")).otherwise(plain)})
     lead_in = F.element_at(F.col("_segs"), 1)["is_block"]
     seg = df.select("pk_seq", "mail_date", "subject_clean", lead_in.alias("_no_intro"), F.posexplode("_segs").alias("_pos", "s"))
-    seg = seg.withColumn("_sent", dt.mail_datetime(sg.field(F.col("s.text"), "Sent")))
+    seg = fenced(seg, {"_sent": dt.mail_datetime(sg.field(F.col("s.text"), "Sent"))})
     sent = F.col("_sent")
     models = F.size(F.regexp_extract_all("s.text", F.lit(MODEL), F.lit(1)))
     starts_with_model = F.col("s.text").rlike(r"^[ \t]*[BMT]\d{3}[A-Z]{3}\d{2}\.")
@@ -167,16 +169,17 @@ def clean_segments(segs: DataFrame, parts: DataFrame, attachments: Column | None
     df = segs.join(book, "pk_seq", "left").join(froms, ["pk_seq", "segment_no"], "left")
     entries = F.coalesce("entries", F.array().cast("array<struct<name:string,token:string>>"))
     body = F.when(F.col("has_header"), F.expr("substring(raw_text, head_len + 1)")).otherwise(F.col("raw_text"))
-    df = df.withColumn("head_len", sg.header_length(F.col("raw_text"))).withColumn("entries", entries)
+    df = fenced(df, {"head_len": sg.header_length(F.col("raw_text")), "entries": entries,
+                     "_subject": sg.field(F.col("raw_text"), "Subject")})
     who = F.coalesce(F.concat(F.lit("<"), "from_token", F.lit(">")), F.lit("<unknown>"))
     head = F.concat_ws("\n", F.concat(who, F.lit(":")),
                        F.concat(F.lit("Sent: "), F.date_format("sent_at", "yyyy-MM-dd HH:mm")),
-                       F.concat(F.lit("Subject: "), sg.mask_dictionary(sg.field(F.col("raw_text"), "Subject"), F.col("entries"))))
+                       F.concat(F.lit("Subject: "), sg.mask_dictionary(F.col("_subject"), F.col("entries"))))
     masked = sg.mask_dictionary(body, F.col("entries"))
     whole = F.when(F.col("has_header"), F.concat(head, F.lit("\n\n"), masked)).otherwise(masked)
     safe = tx.mask_email(whole)
     final = tx.flatten_short_lines(tx.drop_junk_rows(tx.mask_urls(safe)))
-    out = df.withColumn("clean_text", final)
+    out = fenced(df, {"clean_text": final})
     attached = attachments if attachments is not None else F.lit(0)
     kind = sg.content_kind(F.col("clean_text"), F.col("has_header"), sg.field(F.col("raw_text"), "When").isNotNull(), attached,
                            F.col("n_models"), F.col("clean_text").rlike(r"(?im)^[ \t]*ITEM[ \t]*:?[ \t]*$"))

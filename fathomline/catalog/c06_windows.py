@@ -181,7 +181,7 @@ def last_n_periods(t):
 
 @query("WITH " + CUSTOMER_QUARTERS_SQL + """,
 l AS (SELECT o_custkey, q, revenue AS a, lag(revenue) OVER w AS b, lag(revenue, 2) OVER w AS c FROM cq WINDOW w AS (PARTITION BY o_custkey ORDER BY q))
-SELECT o_custkey, q, CASE WHEN b IS NULL OR c IS NULL THEN '-' WHEN a > b AND b > c THEN 'up' WHEN a < b AND b < c THEN 'down' ELSE 'flat' END AS trend FROM l
+SELECT o_custkey, q, CASE WHEN b IS NULL OR c IS NULL THEN '—' WHEN a > b AND b > c THEN '↑' WHEN a < b AND b < c THEN '↓' ELSE '→' END AS trend FROM l
 """)
 def trend_arrow(t):
     return wn.with_trend(customer_quarters(t), "o_custkey", "q", "revenue").select("o_custkey", "q", "trend")
@@ -241,7 +241,7 @@ def rank_brands(t):
 WITH m AS (SELECT o_custkey, COUNT(*) AS x, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS y FROM orders GROUP BY 1),
 j AS (SELECT c_custkey, c_nationkey, x, y FROM customer JOIN m ON o_custkey = c_custkey),
 k AS (SELECT *, median(x) OVER (PARTITION BY c_nationkey) AS mx, median(y) OVER (PARTITION BY c_nationkey) AS my FROM j)
-SELECT c_custkey, CASE WHEN x >= mx AND y >= my THEN 'I' WHEN x < mx AND y >= my THEN 'II' WHEN x < mx THEN 'III' ELSE 'IV' END AS quadrant FROM k
+SELECT c_custkey, CASE WHEN x >= mx THEN '高成長・' ELSE '低成長・' END || CASE WHEN y >= my THEN '高獲利' ELSE '低獲利' END AS quadrant FROM k
 """)
 def quadrant(t):
     m = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(

@@ -26,20 +26,17 @@ def with_trend(df: DataFrame, key: str, period: str, value: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy(period)
     now, one, two = F.col(value), F.lag(value, 1).over(w), F.lag(value, 2).over(w)
     trend = (
-        F.when(now.isNull() | one.isNull() | two.isNull(), F.lit("-"))
-        .when((now > one) & (one > two), F.lit("up"))
-        .when((now < one) & (one < two), F.lit("down"))
-        .otherwise(F.lit("flat"))
+        F.when(now.isNull() | one.isNull() | two.isNull(), F.lit("—"))
+        .when((now > one) & (one > two), F.lit("↑"))
+        .when((now < one) & (one < two), F.lit("↓"))
+        .otherwise(F.lit("→"))
     )
     return df.withColumn("trend", trend)
 
 
 def quadrant(x: Column, y: Column, mid_x: Column, mid_y: Column) -> Column:
     """Position against two medians; a missing part gives NULL."""
-    return (
-        F.when(x.isNull() | y.isNull() | mid_x.isNull() | mid_y.isNull(), F.lit(None).cast("string"))
-        .when((x >= mid_x) & (y >= mid_y), F.lit("I"))
-        .when(y >= mid_y, F.lit("II"))
-        .when(x < mid_x, F.lit("III"))
-        .otherwise(F.lit("IV"))
-    )
+    growth = F.when(x >= mid_x, F.lit("高成長")).otherwise(F.lit("低成長"))
+    profit = F.when(y >= mid_y, F.lit("高獲利")).otherwise(F.lit("低獲利"))
+    known = x.isNotNull() & y.isNotNull() & mid_x.isNotNull() & mid_y.isNotNull()
+    return F.when(known, F.concat(growth, F.lit("・"), profit))

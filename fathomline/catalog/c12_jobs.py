@@ -20,6 +20,7 @@ from fathomline.operators import joins as jn
 from fathomline.operators import keyed
 from fathomline.operators import windows as wn
 from fathomline.plans import filings, labels, ledgers, mail, reports, sales
+from fathomline.session import written
 from fathomline.sources import records
 
 
@@ -89,7 +90,7 @@ MAIL_ALIASES = [("mail.example.com", "mailco", "customer"), ("example.com", "exc
 @query()
 def mail_chain(t):
     """Clean mails, quarantine, duplicates, sender unit, participants with side."""
-    clean = mail.clean_rows(mails(t))
+    clean = written(mail.clean_rows(mails(t)), "mails")
     kept, skipped = mail.split_quarantine(clean)
     dim = t.spark.createDataFrame([("ML0A", "pm"), ("ML1A", "sales"), ("ML2A", "sales")], "prefix string, unit string")
     unit = jn.prefix_lookup(kept.select("pk_seq", "dept_code", "body_hash", "body_source_field"), "dept_code", dim, "prefix", "unit")
@@ -105,9 +106,9 @@ def mail_chain(t):
 @query()
 def segment_chain(t):
     """Segments with masked text, kind, hash and the first arrival of each copy."""
-    clean = mail.clean_rows(mails(t))
-    kept, _ = mail.split_quarantine(clean)
-    segs = mail.clean_segments(mail.segment_rows(kept), mail.participants(kept))
+    kept, _ = mail.split_quarantine(written(mail.clean_rows(mails(t)), "mails"))
+    parts = written(mail.participants(kept), "participants")
+    segs = written(mail.clean_segments(mail.segment_rows(kept), parts), "segments")
     out = mail.with_duplicates(segs)
     return out.select("pk_seq", "segment_no", "content_type", "clean_len", "segment_date", "date_inferred",
                       F.col("dup_of.pk_seq").alias("dup_pk"), F.col("dup_of.segment_no").alias("dup_segment"))
@@ -334,7 +335,7 @@ def ledger_merge(t):
 
 
 @query("WITH " + _LEDGER_SQL + r""",
-d AS (SELECT i.item_key, lang AS app, lower(regexp_replace(string_split(text, ' ')[1], '[\p{P}\p{Z}\p{C}]', '', 'g')) AS term_norm, date, i.dup_key, verified FROM i JOIN documents ON doc_id = item_key)
+d AS (SELECT i.item_key, i.lang AS app, lower(regexp_replace(string_split(text, ' ')[1], '[\p{P}\p{Z}\p{C}]', '', 'g')) AS term_norm, date, i.dup_key, verified FROM i JOIN documents ON doc_id = item_key)
 SELECT app, term_norm, MIN(item_key) AS first_item, arg_max(item_key, CAST(strftime(date, '%Y%m%d') AS BIGINT) * 1000000000 + item_key) AS shown_item, COUNT(*) FILTER (dup_key IS NULL) AS n_updates, MAX(date) AS last_date,
   CASE WHEN bool_or(verified) THEN 'active' ELSE 'unreviewed' END AS status FROM d GROUP BY 1, 2
 """)

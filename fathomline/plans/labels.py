@@ -86,7 +86,7 @@ def assign_brand(df: DataFrame, aliases: DataFrame) -> DataFrame:
     names = aliases.where("is_active").groupBy(F.col("entity_id").alias("customer")).agg(F.min("alias").alias("_brand"))
     j = df.join(names, "customer", "left")
     basis = rules.decide([("none", F.col("customer").isNull()), ("customer_fallback", F.col("_brand").isNull())], "sb_brand")
-    return j.withColumn("brand", F.coalesce("_brand", "customer")).withColumn("brand_basis", basis).drop("_brand")
+    return j.withColumn("brand", F.coalesce("_brand", F.col("customer").cast("string"))).withColumn("brand_basis", basis).drop("_brand")
 
 
 def assign_facet(tags: Column, primary: Column, facet_of: dict[str, str], follow_of: dict[str, str]) -> tuple[Column, Column]:

@@ -142,7 +142,8 @@ def segment_rows(mails: DataFrame) -> DataFrame:
     df = fenced(mails.select("pk_seq", "mail_date", "subject_clean", "body_display"), {"_parts": parts})
     df = fenced(df, {"_segs": F.when(has_block, F.col("_parts")).otherwise(plain)})
     lead_in = F.element_at(F.col("_segs"), 1)["is_block"]
-    seg = df.select("pk_seq", "mail_date", "subject_clean", lead_in.alias("_no_intro"), F.posexplode("_segs").alias("_pos", "s"))
+    seg = df.select("pk_seq", "mail_date", "subject_clean", F.size("_segs").alias("n_segments"), lead_in.alias("_no_intro"),
+                    F.posexplode("_segs").alias("_pos", "s"))
     seg = fenced(seg, {"_sent": dt.mail_datetime(sg.field(F.col("s.text"), "Sent"))})
     sent = F.col("_sent")
     models = F.size(F.regexp_extract_all("s.text", F.lit(MODEL), F.lit(1)))
@@ -152,7 +153,7 @@ def segment_rows(mails: DataFrame) -> DataFrame:
         "subject_clean", F.col("s.start").alias("display_start"), F.length("s.text").alias("raw_len"), F.col("s.text").alias("raw_text"),
         F.col("s.is_block").alias("has_header"), F.coalesce(F.to_date(sent), F.col("mail_date")).alias("segment_date"),
         sent.isNull().alias("date_inferred"), F.coalesce(sent, F.lit(None).cast("timestamp_ntz")).alias("sent_at"),
-        models.alias("n_models"))
+        models.alias("n_models"), "n_segments")
 
 
 def clean_segments(segs: DataFrame, parts: DataFrame, attachments: Column | None = None) -> DataFrame:
@@ -184,7 +185,9 @@ def clean_segments(segs: DataFrame, parts: DataFrame, attachments: Column | None
     kind = sg.content_kind(F.col("clean_text"), F.col("has_header"), sg.field(F.col("raw_text"), "When").isNotNull(), attached,
                            F.col("n_models"), F.col("clean_text").rlike(r"(?im)^[ \t]*ITEM[ \t]*:?[ \t]*$"))
     anonymous = F.regexp_replace("clean_text", r"<([PG])\d{2,}>", "<$1>")
-    return out.select(
+    # a short note above the first boundary is not kept
+    kept = out.where((F.col("n_segments") == 1) | (F.col("segment_no") > 0) | (F.length("clean_text") >= tx.MIN_BODY_CHARS))
+    return kept.select(
         "pk_seq", "segment_no", "subject_clean", "segment_date", "date_inferred", "raw_len", F.length("clean_text").alias("clean_len"),
         "clean_text", kind.alias("content_type"),
         F.when(F.length("clean_text") >= tx.MIN_BODY_CHARS, F.sha1(tx.loose_key(tx.nfkc(anonymous)))).alias("content_hash"))

@@ -72,3 +72,10 @@ def checkpointed(spark: SparkSession, df):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
+
+
+def written(df, name: str):
+    """``df`` as a table in the shared folder: computed once, safe when executors are lost."""
+    path = run_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

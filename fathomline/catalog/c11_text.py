@@ -268,9 +268,8 @@ def mask_dictionary(t):
 @query("SELECT doc_id, len(regexp_extract_all(text, '" + EMAIL_SQL + "')) AS n_masked, 0 AS residual, sha1(regexp_replace(text, '" + EMAIL_SQL + "', '[email]', 'g')) AS h FROM documents")
 def mask_email(t):
     """Addresses masked; the count of those left is the hard gate."""
-    masked = tx.mask_email(F.col("text"))
-    return t.documents.select("doc_id", tx.count_matches(F.col("text"), tx.EMAIL).cast("long").alias("n_masked"),
-                              tx.count_matches(masked, tx.EMAIL).alias("residual"), F.sha1(masked).alias("h"))
+    rows = t.documents.select("doc_id", tx.count_emails(F.col("text")).cast("long").alias("n_masked"), tx.mask_email(F.col("text")).alias("masked"))
+    return rows.select("doc_id", "n_masked", tx.count_emails(F.col("masked")).alias("residual"), F.sha1("masked").alias("h"))
 
 
 @query(r"""

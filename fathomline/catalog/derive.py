@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fathomline.operators.skew import spread
+
 
 def mails(t):
     """Every conversation turn as a mail that forwards the turn before it.
@@ -19,7 +21,7 @@ def mails(t):
         F.date_format(day, "EEEE, MMMM d, yyyy"), F.lit(" 3:0"), F.pmod(F.col("turn"), F.lit(10)).cast("string"),
         F.lit(" PM\n**To:** desk@other.example.org; Team Desk <team@other.example.org>\n**Subject:** RE: "),
         F.substring_index("p_text", " ", 3), F.lit("\n\n"), F.col("p_text"))
-    joined = c.join(prev, ["conv_id", "turn"], "left")
+    joined = spread(c.join(prev, ["conv_id", "turn"], "left"), "text")
     body = F.concat("text", F.coalesce(header, F.lit("")))
     sender = F.when(F.col("role") == "assistant", F.col("role")).otherwise(F.concat(
         F.lit("1000"), F.lpad(F.pmod("conv_id", F.lit(1000)).cast("string"), 3, "0"), F.lit("/"), F.initcap("role"),

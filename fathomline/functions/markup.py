@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fathomline.operators.skew import spread
+
 ELEMENTS = "element_id int, element_type string, content string, page_no int"
 
 # Tags without readable text, tags that end a paragraph, cells that belong to a number.
@@ -196,7 +198,7 @@ def element_rows(docs: DataFrame, key: str, content: str) -> DataFrame:
                 rows += [(doc, i, k, c, p) for i, (k, c, p) in enumerate(found)] or [(doc, None, None, None, None)]
             yield pd.DataFrame(rows, columns=names)
 
-    return docs.select(key, content).mapInPandas(extract, fields)
+    return spread(docs.select(key, content), key).mapInPandas(extract, fields)
 
 
 def payloads(rows: DataFrame, key: str) -> DataFrame:

@@ -195,8 +195,8 @@ def segments(t):
     """Header blocks of forwarded mails with their offsets and fields."""
     parts = sg.with_blocks(F.col("mail_without_fw"))
     rows = mails(t).select("pk_seq", F.posexplode(parts).alias("pos", "b")).where("b.is_block")
-    return rows.select("pk_seq", "pos", F.col("b.start").alias("start"), (F.col("b.start") + sg.header_length(F.col("b.text"))).alias("header_end"),
-                       *[sg.field(F.col("b.text"), k).alias(k.lower() + "_value") for k in ("From", "Sent", "To", "Subject")])
+    return rows.select("pk_seq", "pos", F.col("b.start").alias("start"), (F.col("b.start") + sg.header_length(F.col("b.head"))).alias("header_end"),
+                       *[sg.field(F.col("b.head"), k).alias(k.lower() + "_value") for k in ("From", "Sent", "To", "Subject")])
 
 
 @query(r"""
@@ -419,7 +419,7 @@ SELECT conv_id * 1000 + turn AS pk_seq, CAST(DATE '2024-01-01' + CAST(conv_id %
 def sent_values(t):
     """All Sent values of a mail, normalised and parsed; other text is kept as unparsed."""
     parts = F.filter(sg.with_blocks(F.col("mail_without_fw")), lambda b: b["is_block"])
-    vals = F.transform(parts, lambda b: sg.field(b["text"], "Sent"))
+    vals = F.transform(parts, lambda b: sg.field(b["head"], "Sent"))
     rows = mails(t).select("pk_seq", F.explode(vals).alias("sent_raw"))
     ts = dt.mail_datetime(F.col("sent_raw"))
     kind = F.when(ts.isNull(), F.lit("unparsed")).when(F.col("sent_raw").rlike(r"\d{4}年\d{1,2}月\d{1,2}日"), F.lit("zh")).otherwise(F.lit("en"))

@@ -54,14 +54,18 @@ def pieces(text: Column) -> Column:
 
 
 def with_blocks(text: Column) -> Column:
-    """Array of (start, body, is_block) pieces; a From without Sent and Subject is plain text."""
+    """Array of (start, text, head, is_block); a From without Sent and Subject is plain text.
+
+    ``head`` is the part up to the next From marker, where the header fields are;
+    ``text`` runs on to the next block.
+    """
     parts = pieces(text)
-    empty = F.array().cast("array<struct<start:int,text:string,is_block:boolean>>")
+    empty = F.array().cast("array<struct<start:int,text:string,head:string,is_block:boolean>>")
 
     def add(acc, piece):
         is_block = piece.rlike(_mark("From")) & piece.rlike(_mark("Sent|Subject"))
         start = F.aggregate(acc, F.lit(0), lambda n, p: n + F.length(p["text"]))
-        return F.concat(acc, F.array(F.struct(start.alias("start"), piece.alias("text"), is_block.alias("is_block"))))
+        return F.concat(acc, F.array(F.struct(start.alias("start"), piece.alias("text"), piece.alias("head"), is_block.alias("is_block"))))
 
     split = F.aggregate(parts, empty, add)
 
@@ -71,7 +75,7 @@ def with_blocks(text: Column) -> Column:
         merged = F.concat(
             F.slice(acc, F.lit(1), F.size(acc) - 1),
             F.array(F.struct(last["start"].alias("start"), F.concat(last["text"], p["text"]).alias("text"),
-                             last["is_block"].alias("is_block"))))
+                             last["head"].alias("head"), last["is_block"].alias("is_block"))))
         return F.when((F.size(acc) > 0) & ~p["is_block"], merged).otherwise(F.concat(acc, F.array(p)))
 
     return F.filter(F.aggregate(split, empty, join), lambda p: p["text"] != "")

@@ -63,7 +63,7 @@ def clean_rows(src: DataFrame, parties: dict[str, str] | None = None, version: s
     """Source mails → typed mail rows, all in native expressions."""
     df = choose_body(src, BODY_FIELDS)
     sender = tx.parse_sender(F.col("mail_from"))
-    block = F.coalesce(F.try_element_at(F.filter(sg.with_blocks(F.col("body_display")), lambda b: b["is_block"]), F.lit(1))["text"], F.lit(""))
+    block = F.coalesce(F.try_element_at(F.filter(sg.with_blocks(F.col("body_display")), lambda b: b["is_block"]), F.lit(1))["head"], F.lit(""))
     conflict = body_conflict(df, BODY_FIELDS, parties) if parties else F.lit(False)
     df = fenced(df, {"_s": sender, "_block": block, "body_conflict": conflict})
     display = F.col("body_display")
@@ -98,7 +98,7 @@ def participants(mails: DataFrame) -> DataFrame:
         F.lit(None).cast("string").alias("email")))).otherwise(
         F.array().cast("array<struct<segment_no:int,role:string,display:string,email:string>>"))
     in_blocks = F.flatten(F.transform(F.col("_blocks"), lambda b, i: F.concat(*[
-        listed(sg.field(b["text"], key), role, i + 1) for key, role in (("From", "from"), ("To", "to"), ("Cc", "cc"), ("Bcc", "bcc"))])))
+        listed(sg.field(b["head"], key), role, i + 1) for key, role in (("From", "from"), ("To", "to"), ("Cc", "cc"), ("Bcc", "bcc"))])))
     entries = F.concat(own, listed(F.col("mail_to"), "to", F.lit(0)), in_blocks)
     staged = fenced(staged.select("pk_seq", "sender_name", "mail_to", "_blocks"), {"_entries": entries})
     named = F.transform(F.col("_entries"), lambda e: F.struct(
@@ -138,19 +138,19 @@ def segment_rows(mails: DataFrame) -> DataFrame:
     parts = sg.with_blocks(F.coalesce("body_display", F.lit("")))
     has_block = F.exists("_parts", lambda p: p["is_block"])
     minutes = sg.by_line_marker(F.coalesce("body_display", F.lit("")), r"[BMT]\d{3}[A-Z]{3}\d{2}\.[A-Z0-9]+")
-    plain = F.transform(minutes, lambda m: F.struct(F.lit(0).alias("start"), m.alias("text"), F.lit(False).alias("is_block")))
+    plain = F.transform(minutes, lambda m: F.struct(F.lit(0).alias("start"), m.alias("text"), m.alias("head"), F.lit(False).alias("is_block")))
     df = fenced(mails.select("pk_seq", "mail_date", "subject_clean", "body_display"), {"_parts": parts})
     df = fenced(df, {"_segs": F.when(has_block, F.col("_parts")).otherwise(plain)})
     lead_in = F.element_at(F.col("_segs"), 1)["is_block"]
     seg = df.select("pk_seq", "mail_date", "subject_clean", F.size("_segs").alias("n_segments"), lead_in.alias("_no_intro"),
                     F.posexplode("_segs").alias("_pos", "s"))
-    seg = fenced(seg, {"_sent": dt.mail_datetime(sg.field(F.col("s.text"), "Sent"))})
+    seg = fenced(seg, {"_sent": dt.mail_datetime(sg.field(F.col("s.head"), "Sent"))})
     sent = F.col("_sent")
     models = F.size(F.regexp_extract_all("s.text", F.lit(MODEL), F.lit(1)))
     starts_with_model = F.col("s.text").rlike(r"^[ \t]*[BMT]\d{3}[A-Z]{3}\d{2}\.")
     return seg.select(
         "pk_seq", F.when(F.col("_no_intro") | starts_with_model, F.col("_pos") + 1).otherwise(F.col("_pos")).alias("segment_no"),
-        "subject_clean", F.col("s.start").alias("display_start"), F.length("s.text").alias("raw_len"), F.col("s.text").alias("raw_text"),
+        "subject_clean", F.col("s.start").alias("display_start"), F.length("s.text").alias("raw_len"), F.col("s.text").alias("raw_text"), F.col("s.head").alias("head_text"),
         F.col("s.is_block").alias("has_header"), F.coalesce(F.to_date(sent), F.col("mail_date")).alias("segment_date"),
         sent.isNull().alias("date_inferred"), F.coalesce(sent, F.lit(None).cast("timestamp_ntz")).alias("sent_at"),
         models.alias("n_models"), "n_segments")
@@ -170,8 +170,8 @@ def clean_segments(segs: DataFrame, parts: DataFrame, attachments: Column | None
     df = segs.join(book, "pk_seq", "left").join(froms, ["pk_seq", "segment_no"], "left")
     entries = F.coalesce("entries", F.array().cast("array<struct<name:string,token:string>>"))
     body = F.when(F.col("has_header"), F.expr("substring(raw_text, head_len + 1)")).otherwise(F.col("raw_text"))
-    df = fenced(df, {"head_len": sg.header_length(F.col("raw_text")), "entries": entries,
-                     "_subject": sg.field(F.col("raw_text"), "Subject")})
+    df = fenced(df, {"head_len": sg.header_length(F.col("head_text")), "entries": entries,
+                     "_subject": sg.field(F.col("head_text"), "Subject")})
     who = F.coalesce(F.concat(F.lit("<"), "from_token", F.lit(">")), F.lit("<unknown>"))
     head = F.concat_ws("\n", F.concat(who, F.lit(":")),
                        F.concat(F.lit("Sent: "), F.date_format("sent_at", "yyyy-MM-dd HH:mm")),
@@ -182,7 +182,7 @@ def clean_segments(segs: DataFrame, parts: DataFrame, attachments: Column | None
     final = tx.flatten_short_lines(tx.drop_junk_rows(tx.mask_urls(safe)))
     out = fenced(df, {"clean_text": final})
     attached = attachments if attachments is not None else F.lit(0)
-    kind = sg.content_kind(F.col("clean_text"), F.col("has_header"), sg.field(F.col("raw_text"), "When").isNotNull(), attached,
+    kind = sg.content_kind(F.col("clean_text"), F.col("has_header"), sg.field(F.col("head_text"), "When").isNotNull(), attached,
                            F.col("n_models"), F.col("clean_text").rlike(r"(?im)^[ \t]*ITEM[ \t]*:?[ \t]*$"))
     anonymous = F.regexp_replace("clean_text", r"<([PG])\d{2,}>", "<$1>")
     # a short note above the first boundary is not kept

@@ -380,7 +380,7 @@ def null_timeline(t):
     return ag.blank_share(t.events, F.date_format("ts", "yyyy-MM-dd"), F.nullif("event_type", F.lit("error")))
 
 
-@query("SELECT 0 AS n, CAST(NULL AS DOUBLE) AS pct, CAST(NULL AS DOUBLE) AS top FROM (SELECT COUNT(*) FROM orders WHERE o_totalprice < 0)")
+@query("SELECT CAST(0 AS BIGINT) AS n, CAST(NULL AS DOUBLE) AS pct, CAST(NULL AS DOUBLE) AS top FROM (SELECT COUNT(*) FROM orders WHERE o_totalprice < 0)")
 def safe_rates(t):
     """One row even without input; 0/0 is NULL."""
     empty = t.orders.where("o_totalprice < 0")

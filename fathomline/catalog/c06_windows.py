@@ -143,7 +143,7 @@ def group_fill(t):
 
 
 @query("""
-SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS rank_no
+SELECT l_suppkey, l_orderkey, l_linenumber, l_extendedprice, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS INTEGER) AS rank_no
 FROM lineitem QUALIFY rank_no <= 3
 """)
 def topn_per_group(t):
@@ -189,7 +189,7 @@ def trend_arrow(t):
 
 @query("WITH RECURSIVE " + CUSTOMER_QUARTERS_SQL + """,
 y AS (SELECT a.o_custkey, a.q, COALESCE((a.revenue - b.revenue) > 0, false) AS good FROM cq a LEFT JOIN cq b ON a.o_custkey = b.o_custkey AND b.q = a.q - 4)
-SELECT y.o_custkey, y.q, CASE WHEN NOT y.good THEN 0 ELSE y.q - COALESCE((SELECT MAX(g.x) FROM (
+SELECT y.o_custkey, y.q, CASE WHEN NOT y.good THEN CAST(0 AS BIGINT) ELSE y.q - COALESCE((SELECT MAX(g.x) FROM (
     SELECT p.o_custkey, p.q AS x FROM y p WHERE NOT p.good UNION ALL
     SELECT p.o_custkey, p.q - 1 FROM y p WHERE NOT EXISTS (SELECT 1 FROM y z WHERE z.o_custkey = p.o_custkey AND z.q = p.q - 1)) g
   WHERE g.o_custkey = y.o_custkey AND g.x < y.q), 0) END AS streak FROM y

@@ -44,7 +44,7 @@ def news_keys(t):
 @query()
 def html_payload(t):
     """Payload text per page, built on executors from element rows."""
-    pay = markup.payloads(markup.element_rows(t.pages, "page_id", "html"), "page_id")
+    pay = markup.payloads(markup.element_rows(t.spread("pages", "page_id"), "page_id", "html"), "page_id")
     return pay.select("page_id", F.length("payload").alias("n_chars"), F.sha1("payload").alias("payload_hash"))
 
 

@@ -18,12 +18,12 @@ EMAIL_SQL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
 
 
 def page_payloads(t):
-    return markup.payloads(markup.element_rows(t.pages, "page_id", "html"), "page_id")
+    return markup.payloads(markup.element_rows(t.spread("pages", "page_id"), "page_id", "html"), "page_id")
 
 
 @query()
 def html_elements(t):
-    rows = markup.element_rows(t.pages, "page_id", "html")
+    rows = markup.element_rows(t.spread("pages", "page_id"), "page_id", "html")
     return rows.groupBy("element_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("content")).alias("chars"),
                                             F.countDistinct("page_id").alias("pages"))
 
@@ -79,7 +79,7 @@ SELECT doc_id, sha1(regexp_replace(regexp_replace(regexp_replace(t, '[ \t]+\n',
 def clean_display(t):
     """The rule part (no entities, no disclaimers) over texts with residue put around them."""
     raw = F.concat(F.lit("![x](cid:1) [site](https://x.example.com/a) \\*\nNormal\n12\n"), "text", F.lit("   \n\n\n\nend"))
-    return t.documents.select("doc_id", F.sha1(tx.tidy_blank_lines(tx.clean_marks(raw))).alias("h"))
+    return t.spread("documents", "doc_id").select("doc_id", F.sha1(tx.tidy_blank_lines(tx.clean_marks(raw))).alias("h"))
 
 
 @query(r"""
@@ -94,7 +94,7 @@ SELECT d.doc_id, sha1(COALESCE(string_agg(body, chr(10) || chr(10) ORDER BY i),
 """)
 def drop_boilerplate(t):
     text = F.concat("text", F.lit("\n\n----------\n\nThe end"))
-    return t.documents.select("doc_id", F.sha1(tx.drop_disclaimers(text, r"(?i)copyright|licen[sc]e")).alias("h"))
+    return t.spread("documents", "doc_id").select("doc_id", F.sha1(tx.drop_disclaimers(text, r"(?i)copyright|licen[sc]e")).alias("h"))
 
 
 @query(r"""
@@ -111,7 +111,7 @@ def flatten_lines(t):
     """Sentences on lines of their own; runs of short ones become one line."""
     text = F.regexp_replace("text", r"[.,] ", "\n")
     flat = tx.flatten_short_lines(text)
-    return t.documents.select("doc_id", F.size(F.split(text, "\n")).alias("lines_before"), F.size(F.split(flat, "\n")).alias("lines_after"),
+    return t.spread("documents", "doc_id").select("doc_id", F.size(F.split(text, "\n")).alias("lines_before"), F.size(F.split(flat, "\n")).alias("lines_after"),
                               F.sha1(flat).alias("h"))
 
 
@@ -144,7 +144,7 @@ def lead(t):
 def choose_body(t):
     """Document text, its first line and the page of the same number compete for the body."""
     pages = t.pages.select(F.col("page_id").alias("doc_id"), "html")
-    src = t.documents.select("doc_id", F.substring_index("text", "\n", 1).alias("first_line"), F.col("text").alias("whole")).join(pages, "doc_id", "left")
+    src = t.spread("documents", "doc_id").select("doc_id", F.substring_index("text", "\n", 1).alias("first_line"), F.col("text").alias("whole")).join(pages, "doc_id", "left")
     out = mail.choose_body(src, ["first_line", "whole"], "html")
     return out.select("doc_id", "body_source_field", "raw_len", F.length("body_display").alias("display_len"))
 
@@ -268,7 +268,7 @@ def mask_dictionary(t):
 @query("SELECT doc_id, len(regexp_extract_all(text, '" + EMAIL_SQL + "')) AS n_masked, 0 AS residual, sha1(regexp_replace(text, '" + EMAIL_SQL + "', '[email]', 'g')) AS h FROM documents")
 def mask_email(t):
     """Addresses masked; the count of those left is the hard gate."""
-    rows = t.documents.select("doc_id", tx.count_emails(F.col("text")).cast("long").alias("n_masked"), tx.mask_email(F.col("text")).alias("masked"))
+    rows = t.spread("documents", "doc_id").select("doc_id", tx.count_emails(F.col("text")).cast("long").alias("n_masked"), tx.mask_email(F.col("text")).alias("masked"))
     return rows.select("doc_id", "n_masked", tx.count_emails(F.col("masked")).alias("residual"), F.sha1("masked").alias("h"))
 
 
@@ -308,7 +308,7 @@ def quote_in_text(t):
     first, last = F.substring_index("text", "\n", 1), F.substring_index("text", "\n", -1)
     recased = F.translate(first, "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
     quote = F.concat(F.lit("** "), recased, F.lit(" !"))
-    rows = t.documents.select("doc_id", "text", (F.size(F.split("text", "\n")) > 1).alias("several"), quote.alias("q"),
+    rows = t.spread("documents", "doc_id").select("doc_id", "text", (F.size(F.split("text", "\n")) > 1).alias("several"), quote.alias("q"),
                               F.concat(last, F.lit(" … zqx zqx zqx")).alias("w"))
     return rows.select("doc_id", "several", tx.quote_in_text(F.col("q"), F.col("text")).alias("loose"),
                        tx.quote_in_text(F.col("w"), F.col("text")).alias("wrong"))

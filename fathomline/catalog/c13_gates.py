@@ -58,9 +58,9 @@ def typed_checks(t):
 
 
 @query("""
-SELECT 'regions' AS name, 5.0 AS expected, CAST(COUNT(*) AS DOUBLE) AS actual, COUNT(*) = 5 AS ok FROM region
-UNION ALL SELECT 'nations', 24.0, COUNT(*), COUNT(*) = 24 FROM nation
-UNION ALL SELECT 'discount share', 0.05, AVG(CAST(l_discount AS DECIMAL(18,2))), abs(AVG(CAST(l_discount AS DECIMAL(18,2))) - 0.05) <= 0.000001 FROM lineitem WHERE l_discount = 0.05
+SELECT 'regions' AS name, 5.0::DOUBLE AS expected, CAST(COUNT(*) AS DOUBLE) AS actual, COUNT(*) = 5 AS ok FROM region
+UNION ALL SELECT 'nations', 24.0::DOUBLE, COUNT(*), COUNT(*) = 24 FROM nation
+UNION ALL SELECT 'discount share', 0.05::DOUBLE, AVG(CAST(l_discount AS DECIMAL(18,2))), abs(AVG(CAST(l_discount AS DECIMAL(18,2))) - 0.05) <= 0.000001 FROM lineitem WHERE l_discount = 0.05
 """)
 def expected_values(t):
     """Listed queries against listed numbers with a tolerance."""

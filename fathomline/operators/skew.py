@@ -52,12 +52,3 @@ def salted_distinct_count(df: DataFrame, keys: list[str], value: Column, alias:
     """
     pairs = df.select(*keys, value.alias("_v")).distinct()
     return pairs.groupBy(*keys).agg(F.count("_v").alias(alias))
-
-
-def spread(df: DataFrame, row_key: str) -> DataFrame:
-    """Rows over all cores before heavy per-row work, only when the input has fewer
-    partitions than cores. Large inputs have more and are left as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, row_key)

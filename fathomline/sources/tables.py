@@ -28,6 +28,13 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
 
+    def spread(self, name: str, key: str) -> DataFrame:
+        """The table over all cores, for heavy work per row. Only a table with fewer
+        file splits than cores is moved; larger ones are read as they are."""
+        df = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
 
 def scan(df: DataFrame, columns: list[str], where: Column | None = None) -> DataFrame:
     """Filter first, then keep the needed columns, so both reach the scan."""

@@ -12,6 +12,7 @@ from fathomline.functions import text as tx
 from fathomline.functions.numbers import count_where, money_sum, pct_change, rate
 from fathomline.operators import aggregates as ag
 from fathomline.operators.keyed import latest_per_key, top_n_ranked
+from fathomline.plans import hints
 
 
 def msum(c):
@@ -275,18 +276,13 @@ VOTE_WORDS = ["the", "der", "que", "pour", "license"]
 WITH v AS (SELECT doc_id, w, len(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x = w))
   + 3 * len(list_filter(regexp_split_to_array(lower(string_split(text, chr(10))[1]), '[^\\p{L}\\p{N}]+'), lambda x: x = w)) AS score
   FROM documents, (VALUES ('the'), ('der'), ('que'), ('pour'), ('license')) x(w)),
-r AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY score DESC) AS rk FROM v WHERE score > 0)
+r AS (SELECT *, rank() OVER (PARTITION BY doc_id ORDER BY score DESC) AS rk FROM v)
 SELECT doc_id, CASE WHEN COUNT(*) = 1 THEN MIN(w) END AS winner FROM r WHERE rk = 1 GROUP BY 1
 """)
 def weighted_vote(t):
     """A hit in the body counts 1, in the subject (first line) 3; an equal top gives NULL."""
-    text, subject = F.lower("text"), F.lower(F.substring_index("text", "\n", 1))
-    scores = F.array(*[F.struct(
-        F.lit(w).alias("w"),
-        (tx.count_word(text, w) + 3 * tx.count_word(subject, w)).cast("long").alias("score"))
-        for w in VOTE_WORDS])
-    hits = t.documents.select("doc_id", F.explode(scores).alias("v")).select("doc_id", "v.*").where("score > 0")
-    return ag.majority(hits, ["doc_id"], "w", "winner", F.col("score"))
+    hint = hints.weighted_hint(F.lower("text"), F.lower(F.substring_index("text", "\n", 1)), VOTE_WORDS)
+    return t.documents.select("doc_id", hint.alias("winner"))
 
 
 @query("""

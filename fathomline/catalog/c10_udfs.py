@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from fathomline.catalog.derive import mails
 from fathomline.catalog.registry import query
-from fathomline.functions import markup, rules
+from fathomline.functions import markup
 from fathomline.functions import text as tx
-from fathomline.plans import mail
+from fathomline.plans import mail, reports
 
 
 @query()
@@ -23,7 +23,7 @@ def segment_rows(t):
     return mail.segment_rows(mail.clean_rows(mails(t))).select("pk_seq", "segment_no", "display_start", "segment_date", "raw_len")
 
 
-SOURCE_WEIGHTS = {"src1": "5", "src2": "4", "src3": "3"}
+SOURCE_WEIGHTS = {"src1": 5, "src2": 4, "src3": 3}
 
 
 @query("""
@@ -38,7 +38,7 @@ def news_keys(t):
     return t.documents.join(urls, "doc_id", "left").select(
         "doc_id", title.alias("title_key"),
         F.sha2(F.concat(title, F.lit("|"), F.coalesce("u", F.lit(""))), 256).alias("news_hash"),
-        rules.map_value(F.col("source"), SOURCE_WEIGHTS, F.lit("2")).cast("int").alias("weight"))
+        reports.source_weight(F.col("source"), SOURCE_WEIGHTS).alias("weight"))
 
 
 @query()

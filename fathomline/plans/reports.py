@@ -6,9 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.dates import week_start
+from fathomline.functions.rules import map_value
 from fathomline.operators.incremental import newer_than
 
 
+# Weight of a news source, 2 for all others.
+SOURCE_WEIGHTS = {
+    "DIGITIMES": 5, "TrendForce": 5, "The Elec": 5,
+    "工商時報": 4, "經濟日報網": 4, "經濟日報": 4, "電子時報": 4, "CNBC": 4, "Reuters": 4, "Bloomberg": 4, "Nikkei": 4,
+    "今周刊": 3, "資訊時報": 3, "時報資訊": 3, "面板新聞網": 3, "旺得富": 3, "中時新聞網": 3, "自由時報": 3,
+    "聯合報": 2, "中央社": 2, "MoneyDJ": 2,
+}
+DEFAULT_WEIGHT = 2
+
+
+def source_weight(source: Column, weights: dict[str, int] | None = None) -> Column:
+    listed = {k: str(v) for k, v in (weights or SOURCE_WEIGHTS).items()}
+    return map_value(source, listed, F.lit(str(DEFAULT_WEIGHT))).cast("int")
+
+
 def weekly_report(df: DataFrame, source: str, at: str, sender: str, first_week: str, last_week: str) -> DataFrame:
     """Rows, senders and new senders per source and week, with zero for empty cells.
 

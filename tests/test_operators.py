@@ -181,11 +181,11 @@ def test_retry_queue(spark):
 
 
 def test_alias_match_short_and_long(spark):
-    names = spark.createDataFrame([(1, "Samsung VD, Seoul"), (2, "DVD maker"), (3, "team vd"), (4, "SAMSUNG"), (5, None)], "id int, raw string")
-    aliases = spark.createDataFrame([("Samsung", "sam"), ("Samsung VD", "sam_vd"), ("VD", "vd")], "alias string, entity string")
+    names = spark.createDataFrame([(1, "Acme VD, Utopia"), (2, "DVD maker"), (3, "team vd"), (4, "ACME"), (5, None)], "id int, raw string")
+    aliases = spark.createDataFrame([("Acme", "acme"), ("Acme VD", "acme_vd"), ("VD", "vd")], "alias string, entity string")
     for hot in (1, 1000):
         out = matching.alias_match(names, "raw", "id", aliases, "alias", "entity", hot_rows=hot)
-        assert rows(out.fillna("-"), "id", "entity") == [(1, "sam_vd"), (2, "-"), (3, "vd"), (4, "sam"), (5, "-")]
+        assert rows(out.fillna("-"), "id", "entity") == [(1, "acme_vd"), (2, "-"), (3, "vd"), (4, "acme"), (5, "-")]
 
 
 def test_number_leaks_need_boundaries_and_units(spark):

@@ -110,10 +110,10 @@ def mask_dictionary(text: Column, entries: Column) -> Column:
     Longest names first; ASCII names need non-alphanumeric neighbours, and single
     words keep their case so that common words stay.
     """
-    ordered = F.reverse(F.array_sort(F.transform(
+    ordered = F.array_sort(F.transform(
         F.filter(entries, lambda e: F.when(e["name"].rlike(r"^\p{ASCII}+$"), F.length(e["name"]) >= 3).otherwise(
             F.length(e["name"]) >= 2)),
-        lambda e: F.struct(F.length(e["name"]).alias("len"), e["name"].alias("name"), e["token"].alias("token")))))
+        lambda e: F.struct((-F.length(e["name"])).alias("len"), e["name"].alias("name"), e["token"].alias("token"))))
 
     def pattern(e):
         quoted = F.concat(F.lit(r"\Q"), F.replace(e["name"], F.lit(r"\E"), F.lit("")), F.lit(r"\E"))

@@ -158,21 +158,20 @@ def segment_rows(mails: DataFrame) -> DataFrame:
 
 def clean_segments(segs: DataFrame, parts: DataFrame, attachments: Column | None = None) -> DataFrame:
     """Header rewrite, masking by the mail's own participants, layout clean, kind and hash."""
-    names = parts.where("kind = 'person'").select("pk_seq", F.explode(F.array(
-        F.struct(F.col("display_name").alias("name")), F.struct(F.col("name_zh").alias("name")),
-        F.struct(F.col("name_en").alias("name")), F.struct(F.col("email").alias("name")))).alias("n"), "token").select(
-        "pk_seq", "n.name", "token").where("name IS NOT NULL AND name <> ''")
-    mailed = parts.where("kind = 'group' AND email IS NOT NULL").select("pk_seq", F.col("email").alias("name"), "token")
-    # distinct names of one mail: bounded by its participants
-    book = names.unionByName(mailed).groupBy("pk_seq", "name").agg(F.min("token").alias("token")).groupBy("pk_seq").agg(
-        F.collect_list(F.struct("name", F.concat(F.lit("<"), "token", F.lit(">")).alias("token"))).alias("entries"))
-    froms = parts.where("role = 'from'").groupBy("pk_seq", "segment_no").agg(F.min("token").alias("from_token"))
-    df = segs.join(book, "pk_seq", "left").join(froms, ["pk_seq", "segment_no"], "left")
+    # one grouping gives the names to mask and the sender of every header; the participants of a mail bound it
+    own_names = F.when(F.col("kind") == "person", F.array("display_name", "name_zh", "name_en", "email")).otherwise(F.array("email"))
+    token = F.concat(F.lit("<"), "token", F.lit(">"))
+    masks = F.transform(F.filter(own_names, lambda n: F.coalesce(n, F.lit("")) != ""), lambda n: F.struct(n.alias("name"), token.alias("token")))
+    book = parts.groupBy("pk_seq").agg(
+        F.array_distinct(F.flatten(F.collect_list(masks))).alias("entries"),
+        F.collect_set(F.when(F.col("role") == "from", F.struct("segment_no", token.alias("token")))).alias("froms"))
+    df = segs.join(book, "pk_seq", "left")
+    senders = F.transform(F.filter("froms", lambda f: f["segment_no"] == F.col("segment_no")), lambda f: f["token"])
     entries = F.coalesce("entries", F.array().cast("array<struct<name:string,token:string>>"))
     body = F.when(F.col("has_header"), F.expr("substring(raw_text, head_len + 1)")).otherwise(F.col("raw_text"))
-    df = fenced(df, {"head_len": sg.header_length(F.col("head_text")), "entries": entries,
+    df = fenced(df, {"head_len": sg.header_length(F.col("head_text")), "entries": entries, "from_token": F.array_min(senders),
                      "_subject": sg.field(F.col("head_text"), "Subject")})
-    who = F.coalesce(F.concat(F.lit("<"), "from_token", F.lit(">")), F.lit("<unknown>"))
+    who = F.coalesce("from_token", F.lit("<unknown>"))
     head = F.concat_ws("\n", F.concat(who, F.lit(":")),
                        F.concat(F.lit("Sent: "), F.date_format("sent_at", "yyyy-MM-dd HH:mm")),
                        F.concat(F.lit("Subject: "), sg.mask_dictionary(F.col("_subject"), F.col("entries"))))

@@ -5,8 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+from fathomline.functions import markup, text
+
+# Functions of these modules run in Python workers: they travel with the task, so
+# executors need no copy of the package.
+for _module in (markup, text):
+    cloudpickle.register_pickle_by_value(_module)
+
 # Settings that every job assumes. Shuffle partition counts are left to the
 # cluster: AQE coalesces small ones and splits skewed ones.
 SETTINGS = {

@@ -95,5 +95,6 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = WIDTH, conta
 
 def decontaminated(docs: DataFrame, items: DataFrame, width: int = WIDTH, containment: float = CONTAINMENT) -> DataFrame:
     """Rows of ``docs`` that contain no item. A document with a null id is judged by the pairs of the null id."""
-    hits = contained_items(docs, items, width, containment).select(F.col("doc_id").alias("_hit")).distinct()
+    found = contained_items(docs, items, width, containment).select(F.col("doc_id").alias("_hit")).distinct()
+    hits = small(written(found, "contaminated"))
     return docs.join(hits, docs["doc_id"].eqNullSafe(hits["_hit"]), "left_anti")

@@ -24,7 +24,7 @@ CENTROIDS = 4
 # At most this many labelled texts of each language are used to fit (smallest hashes of their ids).
 SAMPLE = 1500
 # A text is rejected below this share of the cosine that all but a thousandth of the sample reach.
-REJECT = 0.4
+REJECT = 0.2
 ROUNDS = 10
 BLOCK = 1 << 20
 _LETTER = re.compile(r"[^\W\d_]")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fathomline.llm import decontaminate, language_id, mixing, quality_rules, simhash, sql_parts, url_rules
+from fathomline.llm import decontaminate, language_id, mixing, quality_mil, quality_rules, sharding, simhash, sql_parts, suffix_repeats, toxicity, url_rules
 from fathomline.llm.registry import query
 
 # Relative weights of sources in the mixture; a source not named has weight 1.
@@ -19,6 +19,20 @@ def op1_quality_rules(t):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query()
+def op2_suffix_repeats(t):
+    made = suffix_repeats.without_repeats(t.documents)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return made.select(
+        "doc_id", (F.octet_length("kept") + removed).cast("bigint").alias("n_bytes"), removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op3_toxicity(t):
+    return toxicity.toxicity(t.documents, t.labels)
+
+
 @query(sql_parts.DECONTAMINATION)
 def op4_decontamination(t):
     return decontaminate.contained_items(t.documents, t.benchmark)
@@ -45,3 +59,16 @@ def op7_source_mixing(t):
 @query()
 def op8_language_id(t):
     return language_id.identified(t.documents)
+
+
+@query()
+def op9_sharding(t):
+    placed = sharding.sharded(t.documents.select("doc_id", "text"))
+    return placed.select(
+        "doc_id", sharding.record_bytes(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query()
+def op10_quality_mil(t):
+    return quality_mil.quality_scores(t.documents, t.labels)

@@ -35,8 +35,10 @@ from fathomline.session import written
 LENGTH = 50
 GRAM = 18
 SPAN = LENGTH - GRAM + 1
-CHUNK_BYTES = 24 << 20
-BUCKET_BYTES = 24 << 20
+CHUNK_BYTES = 12 << 20
+# Document bytes for each bucket of anchors, and for each bucket of strings: a string needs more memory to sort.
+BUCKET_BYTES = 16 << 20
+STRING_BUCKET_BYTES = 2 << 20
 BLOCK = 1 << 20
 MANY_CONTEXTS = 64
 LAST_ID = 2**63 - 1
@@ -485,7 +487,7 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, raw binary")
 
 
-def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, string_bucket_bytes: int = STRING_BUCKET_BYTES) -> DataFrame:
     """doc_id, removed spans and remaining bytes (``kept``) of every row of ``docs`` (doc_id, text).
 
     Null and empty texts have no bytes. A null doc_id counts as larger than all others.
@@ -493,7 +495,7 @@ def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFr
     and each keeps its own result. Other columns are ignored.
     """
     total = docs.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first()["n"] or 0
-    buckets = max(1, -(-total // bucket_bytes))
+    buckets, string_buckets = (max(1, -(-total // b)) for b in (bucket_bytes, string_bucket_bytes))
     texts = packed_texts(docs)
     found = texts.mapInArrow(lambda b: anchor_rows(b, buckets), ANCHOR_ROWS)
     outcomes = written(found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(settle, OUTCOME_ROWS), "repeat_anchors")
@@ -504,7 +506,7 @@ def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFr
             rows = rows.union(k)
         return rows.repartition("doc_id").sortWithinPartitions("doc_id", "kind")
 
-    pieces = with_texts(outcomes).mapInArrow(lambda b: string_rows(b, buckets), STRING_ROWS)
+    pieces = with_texts(outcomes).mapInArrow(lambda b: string_rows(b, string_buckets), STRING_ROWS)
     strings = written(pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(repeated_strings, OUTCOME_ROWS), "repeat_strings")
     made = with_texts(outcomes.where(F.col("kind") == SETTLED), strings).mapInArrow(removals, REMOVED_ROWS)
     return made.select(F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"), "spans", "kept")

@@ -23,8 +23,6 @@ from fathomline.session import written
 
 WIDTH = 5
 CONTAINMENT = 0.8
-# Candidate documents up to this number are broadcast for the exact step; more are shuffled.
-VERIFY_ROWS = 5_000
 WORDS = r"[\p{L}\p{N}]+"
 
 
@@ -82,8 +80,8 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = WIDTH, conta
 
     # Exact step: only candidate documents are read again, and their words stay one array.
     item_sets = sketches.select("item_id", "n_item", "item_shingles").dropDuplicates(["item_id", "item_shingles"])
-    wanted = small(pairs.join(item_sets, F.col("_item").eqNullSafe(F.col("item_id"))).groupBy("_doc").agg(
-        F.collect_list(F.struct("item_id", "n_item", "item_shingles")).alias("_items")), VERIFY_ROWS)
+    wanted = pairs.join(item_sets, F.col("_item").eqNullSafe(F.col("item_id"))).groupBy("_doc").agg(
+        F.collect_list(F.struct("item_id", "n_item", "item_shingles")).alias("_items"))
     near = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")))
     own = fenced(near.select("doc_id", "_items", "text"), {"_w": norm_words(F.col("text"))}).select("doc_id", "_items", "_w")
     sets = fenced(own, {"_s": F.array_distinct(shingles(F.col("_w"), width))})

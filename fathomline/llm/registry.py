@@ -14,13 +14,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Settings of the library, and shuffle files deleted once their result is written.
+
+    The operators write intermediate tables to the shared folder, so the shuffles behind
+    them are not read again; a large job would otherwise keep them all until it ends.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return session.configure(spark)
+
+
 def query(sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` under its own name; ``sql`` is the statement it must equal."""
 
     def register(fn: Callable[[Tables], DataFrame]):
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            session.configure(spark)
+            configure(spark)
             return fn(Tables(spark, sf_dir))
 
         QUERIES[fn.__name__] = run

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fathomline import session
 from fathomline.llm import decontaminate, language_id, mixing, sharding, simhash
 from fathomline.llm.queries import SEED, SOURCE_WEIGHTS
+from fathomline.llm.registry import configure
 from fathomline.sources.tables import Tables
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,31 +21,31 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; texts without letters or far from every language go."""
-    session.configure(spark)
+    configure(spark)
     return language_id.confident(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group."""
-    session.configure(spark)
+    configure(spark)
     return simhash.deduplicated(docs)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    session.configure(spark)
+    configure(spark)
     return decontaminate.decontaminated(docs, Tables(spark, sf_dir).benchmark)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of documents so that sources reach their target weights, in random order."""
-    session.configure(spark)
+    configure(spark)
     return mixing.mixed(docs, SOURCE_WEIGHTS, 1.0, SEED).select(*docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows with their shard and slot in a global random order."""
-    session.configure(spark)
+    configure(spark)
     return sharding.sharded(docs, seed=SEED)
 
 
@@ -62,7 +63,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read as the next one's input."""
-    session.configure(spark)
+    configure(spark)
     docs = Tables(spark, sf_dir).documents
     for name, stage in STAGES[:-1]:
         docs = session.written(stage(spark, docs, sf_dir), f"pipeline_{name}")

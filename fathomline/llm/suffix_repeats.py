@@ -42,6 +42,7 @@ STRING_BUCKET_BYTES = 2 << 20
 BLOCK = 1 << 20
 MANY_CONTEXTS = 64
 LAST_ID = 2**63 - 1
+NOWHERE = np.zeros(0, np.int64)
 UNSHARED, OPEN, OPEN_MANY, SETTLED, REPEATED = range(5)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -197,18 +198,21 @@ def anchor_rows(batches, buckets: int):
                 "contexts": pa.array([context[i[(m == 0) | (m == 2)]].tobytes()]), "docs": pa.array([_squeeze(doc[own])]), "places": pa.array([_squeeze(place[own])])})
 
 
-OUTCOME_ROWS = "doc_id bigint, kind int, raw binary"
+OUTCOME_ROWS = "part bigint, docs binary, kinds binary, places binary"
 
 
-def _outcomes(doc: np.ndarray, kind: np.ndarray, place: np.ndarray):
-    """Rows (doc_id, kind, positions), one for each document and kind."""
-    order = np.lexsort((place, kind, doc))
-    doc, kind, place = doc[order], kind[order], place[order]
-    edges = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (kind[1:] != kind[:-1]), True]) if len(doc) else np.zeros(1, np.int64)
-    for low in range(0, len(edges) - 1, 20_000):
-        cut = edges[low:low + 20_001]
-        yield _batch({"doc_id": pa.array(doc[cut[:-1]]), "kind": pa.array(kind[cut[:-1]].astype(np.int32)),
-                      "raw": pa.array([place[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:])], pa.binary())})
+def _part(doc: np.ndarray, parts: int) -> np.ndarray:
+    """Group of documents, by which what is known of them travels."""
+    return (_mix(doc.astype(np.int64).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
+def _outcomes(doc: np.ndarray, kind: np.ndarray, place: np.ndarray, parts: int):
+    """Packed (document, kind, position), one row for each group of documents."""
+    part = _part(doc, parts)
+    order = np.lexsort((doc, part))
+    for at, end in _pieces(part[order]):
+        i = order[at:end]
+        yield _batch({"part": pa.array(part[i[:1]]), "docs": pa.array([_squeeze(doc[i])]), "kinds": pa.array([_squeeze(kind[i].astype(np.uint8))]), "places": pa.array([_squeeze(place[i].astype(np.int64))])})
 
 
 def _by_bucket(batches, names: list[str]):
@@ -225,7 +229,7 @@ def _by_bucket(batches, names: list[str]):
         yield held
 
 
-def settle(batches):
+def settle(batches, groups: int):
     """Step 1, per bucket: what is known of each anchor that other documents share."""
     for rows in _by_bucket(batches, ["marks", "grams", "contexts", "docs", "places"]):
         parts = []
@@ -240,7 +244,7 @@ def settle(batches):
         mark, gram, context, doc, place = (np.concatenate([x[i] for x in parts]) for i in range(5))
         del parts
         done = mark == 1
-        yield from _outcomes(doc[done], np.full(int(done.sum()), SETTLED), place[done])
+        yield from _outcomes(doc[done], np.full(int(done.sum()), SETTLED), place[done], groups)
         noted = np.unique(gram[mark == 3])
         use = np.flatnonzero((mark == 0) | (mark == 2))
         order = use[np.lexsort((doc[use], context[use], gram[use]))]
@@ -254,28 +258,42 @@ def settle(batches):
         many = np.isin(gram[first], noted)[np.cumsum(new_gram) - 1] | (mark == 2)
         shared = (np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first))[np.cumsum(new_gram) - 1] | many
         kind = np.where(doc > lowest, SETTLED, np.where(many, OPEN_MANY, OPEN))
-        yield from _outcomes(doc[shared], kind[shared], place[shared])
+        yield from _outcomes(doc[shared], kind[shared], place[shared], groups)
+
+
+KNOWN_ROWS = ("part", "doc_id", "raw", "docs", "kinds", "places")
 
 
 def _by_document(batches):
-    """(doc_id, [texts], {kind: positions}) of each document; rows come sorted by document, texts first."""
-    doc, texts, known = None, [], {}
-    for batch in batches:
-        for d, kind, raw in zip(batch.column("doc_id").to_pylist(), batch.column("kind").to_pylist(), batch.column("raw").to_pylist()):
-            if d != doc:
-                if doc is not None:
-                    yield doc, texts, known
-                doc, texts, known = d, [], {}
-            if kind < 0:
-                texts.append(raw)
-            else:
-                known.setdefault(kind, []).append(raw)
-    if doc is not None:
-        yield doc, texts, known
+    """(doc_id, [texts], {kind: positions}) of each document.
+
+    Rows come sorted by group of documents: what is known of the group first, then its texts by document.
+    """
+    part, packed, table, doc, texts = None, [], None, None, []
 
+    def known(d: int) -> dict:
+        docs, kinds, places = table
+        low, high = np.searchsorted(docs, [d, d + 1]) if d < LAST_ID else (np.searchsorted(docs, d), len(docs))
+        return {k: places[low:high][kinds[low:high] == k] for k in np.unique(kinds[low:high]).tolist()}
 
-def _places(known: dict, kind: int, size) -> np.ndarray:
-    return np.frombuffer(b"".join(known.get(kind, [])), size)
+    for batch in batches:
+        for g, d, raw, docs, kinds, places in zip(*[batch.column(c).to_pylist() for c in KNOWN_ROWS]):
+            if (g, d) != (part, doc) and texts:
+                yield doc, texts, known(doc)
+                texts = []
+            if g != part:
+                part, packed, table = g, [], None
+            doc = d
+            if raw is None:
+                packed.append((_spread(docs, np.int64), _spread(kinds, np.uint8), _spread(places, np.int64)))
+                continue
+            if table is None:
+                columns = [np.concatenate([p[i] for p in packed]) if packed else np.zeros(0, t) for i, t in enumerate((np.int64, np.uint8, np.int64))]
+                order = np.lexsort((columns[2], columns[0]))
+                table, packed = [c[order] for c in columns], []
+            texts.append(raw)
+    if texts:
+        yield doc, texts, known(doc)
 
 
 def open_strings(n: int, at: np.ndarray, gram: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -284,8 +302,13 @@ def open_strings(n: int, at: np.ndarray, gram: np.ndarray, state: np.ndarray) ->
     The own anchor of a string is the smallest gram inside it, the first of equal ones; it
     follows from the string alone.
     """
-    start = np.arange(max(0, n - LENGTH + 1))
-    low, high = np.searchsorted(at, start), np.searchsorted(at, start + SPAN)
+    near = np.zeros(n + SPAN, bool)
+    near[(at[(state == OPEN) | (state == OPEN_MANY)][:, None] - np.arange(SPAN)).ravel()] = True
+    start = np.flatnonzero(near[:max(0, n - LENGTH + 1)])
+    before = np.zeros(n + SPAN + 1, np.int64)
+    before[at + 1] = 1
+    before = np.cumsum(before)
+    low, high = before[start], before[start + SPAN]
     settled = np.r_[0, np.cumsum(state == SETTLED)]
     free = settled[high] == settled[low]
     start, low, high = start[free], low[free], high[free]
@@ -317,7 +340,7 @@ def string_rows(batches, buckets: int):
             state = np.full(len(at), OPEN_MANY if len(texts) > 1 else UNSHARED)
             if len(texts) == 1:
                 for kind in (OPEN, OPEN_MANY, SETTLED):
-                    state[np.searchsorted(at, _places(known, kind, np.uint32))] = kind
+                    state[np.searchsorted(at, known.get(kind, NOWHERE))] = kind
             start, first = open_strings(len(raw), at, gram, state)
             if not len(start):
                 continue
@@ -369,11 +392,12 @@ def extension(p: Prefix, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return low
 
 
-def suffix_sort(raw: np.ndarray, p: Prefix, start: np.ndarray, group: np.ndarray) -> np.ndarray:
+def suffix_sort(raw: np.ndarray, p: Prefix, start: np.ndarray, group: np.ndarray, whole: np.ndarray) -> np.ndarray:
     """Order of the suffixes at ``start`` by group, then by their first ``LENGTH`` bytes.
 
     A bottom-up mergesort inside the groups. A merge places each suffix by binary search
-    in the run it is merged with; all merges of a level go together.
+    in the run it is merged with; all merges of a level go together. ``whole`` are the
+    hashes of the first ``LENGTH`` bytes: where they are equal, no search is needed.
     """
     order = np.argsort(group, kind="stable")
     grouped = group[order]
@@ -392,11 +416,12 @@ def suffix_sort(raw: np.ndarray, p: Prefix, start: np.ndarray, group: np.ndarray
         mine = start[order[slot]]
         while (todo := np.flatnonzero(low < high)).size:
             mid = (low[todo] + high[todo]) // 2
-            a, b = mine[todo], start[order[base[todo] + mid]]
-            common = extension(p, a, b)
-            end = common >= LENGTH
-            reach = np.minimum(common, LENGTH - 1)
-            before = np.where(end, ~left[todo], raw[b + reach] < raw[a + reach])
+            there = order[base[todo] + mid]
+            before = ~left[todo]
+            differ = np.flatnonzero(whole[order[slot[todo]]] != whole[there])
+            a, b = mine[todo[differ]], start[there[differ]]
+            reach = np.minimum(extension(p, a, b), LENGTH - 1)
+            before[differ] = raw[b + reach] < raw[a + reach]
             low[todo] = np.where(before, mid + 1, low[todo])
             high[todo] = np.where(before, high[todo], mid)
         new = base + (run - run % 2) * width + inside % width + (low - other)
@@ -406,14 +431,14 @@ def suffix_sort(raw: np.ndarray, p: Prefix, start: np.ndarray, group: np.ndarray
     return order
 
 
-def repeated_strings(batches):
+def repeated_strings(batches, groups: int):
     """Step 2, per bucket: starts of strings that a smaller document holds too."""
     for rows in _by_bucket(batches, ["keys", "docs", "places", "sizes", "offsets", "texts"]):
         parts = [(np.frombuffer(k, np.uint64), _spread(d, np.int64), _spread(w, np.int64), _spread(s, np.uint8), _spread(o, np.uint8)) for k, d, w, s, o, _ in rows]
         key, doc, place, count, offset = (np.concatenate([x[i] for x in parts]) for i in range(5))
         raw = np.frombuffer(b"".join(zstandard.decompress(r[5]) for r in rows), np.uint8)
         spare = count == 0
-        yield from _outcomes(doc[spare], np.full(int(spare.sum()), REPEATED), place[spare])
+        yield from _outcomes(doc[spare], np.full(int(spare.sum()), REPEATED), place[spare], groups)
         key, doc, place, count, offset = (x[~spare] for x in (key, doc, place, count.astype(np.int64), offset.astype(np.int64)))
         if not len(key):
             continue
@@ -422,11 +447,11 @@ def repeated_strings(batches):
         doc, place = np.repeat(doc, count), np.repeat(place, count) + step
         group = _mix(np.repeat(key, count) + (np.repeat(offset, count) - step).astype(np.uint64) * _BASE)
         p = Prefix(raw)
-        order = suffix_sort(raw, p, start, group)
+        whole = p.part(start, start + LENGTH)
+        order = suffix_sort(raw, p, start, group, whole)
         a, b = order[:-1], order[1:]
         equal = np.zeros(len(a), bool)
-        near = np.flatnonzero(group[a] == group[b])
-        near = near[extension(p, start[a[near]], start[b[near]]) >= LENGTH]
+        near = np.flatnonzero((group[a] == group[b]) & (whole[a] == whole[b]))
         view = np.lib.stride_tricks.sliding_window_view(raw, LENGTH)
         for at in range(0, len(near), 200_000):
             part = near[at:at + 200_000]
@@ -434,7 +459,7 @@ def repeated_strings(batches):
         new = np.r_[True, ~equal]
         lowest = np.minimum.reduceat(doc[order], np.flatnonzero(new))[np.cumsum(new) - 1]
         hit = order[doc[order] > lowest]
-        yield from _outcomes(doc[hit], np.full(len(hit), REPEATED), place[hit])
+        yield from _outcomes(doc[hit], np.full(len(hit), REPEATED), place[hit], groups)
 
 
 def covered(n: int, contexts: np.ndarray, strings: np.ndarray) -> np.ndarray:
@@ -458,10 +483,10 @@ def removals(batches):
         return _batch({"doc_id": pa.array(docs, pa.int64()), "spans": pa.array(spans, shape), "kept": pa.array(kept, pa.binary())})
 
     for doc, texts, known in _by_document(batches):
-        strings = _places(known, REPEATED, np.int64)
+        strings = known.get(REPEATED, NOWHERE)
         for variant, packed in enumerate(sorted(texts)):
             raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
-            contexts = _places(known, SETTLED, np.uint32) if len(texts) == 1 else np.zeros(0, np.uint32)
+            contexts = known.get(SETTLED, NOWHERE) if len(texts) == 1 else NOWHERE
             gone = covered(len(raw), contexts, strings[strings >> 32 == variant] & 0xFFFFFFFF)
             edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
             docs.append(doc)
@@ -475,16 +500,17 @@ def removals(batches):
         yield out()
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, raw): texts as compressed UTF-8 bytes, half the size in a shuffle. A null text is empty."""
+def packed_texts(docs: DataFrame, groups: int) -> DataFrame:
+    """(part, doc_id, raw): texts as compressed UTF-8 bytes, half the size in a shuffle. A null text is empty."""
 
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             raw = [squeeze.compress((t or "").encode("utf-8", "replace")) for t in batch.column("text").to_pylist()]
-            yield _batch({"doc_id": batch.column("doc_id"), "raw": pa.array(raw, pa.binary())})
+            part = _part(batch.column("doc_id").to_numpy(zero_copy_only=False), groups)
+            yield _batch({"part": pa.array(part), "doc_id": batch.column("doc_id"), "raw": pa.array(raw, pa.binary())})
 
-    return docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, raw binary")
+    return docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("bigint").alias("doc_id"), "text").mapInArrow(run, "part bigint, doc_id bigint, raw binary")
 
 
 def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, string_bucket_bytes: int = STRING_BUCKET_BYTES) -> DataFrame:
@@ -496,17 +522,17 @@ def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, string_bu
     """
     total = docs.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first()["n"] or 0
     buckets, string_buckets = (max(1, -(-total // b)) for b in (bucket_bytes, string_bucket_bytes))
-    texts = packed_texts(docs)
+    texts = packed_texts(docs, string_buckets)
     found = texts.mapInArrow(lambda b: anchor_rows(b, buckets), ANCHOR_ROWS)
-    outcomes = written(found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(settle, OUTCOME_ROWS), "repeat_anchors")
+    outcomes = written(found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: settle(b, string_buckets), OUTCOME_ROWS), "repeat_anchors")
 
     def with_texts(*known: DataFrame) -> DataFrame:
-        rows = texts.select("doc_id", F.lit(-1).alias("kind"), "raw")
+        rows = texts.withColumn("stage", F.lit(1))
         for k in known:
-            rows = rows.union(k)
-        return rows.repartition("doc_id").sortWithinPartitions("doc_id", "kind")
+            rows = rows.unionByName(k.withColumn("stage", F.lit(0)), allowMissingColumns=True)
+        return rows.repartition("part").sortWithinPartitions("part", "stage", "doc_id").select(*KNOWN_ROWS)
 
     pieces = with_texts(outcomes).mapInArrow(lambda b: string_rows(b, string_buckets), STRING_ROWS)
-    strings = written(pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(repeated_strings, OUTCOME_ROWS), "repeat_strings")
-    made = with_texts(outcomes.where(F.col("kind") == SETTLED), strings).mapInArrow(removals, REMOVED_ROWS)
+    strings = written(pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: repeated_strings(b, string_buckets), OUTCOME_ROWS), "repeat_strings")
+    made = with_texts(outcomes, strings).mapInArrow(removals, REMOVED_ROWS)
     return made.select(F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"), "spans", "kept")

@@ -22,8 +22,6 @@ anchor with many different contexts in a chunk is dealt by context, then by stri
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -35,12 +33,13 @@ from fathomline.session import written
 LENGTH = 50
 GRAM = 18
 SPAN = LENGTH - GRAM + 1
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 # Document bytes for each bucket of anchors, and for each bucket of strings: a string needs more memory to sort.
-BUCKET_BYTES = 16 << 20
-STRING_BUCKET_BYTES = 2 << 20
+BUCKET_BYTES = 12 << 20
+STRING_BUCKET_BYTES = 1 << 20
 BLOCK = 1 << 20
 MANY_CONTEXTS = 64
+KEPT_POWERS = BLOCK + 8 * LENGTH + 2
 LAST_ID = 2**63 - 1
 NOWHERE = np.zeros(0, np.int64)
 UNSHARED, OPEN, OPEN_MANY, SETTLED, REPEATED = range(5)
@@ -48,7 +47,6 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 
 
-@lru_cache(maxsize=4)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     inverse = np.uint64(pow(int(_BASE), -1, 2**64))
@@ -60,6 +58,16 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+_KEPT: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    """The powers for all but very long arrays, computed once in a task."""
+    if not _KEPT:
+        _KEPT[0] = _powers(KEPT_POWERS)
+    return _KEPT[0]
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -70,9 +78,11 @@ class Prefix:
     """Prefix polynomial hashes of a byte array: the hash of any part in constant time."""
 
     def __init__(self, raw: np.ndarray):
-        self.power, self.inverse = _powers(1 << max(12, int(len(raw)).bit_length()))
+        power, self.inverse = _kept_powers() if len(raw) < KEPT_POWERS else _powers(len(raw) + 1)
         self.sums = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_BYTES[raw] * self.power[:len(raw)], out=self.sums[1:])
+        values = _BYTES[raw]
+        values *= power[:len(raw)]
+        np.cumsum(values, out=self.sums[1:])
 
     def part(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return (self.sums[end] - self.sums[start]) * self.inverse[start]
@@ -89,7 +99,12 @@ def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
 
 def _grams(p: Prefix, n: int) -> np.ndarray:
     m = n - GRAM + 1
-    return _mix((p.sums[GRAM:n + 1] - p.sums[:m]) * p.inverse[:m])
+    x = p.sums[GRAM:n + 1] - p.sums[:m]
+    x *= p.inverse[:m]
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(29)
+    return x
 
 
 def _picked(grams: np.ndarray) -> np.ndarray:
@@ -99,8 +114,8 @@ def _picked(grams: np.ndarray) -> np.ndarray:
     return np.flatnonzero(_slide(np.concatenate([edge, lowest, edge]), SPAN, np.maximum) == grams)
 
 
-def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions, gram hashes and context hashes of a whole text's anchors.
+def anchors(raw: np.ndarray, contexts: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions, gram hashes and (if asked for) context hashes of a whole text's anchors.
 
     A long text is worked through in blocks that overlap by more than a context.
     """
@@ -116,6 +131,9 @@ def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         grams = _grams(p, high - low)
         at = _picked(grams)
         at = at[(at + low >= core) & (at + low < core + BLOCK)]
+        if not contexts:
+            out.append((at + low, grams[at], grams[:0]))
+            continue
         left, right = np.minimum(at + low, SPAN - 1), np.minimum(n - low - at, LENGTH)
         shape = (left * 64 + right).astype(np.uint64)
         out.append((at + low, grams[at], _mix(p.part(at - left, at + right) + shape * np.uint64(0xD6E8FEB86659FD93))))
@@ -336,7 +354,7 @@ def string_rows(batches, buckets: int):
             continue
         for variant, packed in enumerate(sorted(texts)):
             raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
-            at, gram, _ = anchors(raw)
+            at, gram, _ = anchors(raw, contexts=False)
             state = np.full(len(at), OPEN_MANY if len(texts) > 1 else UNSHARED)
             if len(texts) == 1:
                 for kind in (OPEN, OPEN_MANY, SETTLED):
@@ -349,7 +367,10 @@ def string_rows(batches, buckets: int):
             begin = np.flatnonzero(cut)
             count = np.diff(np.r_[begin, len(start)])
             p = start[begin]
-            key = np.where(many[begin], _mix(Prefix(raw).part(p, p + LENGTH)), gram[first[begin]])
+            key = gram[first[begin]]
+            if many.any():
+                single = p[many[begin]]
+                key[many[begin]] = _mix(Prefix(raw).part(single, single + LENGTH))
             offset = np.where(many[begin], 0, at[first[begin]] - p)
             held.append((np.full(len(p), doc), p + (variant << 32), count, offset, key, many[begin], [raw[a:a + LENGTH + c - 1].tobytes() for a, c in zip(p.tolist(), count.tolist())]))
             size += int(count.sum()) + LENGTH * len(p)

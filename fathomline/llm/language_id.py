@@ -114,7 +114,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS, b
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         texts = [t for t in group["text"] if has_letter(t)]
         if not texts:
-            return pd.DataFrame({"lang": [], "centre": [], "limit": []})
+            return pd.DataFrame({"lang": pd.Series(dtype=object), "centre": pd.Series(dtype=object), "limit": pd.Series(dtype=float)})
         x = vectors(texts, idf)
         c = spherical_kmeans(x, centroids)
         limit = float(np.quantile((x @ c.T).max(axis=1), 0.001)) * REJECT

@@ -36,7 +36,9 @@ SPAN = LENGTH - GRAM + 1
 CHUNK_BYTES = 8 << 20
 # Document bytes for each bucket of anchors, and for each bucket of strings: a string needs more memory to sort.
 BUCKET_BYTES = 12 << 20
-STRING_BUCKET_BYTES = 1 << 20
+STRING_BUCKET_BYTES = 2 << 20
+# Document bytes for each group by which results travel back to the texts.
+GROUP_BYTES = 8 << 20
 BLOCK = 1 << 20
 MANY_CONTEXTS = 64
 KEPT_POWERS = BLOCK + 8 * LENGTH + 2
@@ -543,9 +545,10 @@ def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, string_bu
     """
     total = docs.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first()["n"] or 0
     buckets, string_buckets = (max(1, -(-total // b)) for b in (bucket_bytes, string_bucket_bytes))
-    texts = packed_texts(docs, string_buckets)
+    groups = max(1, -(-total // GROUP_BYTES))
+    texts = packed_texts(docs, groups)
     found = texts.mapInArrow(lambda b: anchor_rows(b, buckets), ANCHOR_ROWS)
-    outcomes = written(found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: settle(b, string_buckets), OUTCOME_ROWS), "repeat_anchors")
+    outcomes = written(found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: settle(b, groups), OUTCOME_ROWS), "repeat_anchors")
 
     def with_texts(*known: DataFrame) -> DataFrame:
         rows = texts.withColumn("stage", F.lit(1))
@@ -554,6 +557,6 @@ def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, string_bu
         return rows.repartition("part").sortWithinPartitions("part", "stage", "doc_id").select(*KNOWN_ROWS)
 
     pieces = with_texts(outcomes).mapInArrow(lambda b: string_rows(b, string_buckets), STRING_ROWS)
-    strings = written(pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: repeated_strings(b, string_buckets), OUTCOME_ROWS), "repeat_strings")
+    strings = written(pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: repeated_strings(b, groups), OUTCOME_ROWS), "repeat_strings")
     made = with_texts(outcomes, strings).mapInArrow(removals, REMOVED_ROWS)
     return made.select(F.nullif("doc_id", F.lit(LAST_ID)).alias("doc_id"), "spans", "kept")

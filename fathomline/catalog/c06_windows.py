@@ -215,14 +215,14 @@ def serial_continue(t):
 
 @query("""
 WITH n AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS rn FROM documents WHERE lang <> 'en')
-SELECT doc_id, 'T' || lpad(CAST((SELECT COUNT(*) FROM documents WHERE lang = 'en') + rn AS VARCHAR), 6, '0') AS ledger_id FROM n
+SELECT doc_id, 'T' || format('{:06d}', (SELECT COUNT(*) FROM documents WHERE lang = 'en') + rn) AS ledger_id FROM n
 """)
 def ledger_ids(t):
     """New topics numbered on from the stored maximum in a global order, without one global sort task."""
     base = t.documents.where("lang = 'en'").agg(F.count(F.lit(1))).scalar()
     new = t.documents.where("lang <> 'en'").select("doc_id")
     numbered = numbering.bucketed_row_number(new, [], F.floor(F.col("doc_id") / 100_000), [F.col("doc_id")], "n")
-    return numbered.select("doc_id", F.concat(F.lit("T"), F.lpad((base + F.col("n")).cast("string"), 6, "0")).alias("ledger_id"))
+    return numbered.select("doc_id", F.concat(F.lit("T"), F.format_string("%06d", base + F.col("n"))).alias("ledger_id"))
 
 
 @query("""

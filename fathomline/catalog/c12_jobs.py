@@ -312,7 +312,7 @@ def ledger_items(t):
 _LEDGER_SQL = """
 i AS (SELECT d.doc_id AS item_key, lang, n_chars, CASE WHEN lang = 'de' THEN 'SEM-000001' WHEN n_chars > 9000 THEN 'SEM-000002' END AS given,
   NULLIF(MIN(d.doc_id) OVER (PARTITION BY sha1(text)), d.doc_id) AS dup_key, COALESCE(quality, 0) = 1 AS verified, DATE '2024-01-01' + CAST(d.doc_id % 28 AS INTEGER) AS date FROM documents d LEFT JOIN labels USING (doc_id)),
-n AS (SELECT item_key, 'SEM-' || lpad(CAST(2 + row_number() OVER (ORDER BY item_key) AS VARCHAR), 6, '0') AS new_id FROM i WHERE given IS NULL AND dup_key IS NULL),
+n AS (SELECT item_key, 'SEM-' || format('{:06d}', 2 + row_number() OVER (ORDER BY item_key)) AS new_id FROM i WHERE given IS NULL AND dup_key IS NULL),
 p AS (SELECT i.*, COALESCE(given, new_id) AS t0, new_id FROM i LEFT JOIN n USING (item_key)),
 r AS (SELECT p.item_key, COALESCE(p.given, p.new_id, q.t0) AS target, p.new_id, p.verified, p.date FROM p LEFT JOIN p q ON q.item_key = p.dup_key)
 """

@@ -149,7 +149,7 @@ def assign_tokens(entries: Column) -> Column:
         known = F.coalesce(F.try_element_at(s["known"], e["key1"]), F.try_element_at(s["known"], e["key2"]))
         is_new, group = known.isNull(), e["kind"] == "group"
         n = F.when(group, s["g"]).otherwise(s["p"]) + 1
-        fresh = F.concat(F.when(group, F.lit("G")).otherwise(F.lit("P")), F.lpad(n.cast("string"), 2, "0"))
+        fresh = F.concat(F.when(group, F.lit("G")).otherwise(F.lit("P")), F.format_string("%02d", n))
         token = F.coalesce(known, fresh)
         keys = F.filter(F.array_distinct(F.array(e["key1"], e["key2"])),
                         lambda k: k.isNotNull() & ~F.map_contains_key(s["known"], F.coalesce(k, F.lit(""))))

@@ -31,7 +31,7 @@ def topic_plan(items: DataFrame, records: DataFrame, evidence: DataFrame, prefix
     top = records.agg(F.coalesce(F.max(F.regexp_extract("record_id", r"(\d+)$", 1).cast("long")), F.lit(0))).scalar()
     numbered = bucketed_row_number(fresh.select("item_key", bucket.alias("_bk"), *[o.alias(f"_o{i}") for i, o in enumerate(order)]),
                                    [], F.col("_bk"), [F.col(f"_o{i}") for i in range(len(order))], "_n")
-    new_ids = numbered.select("item_key", F.concat(F.lit(prefix), F.lpad((top + F.col("_n")).cast("string"), 6, "0")).alias("new_id"))
+    new_ids = numbered.select("item_key", F.concat(F.lit(prefix), F.format_string("%06d", top + F.col("_n"))).alias("new_id"))
     firsts = primaries.unionByName(alone).join(new_ids, "item_key", "left").withColumn("target", F.coalesce("given", "new_id"))
     of_primary = firsts.select(F.col("item_key").alias("dup_key"), F.col("target").alias("_p"))
     seconds = settled.join(of_primary, "dup_key").withColumn("target", F.coalesce("given", "_p")).withColumn(

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathomline.session import written
+
 WORD = r"[^\x20\x09-\x0D]+"
 # A derived table of at most this many rows may be broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 20_000
@@ -27,3 +29,17 @@ def unit_hash(*parts: Column) -> Column:
     """A number in [0, 1) that depends on ``parts`` only: the first 52 bits of an MD5."""
     digest = F.md5(F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
+
+
+def sampled_ids(df: DataFrame, group: str, size: int) -> DataFrame:
+    """(doc_id, group) of the ids with the smallest hashes of each group, at most ``size`` of them.
+
+    Rows are counted by group first; only ids below the hash that leaves twice ``size``
+    of them are ranked, so the task of a group stays small however many rows it has.
+    """
+    mark = F.xxhash64("doc_id")
+    counts = small(written(df.groupBy(group).agg(F.count(F.lit(1)).alias("_rows")), "sample_counts"))
+    share = F.lit(2.0 * size + 64) / F.col("_rows")
+    near = df.select("doc_id", group).join(counts, group).where(mark / F.lit(2.0**64) + 0.5 <= share).select("doc_id", group).distinct()
+    order = Window.partitionBy(group).orderBy(mark, "doc_id")
+    return near.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= size).drop("_r")

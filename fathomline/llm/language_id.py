@@ -13,10 +13,10 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.columns import small
+from fathomline.llm.columns import sampled_ids, small
 from fathomline.session import written
 
 BINS = 8192
@@ -93,9 +93,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS, b
 
     The sample of a language is a bounded group, so one task per language clusters it.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = labelled.select("doc_id", "lang").withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample).select("doc_id", "lang")
-    chosen = written(labelled.select("doc_id", "lang", "text").join(small(picked.distinct(), 1_000_000), ["doc_id", "lang"]), "language_sample")
+    picked = sampled_ids(labelled, "lang", sample)
+    chosen = written(labelled.select("doc_id", "lang", "text").join(small(written(picked, "language_ids"), 1_000_000), ["doc_id", "lang"]), "language_sample")
 
     def frequencies(batches):
         df, n = np.zeros(bins, np.int64), 0
@@ -125,8 +124,8 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS, b
     return Model(idf, [r["lang"] for r in made], centres, np.array([r["limit"] for r in made]))
 
 
-def predicted(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns with lang_pred, score and rejected; languages come from the text alone.
+def predicted(docs: DataFrame, model: Model, keep: list[str], added: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
+    """``keep`` columns with lang_pred, score and rejected, named by ``added``; languages come from the text alone.
 
     A null text or one without letters is ``und`` with score 0 and rejected.
     """
@@ -137,10 +136,10 @@ def predicted(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             names, scores, rejected = shared.value.predict(batch.column("_text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
-                [*keep, "lang_pred", "score", "rejected"])
+                [*keep, *added])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{fields}, lang_pred string, score double, rejected boolean")
+    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{fields}, {added[0]} string, {added[1]} double, {added[2]} boolean")
 
 
 def held_out(modulus: int, remainder: int) -> Column:
@@ -159,7 +158,6 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def confident(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose language is not rejected."""
-    marked = docs.withColumn("_held", held_out(5, 0))
-    model = fit(marked.where("NOT _held AND lang IS NOT NULL").select("doc_id", "text", "lang"))
-    return predicted(docs, model, docs.columns).where("NOT rejected").select(*docs.columns)
+    """Rows of ``docs`` whose language is not rejected; columns named like the outputs of ``predicted`` pass unchanged."""
+    model = fit(docs.select("doc_id", "text", "lang", held_out(5, 0).alias("held_out")).where("NOT held_out AND lang IS NOT NULL"))
+    return predicted(docs, model, docs.columns, ("_lang", "_cosine", "_rejected")).where("NOT _rejected").select(*docs.columns)

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.columns import small
+from fathomline.llm.columns import sampled_ids, small
 from fathomline.llm.language_id import held_out
 from fathomline.session import written
 
@@ -128,9 +128,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     untrained and gives every text the score 1/2.
     """
     marks = labels.where("quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").cast("int").alias("_y"))
-    order = Window.partitionBy("_y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    marked = docs.select("doc_id").distinct().join(marks, "doc_id").withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample)
-    chosen = docs.select("doc_id", "text").join(small(written(marked.select("doc_id", "_y"), "quality_sample"), 4 * sample), "doc_id")
+    marked = sampled_ids(docs.select("doc_id").join(marks, "doc_id"), "_y", sample)
+    chosen = docs.select("doc_id", "text").join(small(written(marked, "quality_sample"), 4 * sample), "doc_id")
 
     def run(batches):
         for batch in batches:

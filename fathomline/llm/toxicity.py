@@ -15,10 +15,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.columns import small
+from fathomline.llm.columns import sampled_ids, small
 from fathomline.llm.language_id import held_out
 from fathomline.session import written
 
@@ -96,9 +96,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     text has severity 0.
     """
     marks = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("_y"))
-    order = Window.partitionBy("_y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    marked = docs.select("doc_id").distinct().join(marks, "doc_id").withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample)
-    chosen = written(docs.select("doc_id", "text").join(small(written(marked.select("doc_id", "_y"), "toxic_sample"), 4 * sample), "doc_id"), "toxic_texts")
+    marked = sampled_ids(docs.select("doc_id").join(marks, "doc_id"), "_y", sample)
+    chosen = written(docs.select("doc_id", "text").join(small(written(marked, "toxic_sample"), 4 * sample), "doc_id"), "toxic_texts")
 
     def count(batches):
         seen = {0: Counter(), 1: Counter()}

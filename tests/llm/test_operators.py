@@ -178,6 +178,22 @@ def test_language_id(spark, sf_dir):
     assert {r.lang_pred for r in language_id.identified(odd.where("1 = 0").union(odd.where("doc_id = -1"))).collect()} == {"und"}
 
 
+def test_language_stage_keeps_clashing_columns(spark):
+    made = spark.createDataFrame([(i, "the old house by the river", "en", 1.5, i % 2 == 0, "x") for i in range(40)] + [(90, None, "en", 2.5, False, "y")],
+                                 "doc_id bigint, text string, lang string, score double, rejected boolean, lang_pred string")
+    kept = language_id.confident(made)
+    assert kept.columns == made.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+
+
+def test_sampled_ids_are_the_smallest_hashes(spark):
+    made = spark.range(5000).selectExpr("id AS doc_id", "id % 3 = 0 AS g").union(spark.range(300).selectExpr("7L", "false"))
+    found = {(r["doc_id"], r["g"]) for r in columns.sampled_ids(made, "g", 40).collect()}
+    every = made.distinct().withColumn("h", F.xxhash64("doc_id")).collect()
+    want = {(r["doc_id"], g) for g in (True, False) for r in sorted((r for r in every if r["g"] == g), key=lambda r: r["h"])[:40]}
+    assert found == want
+
+
 def test_trained_scores(spark):
     sf_dir = "/root/testdata/sf0.01"
     table, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")

@@ -22,9 +22,11 @@ BEFORE_NUMBER = ("$", "US$", "NT$", "€", "£", "¥", "(")
 AFTER_NUMBER = (")", "%", ")%", "%)")
 
 _HIDDEN_SPAN = re.compile(rf"<({HIDDEN})\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)", re.S | re.I)
-_TAG = re.compile(r"<(/?)([A-Za-z][\w:]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[!?][^>]*>")
+# A quote opens a value only right after '='; anywhere else it is a plain character.
+_TAG = re.compile(r"<(/?)([A-Za-z][\w:]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|<[!?][^>]*>")
+_ATTRIBUTE = re.compile(r"([^\s=/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(\S*))")
 _NEW_PAGE = re.compile(r"page-break-(?:before|after)\s*:\s*always", re.I)
-_SPAN = re.compile(r"colspan\s*=\s*[\"']?\s*(\d+)", re.I)
+_SPAN = re.compile(r"\s*(\d+)")
 _WRAPPED = re.compile(r"\A\s*<(?:SEC-)?DOCUMENT>.*?<TEXT>(.*?)(?:</TEXT>|\Z)", re.S | re.I)
 
 
@@ -36,6 +38,13 @@ def decoded(raw: bytes) -> str:
         return raw.decode("cp1252", errors="replace")
 
 
+def _attribute(payload: str, name: str) -> str:
+    """Value of the first attribute of this name, '' without one."""
+    if name not in payload.lower():
+        return ""
+    return next((a[2] or a[3] or a[4] or "" for a in _ATTRIBUTE.finditer(payload) if a[1].lower() == name), "")
+
+
 def _one_line(text: str) -> str:
     return " ".join(html.unescape(text).replace("​", " ").split())
 
@@ -121,7 +130,7 @@ def _table_rows(pieces: list[tuple[str, str, str]]) -> list[list[tuple[str, int]
                 if not in_row:
                     rows.append([])
                     in_row = True
-                found = _SPAN.search(payload)
+                found = _SPAN.match(_attribute(payload, "colspan"))
                 span, cell = max(1, min(int(found[1]), 50)) if found else 1, []
         elif kind == "text" and cell is not None:
             cell.append(payload)
@@ -151,7 +160,7 @@ def elements(raw: bytes) -> list[tuple[str, str, int]]:
         put(kind_now, mark + line if line else "")
 
     for kind, name, payload in _pieces(markup):
-        if depth == 0 and kind == "open" and _NEW_PAGE.search(payload):
+        if depth == 0 and kind == "open" and _NEW_PAGE.search(_attribute(payload, "style")):
             end_block()
             page += bool(out) and out[-1][2] == page
         if name == "table":

@@ -129,6 +129,26 @@ def test_html_plain_survives_open_comments(spark):
     assert one(spark, html, tx.html_plain) == "one two\n\n| a | b |\n\n&"
 
 
+def test_html_plain_ends_a_style_block_with_an_open_comment(spark):
+    assert one(spark, "<style><!-- p{} </style><p>Body stays</p>", tx.html_plain) == "Body stays"
+    assert one(spark, "<!-- <style> --><p>a</p><title>b", tx.html_plain) == "a"
+
+
+def test_tokens_keep_underscores(spark):
+    assert one(spark, "Foo_bar foo b-ar", tx.tokens) == ["foo_bar", "foo", "ar"]
+
+
+def test_elements_with_quotes_in_plain_values():
+    raw = b"<p title=Bob's>one</p><p>two</p><p>it's three</p><p title='a>b' alt=\"c>d\">four</p><p title=\"open>five</p>"
+    assert [e[1] for e in markup.elements(raw)] == ["one", "two", "it's three", "four", "five"]
+
+
+def test_attributes_are_told_apart():
+    raw = (b"<table><tr><td title='colspan=3' colspan = 2>a</td><td>b</td></tr><tr><td>1</td><td>2</td><td>3</td></tr></table>"
+           b"<p title='page-break-before: always'>x</p><p STYLE=\"page-break-before: always\">y</p>")
+    assert markup.elements(raw) == [("table", "| a |  | b |\n|---|---|---|\n| 1 | 2 | 3 |", 0), ("text", "x", 0), ("text", "y", 1)]
+
+
 def test_display_clean(spark):
     text = "Hi &amp; bye ![x](cid:1)\nNormal\n<!--\nbig style mso-bidi here\n[site](https://x.example.com) \\*\n12\nend"
     assert one(spark, text, tx.clean_display) == "Hi & bye\nsite *\nend"

@@ -37,22 +37,31 @@ def top_k(t):
 
 
 @query("""
-SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '5-LOW' THEN 3 ELSE 9 END AS relation_rank
-FROM orders ORDER BY 2, 1 LIMIT 40
+WITH r AS (SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '5-LOW' THEN 3 ELSE 9 END AS relation_rank FROM orders)
+SELECT o_orderkey, relation_rank, row_number() OVER (ORDER BY relation_rank, o_orderkey) AS no FROM r
 """)
 def enum_order(t):
-    rank = F.coalesce(rules.ordinal_rank(F.col("o_orderpriority"), ["1-URGENT", "2-HIGH", "5-LOW"]), F.lit(9))
-    return t.orders.select("o_orderkey", rank.cast("int").alias("relation_rank")).orderBy("relation_rank", "o_orderkey").limit(40)
+    """Every order with its place in the given order of the values; unknown ones last."""
+    from fathomline.operators.numbering import bucketed_row_number
+
+    rank = F.coalesce(rules.ordinal_rank(F.col("o_orderpriority"), ["1-URGENT", "2-HIGH", "5-LOW"]), F.lit(9)).cast("int")
+    o = t.orders.select("o_orderkey", rank.alias("relation_rank"))
+    bucket = F.col("relation_rank").cast("long") * 1_000_000_000 + F.floor(F.col("o_orderkey") / 100_000)
+    return bucketed_row_number(o, [], bucket, [F.col("relation_rank"), F.col("o_orderkey")], "no")
 
 
 @query("""
-SELECT c_custkey, NULLIF(c_mktsegment, 'HOUSEHOLD') AS alias FROM customer
-ORDER BY length(NULLIF(c_mktsegment, 'HOUSEHOLD')) DESC NULLS LAST, c_custkey DESC LIMIT 1400
+WITH c AS (SELECT c_custkey, NULLIF(c_mktsegment, 'HOUSEHOLD') AS alias FROM customer)
+SELECT c_custkey, alias, row_number() OVER (ORDER BY length(alias) DESC NULLS LAST, c_custkey DESC) AS no FROM c
 """)
 def nulls_last(t):
-    alias = F.nullif("c_mktsegment", F.lit("HOUSEHOLD"))
-    return t.customer.select("c_custkey", alias.alias("alias")).orderBy(
-        F.desc_nulls_last(F.length("alias")), F.desc("c_custkey")).limit(1400)
+    """Every customer with its place: longest alias first, no alias last."""
+    from fathomline.operators.numbering import bucketed_row_number
+
+    c = t.customer.select("c_custkey", F.nullif("c_mktsegment", F.lit("HOUSEHOLD")).alias("alias"))
+    shortness = F.coalesce(-F.length("alias"), F.lit(1))
+    bucket = shortness.cast("long") * 1_000_000_000 - F.ceil(F.col("c_custkey") / 100_000)
+    return bucketed_row_number(c, [], bucket, [shortness, -F.col("c_custkey")], "no")
 
 
 @query("SELECT doc_id, lang FROM documents ORDER BY md5('7|' || doc_id), doc_id LIMIT 25")

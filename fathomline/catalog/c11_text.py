@@ -148,7 +148,7 @@ def choose_body(t):
     return out.select("doc_id", "body_source_field", "raw_len", F.length("body_display").alias("display_len"))
 
 
-TOK_SQL = r"list_distinct(list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}]+'), lambda x: length(x) >= 2))"
+TOK_SQL = r"list_distinct(list_filter(regexp_split_to_array(lower({0}), '[^\p{{L}}\p{{N}}_]+'), lambda x: length(x) >= 2))"
 
 
 @query("WITH x AS (SELECT a.conv_id, a.turn, " + TOK_SQL.format("a.text") + " AS ta, " + TOK_SQL.format("b.text") + """ AS tb
@@ -463,21 +463,21 @@ def json_salvage(t):
 
 
 @query(r"""
-WITH o AS (SELECT source, text AS t FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) = 1),
-i AS (SELECT source, regexp_extract(text, '([0-9]+)[ ]?([a-z]+)', 1) AS v, regexp_extract(text, '([0-9]+)[ ]?([a-z]+)', 2) AS u FROM documents),
-x AS (SELECT DISTINCT source, v, u FROM i WHERE v <> ''),
-h AS (SELECT o.source, bool_or(regexp_matches(' ' || replace(regexp_replace(t, '\s+', ' ', 'g'), ',', '') || ' ', '(?i)[^0-9.]' || v || ' *' || u)
-   OR regexp_matches(' ' || replace(regexp_replace(t, '\s+', ' ', 'g'), ',', '') || ' ', '(?i)' || u || ' *' || v || '[^0-9.]')) AS leak FROM o JOIN x USING (source) GROUP BY 1)
-SELECT o.source, COALESCE(leak, false) AS shareable_failed FROM o LEFT JOIN h USING (source)
+WITH i AS (SELECT doc_id + d AS doc_id, regexp_extract(text, '([0-9]+)[ ]?([a-z]+)', 1) AS v, regexp_extract(text, '([0-9]+)[ ]?([a-z]+)', 2) AS u
+  FROM documents, (VALUES (1), (2), (3)) AS n(d)),
+x AS (SELECT DISTINCT doc_id, v, u FROM i WHERE v <> ''),
+o AS (SELECT doc_id, ' ' || replace(regexp_replace(text, '\s+', ' ', 'g'), ',', '') || ' ' AS t FROM documents),
+h AS (SELECT o.doc_id, bool_or(regexp_matches(t, '(?i)[^0-9.]' || v || ' *' || u) OR regexp_matches(t, '(?i)' || u || ' *' || v || '[^0-9.]')) AS leak
+  FROM o JOIN x USING (doc_id) GROUP BY 1)
+SELECT d.doc_id, COALESCE(leak, false) AS shareable_failed FROM documents d LEFT JOIN h USING (doc_id)
 """)
 def number_leak(t):
-    """Numbers of confidential items of a source must not show in the source's outgoing text."""
-    first = t.documents.groupBy("source").agg(F.min("doc_id").alias("doc_id"))
-    outgoing = t.documents.join(first, ["source", "doc_id"]).select("source", "text")
-    items = t.documents.select("source", F.regexp_extract("text", "([0-9]+)[ ]?([a-z]+)", 1).alias("value"),
-                               F.regexp_extract("text", "([0-9]+)[ ]?([a-z]+)", 2).alias("unit")).where("value <> ''")
-    leaks = matching.leaked_cells(outgoing, items, ["source"], "text").withColumn("leak", F.lit(True))
-    return first.select("source").join(leaks, "source", "left").select("source", F.coalesce("leak", F.lit(False)).alias("shareable_failed"))
+    """Numbers of the three documents before are confidential: they must not show in a document's text."""
+    value, unit = (F.regexp_extract("text", "([0-9]+)[ ]?([a-z]+)", i) for i in (1, 2))
+    items = t.documents.select(F.explode(F.array(*[F.col("doc_id") + d for d in (1, 2, 3)])).alias("doc_id"), value.alias("value"), unit.alias("unit"))
+    leaks = matching.leaked_cells(t.documents.select("doc_id", "text"), items.where("value <> ''"), ["doc_id"], "text")
+    return t.documents.select("doc_id").join(leaks.withColumn("leak", F.lit(True)), "doc_id", "left").select(
+        "doc_id", F.coalesce("leak", F.lit(False)).alias("shareable_failed"))
 
 
 @query(r"""

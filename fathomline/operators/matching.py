@@ -48,20 +48,26 @@ def leaked_cells(outgoing: DataFrame, items: DataFrame, cell: list[str], text: s
     """Cells whose outgoing text shows a number of a confidential item.
 
     ``items`` has value and unit per cell. A value counts with numeric boundaries
-    and, if it has a unit, with the unit right before or after it. Numbers of the
-    text are joined by (cell, value); the unit is checked on the joined few.
+    and, if it has a unit of any length, with the unit right before or after it.
+    Numbers of the text are joined by (cell, value); only texts that show the number
+    of an item with a unit are read again, to look for the two together.
     """
-    plain = outgoing.withColumn("_t", F.replace(tx.squeeze(F.col(text)), F.lit(","), F.lit("")))
+    plain = outgoing.select(*cell, F.lower(F.replace(tx.squeeze(F.col(text)), F.lit(","), F.lit(""))).alias("_t")).withColumn("_h", F.sha1("_t"))
     number = r"(?<![\d.])\d+(?:\.\d+)?(?![\d.])"
-    found = F.regexp_extract_all("_t", F.lit(rf"(.{{0,20}}?)({number})(?=(.{{0,20}}))"), F.lit(2))
-    before = F.regexp_extract_all("_t", F.lit(rf"(.{{0,20}}?)({number})(?=(.{{0,20}}))"), F.lit(1))
-    after = F.regexp_extract_all("_t", F.lit(rf"(.{{0,20}}?)({number})(?=(.{{0,20}}))"), F.lit(3))
-    shown = plain.select(*cell, F.explode(F.arrays_zip(found.alias("value"), before.alias("b"), after.alias("a"))).alias("z")).select(
-        *cell, F.col("z.value").alias("value"), F.lower(F.rtrim("z.b")).alias("b"), F.lower(F.ltrim("z.a")).alias("a")).distinct()
+    found = F.array_distinct(F.regexp_extract_all("_t", F.lit(number), F.lit(0)))
+    shown = plain.select(*cell, "_h", F.explode(found).alias("value")).distinct()
     secret = items.select(*cell, "value", F.lower(F.coalesce("unit", F.lit(""))).alias("unit")).distinct().where(
         (F.col("unit") != "") | (F.length("value") >= 2))
-    touching = (F.col("unit") == "") | F.startswith(F.col("a"), F.col("unit")) | F.endswith(F.col("b"), F.col("unit"))
-    return shown.join(secret, [*cell, "value"]).where(touching).select(*cell).distinct()
+    hits = shown.join(secret, [*cell, "value"])
+
+    def quoted(c):
+        return F.concat(F.lit(r"\Q"), F.replace(c, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+
+    value = F.concat(F.lit(r"(?<![\d.])"), quoted(F.col("value")), F.lit(r"(?![\d.])"))
+    unit = quoted(F.col("unit"))
+    together = F.regexp_like(F.col("_t"), F.concat(value, F.lit(" *"), unit, F.lit("|"), unit, F.lit(" *"), value))
+    with_unit = hits.where("unit <> ''").join(plain, [*cell, "_h"]).where(together)
+    return hits.where("unit = ''").select(*cell).union(with_unit.select(*cell)).distinct()
 
 
 def email_domains(df: DataFrame, key: str, text: str, internal: list[str]) -> DataFrame:

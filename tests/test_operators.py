@@ -194,6 +194,14 @@ def test_number_leaks_need_boundaries_and_units(spark):
     assert rows(matching.leaked_cells(text, items, ["cell"], "t"), "cell") == [("a",), ("b",)]
 
 
+def test_number_leaks_with_units_of_any_length(spark):
+    text = spark.createDataFrame([("a", "about 1,200  panels per calendar quarter"), ("b", "70 thousand panels per calendar month"), ("c", "m2 7 in all")],
+                                 "cell string, t string")
+    items = spark.createDataFrame([("a", "1200", "Panels per calendar quarter"), ("b", "70", "thousand panels per calendar quarter"), ("c", "7", "m2")],
+                                  "cell string, value string, unit string")
+    assert rows(matching.leaked_cells(text, items, ["cell"], "t"), "cell") == [("a",), ("c",)]
+
+
 def test_snapshots_ignore_unfinished_writes(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
     table.write(spark.range(3))

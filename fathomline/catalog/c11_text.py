@@ -464,7 +464,7 @@ def json_salvage(t):
 
 @query(r"""
 WITH i AS (SELECT doc_id + d AS doc_id, regexp_extract(text, '([0-9]+)[ ]?([a-z]+)', 1) AS v, regexp_extract(text, '([0-9]+)[ ]?([a-z]+)', 2) AS u
-  FROM documents, (VALUES (1), (2), (3)) AS n(d)),
+  FROM documents, (VALUES (0), (1), (2), (3)) AS n(d)),
 x AS (SELECT DISTINCT doc_id, v, u FROM i WHERE v <> ''),
 o AS (SELECT doc_id, ' ' || replace(regexp_replace(text, '\s+', ' ', 'g'), ',', '') || ' ' AS t FROM documents),
 h AS (SELECT o.doc_id, bool_or(regexp_matches(t, '(?i)[^0-9.]' || v || ' *' || u) OR regexp_matches(t, '(?i)' || u || ' *' || v || '[^0-9.]')) AS leak
@@ -472,9 +472,9 @@ h AS (SELECT o.doc_id, bool_or(regexp_matches(t, '(?i)[^0-9.]' || v || ' *' || u
 SELECT d.doc_id, COALESCE(leak, false) AS shareable_failed FROM documents d LEFT JOIN h USING (doc_id)
 """)
 def number_leak(t):
-    """Numbers of the three documents before are confidential: they must not show in a document's text."""
+    """First numbers of a document and of the three before are confidential: they must not show in its outgoing text."""
     value, unit = (F.regexp_extract("text", "([0-9]+)[ ]?([a-z]+)", i) for i in (1, 2))
-    items = t.documents.select(F.explode(F.array(*[F.col("doc_id") + d for d in (1, 2, 3)])).alias("doc_id"), value.alias("value"), unit.alias("unit"))
+    items = t.documents.select(F.explode(F.array(*[F.col("doc_id") + d for d in (0, 1, 2, 3)])).alias("doc_id"), value.alias("value"), unit.alias("unit"))
     leaks = matching.leaked_cells(t.documents.select("doc_id", "text"), items.where("value <> ''"), ["doc_id"], "text")
     return t.documents.select("doc_id").join(leaks.withColumn("leak", F.lit(True)), "doc_id", "left").select(
         "doc_id", F.coalesce("leak", F.lit(False)).alias("shareable_failed"))

@@ -154,6 +154,15 @@ def _spread(data: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, -1).T).view(kind).ravel() if len(planes) else np.zeros(0, kind)
 
 
+def _squeeze_rows(row: np.ndarray) -> bytes:
+    """Compressed row keys; nothing if all are 0, as where no id repeats."""
+    return _squeeze(row) if row.any() else b""
+
+
+def _spread_rows(data: bytes, n: int) -> np.ndarray:
+    return _spread(data, np.int64) if data else np.zeros(n, np.int64)
+
+
 def _batch(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
@@ -180,7 +189,7 @@ def _chunks(batches, names: list[str]):
         yield rows
 
 
-ANCHOR_ROWS = "bucket bigint, marks binary, grams binary, contexts binary, docs binary, places binary"
+ANCHOR_ROWS = "bucket bigint, marks binary, grams binary, contexts binary, docs binary, rows binary, places binary"
 
 
 def anchor_rows(batches, buckets: int):
@@ -189,12 +198,12 @@ def anchor_rows(batches, buckets: int):
     Marks: 0 an anchor to be compared, 1 one whose context stands in a smaller document of the
     chunk, 2 one dealt by context, 3 the note that its gram has many contexts.
     """
-    for rows in _chunks(batches, ["doc_id", "raw"]):
-        made = [(d, *anchors(np.frombuffer(zstandard.decompress(r), np.uint8))) for d, r in rows]
-        doc = np.repeat(np.array([m[0] for m in made], np.int64), [len(m[1]) for m in made])
-        place, gram, context = (np.concatenate([m[i] for m in made]) for i in (1, 2, 3))
+    for rows in _chunks(batches, ["doc_id", "row", "raw"]):
+        made = [(d, k, *anchors(np.frombuffer(zstandard.decompress(r), np.uint8))) for d, k, r in rows]
+        doc, row = (np.repeat(np.array([m[i] for m in made], np.int64), [len(m[2]) for m in made]) for i in (0, 1))
+        place, gram, context = (np.concatenate([m[i] for m in made]) for i in (2, 3, 4))
         order = np.lexsort((doc, context, gram))
-        doc, place, gram, context = doc[order], place[order].astype(np.uint32), gram[order], context[order]
+        doc, row, place, gram, context = doc[order], row[order], place[order].astype(np.uint32), gram[order], context[order]
         if not len(doc):
             continue
         new_gram = np.r_[True, gram[1:] != gram[:-1]]
@@ -215,24 +224,25 @@ def anchor_rows(batches, buckets: int):
             g = small[i][m != 1]
             yield _batch({
                 "bucket": pa.array([int(bucket[i[0]])]), "marks": pa.array([_squeeze(m)]), "grams": pa.array([_squeeze(np.diff(g, prepend=np.uint32(0)))]),
-                "contexts": pa.array([context[i[(m == 0) | (m == 2)]].tobytes()]), "docs": pa.array([_squeeze(doc[own])]), "places": pa.array([_squeeze(place[own])])})
+                "contexts": pa.array([context[i[(m == 0) | (m == 2)]].tobytes()]), "docs": pa.array([_squeeze(doc[own])]),
+                "rows": pa.array([_squeeze_rows(row[own])]), "places": pa.array([_squeeze(place[own])])})
 
 
-OUTCOME_ROWS = "part bigint, docs binary, kinds binary, places binary"
+OUTCOME_ROWS = "part bigint, docs binary, rows binary, kinds binary, places binary"
 
 
-def _part(doc: np.ndarray, parts: int) -> np.ndarray:
-    """Group of documents, by which what is known of them travels."""
-    return (_mix(doc.astype(np.int64).view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+def _part(doc: np.ndarray, row: np.ndarray, parts: int) -> np.ndarray:
+    """Group of texts, by which what is known of them travels."""
+    return (_mix(doc.astype(np.int64).view(np.uint64) ^ _mix(row.astype(np.int64).view(np.uint64))) % np.uint64(parts)).astype(np.int64)
 
 
-def _outcomes(doc: np.ndarray, kind: np.ndarray, place: np.ndarray, parts: int):
-    """Packed (document, kind, position), one row for each group of documents."""
-    part = _part(doc, parts)
+def _outcomes(doc: np.ndarray, row: np.ndarray, kind: np.ndarray, place: np.ndarray, parts: int):
+    """Packed (document, row key, kind, position), one row for each group of texts."""
+    part = _part(doc, row, parts)
     order = np.lexsort((doc, part))
     for at, end in _pieces(part[order]):
         i = order[at:end]
-        yield _batch({"part": pa.array(part[i[:1]]), "docs": pa.array([_squeeze(doc[i])]), "kinds": pa.array([_squeeze(kind[i].astype(np.uint8))]), "places": pa.array([_squeeze(place[i].astype(np.int64))])})
+        yield _batch({"part": pa.array(part[i[:1]]), "docs": pa.array([_squeeze(doc[i])]), "rows": pa.array([_squeeze_rows(row[i])]), "kinds": pa.array([_squeeze(kind[i].astype(np.uint8))]), "places": pa.array([_squeeze(place[i].astype(np.int64))])})
 
 
 def _by_bucket(batches, names: list[str]):
@@ -251,26 +261,27 @@ def _by_bucket(batches, names: list[str]):
 
 def settle(batches, groups: int):
     """Step 1, per bucket: what is known of each anchor that other documents share."""
-    for rows in _by_bucket(batches, ["marks", "grams", "contexts", "docs", "places"]):
+    for rows in _by_bucket(batches, ["marks", "grams", "contexts", "docs", "rows", "places"]):
         parts = []
-        for marks, grams, contexts, docs, places in rows:
+        for marks, grams, contexts, docs, keys, places in rows:
             m = _spread(marks, np.uint8)
             g, c = np.zeros(len(m), np.uint32), np.zeros(len(m), np.uint64)
-            d, p = np.full(len(m), LAST_ID, np.int64), np.zeros(len(m), np.uint32)
+            d, k, p = np.full(len(m), LAST_ID, np.int64), np.zeros(len(m), np.int64), np.zeros(len(m), np.uint32)
             g[m != 1] = np.cumsum(_spread(grams, np.uint32), dtype=np.uint32)
             c[(m == 0) | (m == 2)] = np.frombuffer(contexts, np.uint64)
             d[m != 3], p[m != 3] = _spread(docs, np.int64), _spread(places, np.uint32)
-            parts.append((m, g, c, d, p))
-        mark, gram, context, doc, place = (np.concatenate([x[i] for x in parts]) for i in range(5))
+            k[m != 3] = _spread_rows(keys, int((m != 3).sum()))
+            parts.append((m, g, c, d, k, p))
+        mark, gram, context, doc, row, place = (np.concatenate([x[i] for x in parts]) for i in range(6))
         del parts
         done = mark == 1
-        yield from _outcomes(doc[done], np.full(int(done.sum()), SETTLED), place[done], groups)
+        yield from _outcomes(doc[done], row[done], np.full(int(done.sum()), SETTLED), place[done], groups)
         noted = np.unique(gram[mark == 3])
         use = np.flatnonzero((mark == 0) | (mark == 2))
         order = use[np.lexsort((doc[use], context[use], gram[use]))]
         if not len(order):
             continue
-        mark, gram, context, doc, place = mark[order], gram[order], context[order], doc[order], place[order]
+        mark, gram, context, doc, row, place = mark[order], gram[order], context[order], doc[order], row[order], place[order]
         new_gram = np.r_[True, gram[1:] != gram[:-1]]
         new = new_gram | np.r_[True, context[1:] != context[:-1]]
         lowest = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -278,42 +289,40 @@ def settle(batches, groups: int):
         many = np.isin(gram[first], noted)[np.cumsum(new_gram) - 1] | (mark == 2)
         shared = (np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first))[np.cumsum(new_gram) - 1] | many
         kind = np.where(doc > lowest, SETTLED, np.where(many, OPEN_MANY, OPEN))
-        yield from _outcomes(doc[shared], kind[shared], place[shared], groups)
+        yield from _outcomes(doc[shared], row[shared], kind[shared], place[shared], groups)
 
 
-KNOWN_ROWS = ("part", "doc_id", "raw", "docs", "kinds", "places")
+KNOWN_ROWS = ("part", "doc_id", "row", "raw", "docs", "rows", "kinds", "places")
 
 
-def _by_document(batches):
-    """(doc_id, [texts], {kind: positions}) of each document.
+def _by_text(batches):
+    """(doc_id, row key, text, {kind: positions}, whether it is the first with these keys) of each row.
 
-    Rows come sorted by group of documents: what is known of the group first, then its texts by document.
+    Rows come sorted by group of texts: what is known of the group first, then its texts by document and row key.
     """
-    part, packed, table, doc, texts = None, [], None, None, []
+    part, packed, table, last, found = None, [], None, None, {}
 
-    def known(d: int) -> dict:
-        docs, kinds, places = table
-        low, high = np.searchsorted(docs, [d, d + 1]) if d < LAST_ID else (np.searchsorted(docs, d), len(docs))
-        return {k: places[low:high][kinds[low:high] == k] for k in np.unique(kinds[low:high]).tolist()}
+    def known(d: int, k: int) -> dict:
+        docs, rows, kinds, places = table
+        low, high = np.searchsorted(docs, d), np.searchsorted(docs, d, "right")
+        low, high = low + np.searchsorted(rows[low:high], k), low + np.searchsorted(rows[low:high], k, "right")
+        return {x: places[low:high][kinds[low:high] == x] for x in np.unique(kinds[low:high]).tolist()}
 
     for batch in batches:
-        for g, d, raw, docs, kinds, places in zip(*[batch.column(c).to_pylist() for c in KNOWN_ROWS]):
-            if (g, d) != (part, doc) and texts:
-                yield doc, texts, known(doc)
-                texts = []
+        for g, d, k, raw, docs, rows, kinds, places in zip(*[batch.column(c).to_pylist() for c in KNOWN_ROWS]):
             if g != part:
-                part, packed, table = g, [], None
-            doc = d
+                part, packed, table, last = g, [], None, None
             if raw is None:
-                packed.append((_spread(docs, np.int64), _spread(kinds, np.uint8), _spread(places, np.int64)))
+                of = _spread(docs, np.int64)
+                packed.append((of, _spread_rows(rows, len(of)), _spread(kinds, np.uint8), _spread(places, np.int64)))
                 continue
             if table is None:
-                columns = [np.concatenate([p[i] for p in packed]) if packed else np.zeros(0, t) for i, t in enumerate((np.int64, np.uint8, np.int64))]
-                order = np.lexsort((columns[2], columns[0]))
+                columns = [np.concatenate([p[i] for p in packed]) if packed else np.zeros(0, t) for i, t in enumerate((np.int64, np.int64, np.uint8, np.int64))]
+                order = np.lexsort((columns[3], columns[1], columns[0]))
                 table, packed = [c[order] for c in columns], []
-            texts.append(raw)
-    if texts:
-        yield doc, texts, known(doc)
+            if first := (d, k) != last:
+                last, found = (d, k), known(d, k)
+            yield d, k, raw, found, first
 
 
 def open_strings(n: int, at: np.ndarray, gram: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -341,7 +350,7 @@ def open_strings(n: int, at: np.ndarray, gram: np.ndarray, state: np.ndarray) ->
     return start[shared], own[shared]
 
 
-STRING_ROWS = "bucket bigint, keys binary, docs binary, places binary, sizes binary, offsets binary, texts binary"
+STRING_ROWS = "bucket bigint, keys binary, docs binary, rows binary, places binary, sizes binary, offsets binary, texts binary"
 
 
 def string_rows(batches, buckets: int):
@@ -351,31 +360,29 @@ def string_rows(batches, buckets: int):
     anchor with many contexts travel one by one under their own hash, once per chunk.
     """
     held, size = [], 0
-    for doc, texts, known in _by_document(batches):
-        if not known and len(texts) == 1:
+    for doc, row, packed, known, new in _by_text(batches):
+        if not known or not new:
             continue
-        for variant, packed in enumerate(sorted(texts)):
-            raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
-            at, gram, _ = anchors(raw, contexts=False)
-            state = np.full(len(at), OPEN_MANY if len(texts) > 1 else UNSHARED)
-            if len(texts) == 1:
-                for kind in (OPEN, OPEN_MANY, SETTLED):
-                    state[np.searchsorted(at, known.get(kind, NOWHERE))] = kind
-            start, first = open_strings(len(raw), at, gram, state)
-            if not len(start):
-                continue
-            many = state[first] == OPEN_MANY
-            cut = np.r_[True, (start[1:] != start[:-1] + 1) | (first[1:] != first[:-1]) | many[1:] | many[:-1]]
-            begin = np.flatnonzero(cut)
-            count = np.diff(np.r_[begin, len(start)])
-            p = start[begin]
-            key = gram[first[begin]]
-            if many.any():
-                single = p[many[begin]]
-                key[many[begin]] = _mix(Prefix(raw).part(single, single + LENGTH))
-            offset = np.where(many[begin], 0, at[first[begin]] - p)
-            held.append((np.full(len(p), doc), p + (variant << 32), count, offset, key, many[begin], [raw[a:a + LENGTH + c - 1].tobytes() for a, c in zip(p.tolist(), count.tolist())]))
-            size += int(count.sum()) + LENGTH * len(p)
+        raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
+        at, gram, _ = anchors(raw, contexts=False)
+        state = np.full(len(at), UNSHARED)
+        for kind in (OPEN, OPEN_MANY, SETTLED):
+            state[np.searchsorted(at, known.get(kind, NOWHERE))] = kind
+        start, first = open_strings(len(raw), at, gram, state)
+        if not len(start):
+            continue
+        many = state[first] == OPEN_MANY
+        cut = np.r_[True, (start[1:] != start[:-1] + 1) | (first[1:] != first[:-1]) | many[1:] | many[:-1]]
+        begin = np.flatnonzero(cut)
+        count = np.diff(np.r_[begin, len(start)])
+        p = start[begin]
+        key = gram[first[begin]]
+        if many.any():
+            single = p[many[begin]]
+            key[many[begin]] = _mix(Prefix(raw).part(single, single + LENGTH))
+        offset = np.where(many[begin], 0, at[first[begin]] - p)
+        held.append((np.full(len(p), doc), np.full(len(p), row), p, count, offset, key, many[begin], [raw[a:a + LENGTH + c - 1].tobytes() for a, c in zip(p.tolist(), count.tolist())]))
+        size += int(count.sum()) + LENGTH * len(p)
         if size >= CHUNK_BYTES // 2:
             yield from _pack_strings(held, buckets)
             held, size = [], 0
@@ -384,8 +391,8 @@ def string_rows(batches, buckets: int):
 
 
 def _pack_strings(held: list, buckets: int):
-    doc, place, count, offset, key, many = (np.concatenate([h[i] for h in held]) for i in range(6))
-    texts = [t for h in held for t in h[6]]
+    doc, row, place, count, offset, key, many = (np.concatenate([h[i] for h in held]) for i in range(7))
+    texts = [t for h in held for t in h[7]]
     # Of equal single strings of this chunk the smallest document's represents all; the others are repeats for certain.
     order = np.lexsort((place, doc, key, many))
     same = np.r_[False, many[order][1:] & (key[order][1:] == key[order][:-1])]
@@ -400,7 +407,7 @@ def _pack_strings(held: list, buckets: int):
         i = order[at:end]
         kept = [texts[j] for j in i.tolist() if not spare[j]]
         yield _batch({
-            "bucket": pa.array([int(bucket[i[0]])]), "keys": pa.array([key[i].tobytes()]), "docs": pa.array([_squeeze(doc[i])]), "places": pa.array([_squeeze(place[i])]),
+            "bucket": pa.array([int(bucket[i[0]])]), "keys": pa.array([key[i].tobytes()]), "docs": pa.array([_squeeze(doc[i])]), "rows": pa.array([_squeeze_rows(row[i])]), "places": pa.array([_squeeze(place[i])]),
             "sizes": pa.array([_squeeze(sizes[i].astype(np.uint8))]), "offsets": pa.array([_squeeze(offset[i].astype(np.uint8))]),
             "texts": pa.array([zstandard.compress(b"".join(kept), 1)])})
 
@@ -456,18 +463,18 @@ def suffix_sort(raw: np.ndarray, p: Prefix, start: np.ndarray, group: np.ndarray
 
 def repeated_strings(batches, groups: int):
     """Step 2, per bucket: starts of strings that a smaller document holds too."""
-    for rows in _by_bucket(batches, ["keys", "docs", "places", "sizes", "offsets", "texts"]):
-        parts = [(np.frombuffer(k, np.uint64), _spread(d, np.int64), _spread(w, np.int64), _spread(s, np.uint8), _spread(o, np.uint8)) for k, d, w, s, o, _ in rows]
-        key, doc, place, count, offset = (np.concatenate([x[i] for x in parts]) for i in range(5))
-        raw = np.frombuffer(b"".join(zstandard.decompress(r[5]) for r in rows), np.uint8)
+    for rows in _by_bucket(batches, ["keys", "docs", "rows", "places", "sizes", "offsets", "texts"]):
+        parts = [(np.frombuffer(k, np.uint64), _spread(d, np.int64), _spread_rows(n, len(k) // 8), _spread(w, np.int64), _spread(s, np.uint8), _spread(o, np.uint8)) for k, d, n, w, s, o, _ in rows]
+        key, doc, row, place, count, offset = (np.concatenate([x[i] for x in parts]) for i in range(6))
+        raw = np.frombuffer(b"".join(zstandard.decompress(r[6]) for r in rows), np.uint8)
         spare = count == 0
-        yield from _outcomes(doc[spare], np.full(int(spare.sum()), REPEATED), place[spare], groups)
-        key, doc, place, count, offset = (x[~spare] for x in (key, doc, place, count.astype(np.int64), offset.astype(np.int64)))
+        yield from _outcomes(doc[spare], row[spare], np.full(int(spare.sum()), REPEATED), place[spare], groups)
+        key, doc, row, place, count, offset = (x[~spare] for x in (key, doc, row, place, count.astype(np.int64), offset.astype(np.int64)))
         if not len(key):
             continue
         step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
         start = np.repeat(np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1), count) + step
-        doc, place = np.repeat(doc, count), np.repeat(place, count) + step
+        doc, row, place = np.repeat(doc, count), np.repeat(row, count), np.repeat(place, count) + step
         group = _mix(np.repeat(key, count) + (np.repeat(offset, count) - step).astype(np.uint64) * _BASE)
         p = Prefix(raw)
         whole = p.part(start, start + LENGTH)
@@ -482,7 +489,7 @@ def repeated_strings(batches, groups: int):
         new = np.r_[True, ~equal]
         lowest = np.minimum.reduceat(doc[order], np.flatnonzero(new))[np.cumsum(new) - 1]
         hit = order[doc[order] > lowest]
-        yield from _outcomes(doc[hit], np.full(len(hit), REPEATED), place[hit], groups)
+        yield from _outcomes(doc[hit], row[hit], np.full(len(hit), REPEATED), place[hit], groups)
 
 
 def covered(n: int, contexts: np.ndarray, strings: np.ndarray) -> np.ndarray:
@@ -505,35 +512,37 @@ def removals(batches):
         shape = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return _batch({"doc_id": pa.array(docs, pa.int64()), "spans": pa.array(spans, shape), "kept": pa.array(kept, pa.binary())})
 
-    for doc, texts, known in _by_document(batches):
-        strings = known.get(REPEATED, NOWHERE)
-        for variant, packed in enumerate(sorted(texts)):
-            raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
-            contexts = known.get(SETTLED, NOWHERE) if len(texts) == 1 else NOWHERE
-            gone = covered(len(raw), contexts, strings[strings >> 32 == variant] & 0xFFFFFFFF)
-            edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
-            docs.append(doc)
-            spans.append([{"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2])])
-            kept.append(raw[~gone].tobytes())
-            size += len(kept[-1])
-            if size >= 8 << 20 or len(docs) >= 5_000:
-                yield out()
-                docs, spans, kept, size = [], [], [], 0
+    for doc, _, packed, known, _ in _by_text(batches):
+        raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
+        gone = covered(len(raw), known.get(SETTLED, NOWHERE), known.get(REPEATED, NOWHERE))
+        edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
+        docs.append(doc)
+        spans.append([{"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2])])
+        kept.append(raw[~gone].tobytes())
+        size += len(kept[-1])
+        if size >= 8 << 20 or len(docs) >= 5_000:
+            yield out()
+            docs, spans, kept, size = [], [], [], 0
     if docs:
         yield out()
 
 
-def packed_texts(docs: DataFrame, groups: int) -> DataFrame:
-    """(part, doc_id, raw): texts as compressed UTF-8 bytes, half the size in a shuffle. A null text is empty."""
+def packed_texts(docs: DataFrame, groups: int, repeated: bool) -> DataFrame:
+    """(part, doc_id, row, raw): texts as compressed UTF-8 bytes, half the size in a shuffle. A null text is empty.
+
+    The row key tells texts of the same id apart. It is a hash of the text, or 0 if no id is ``repeated``.
+    """
 
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             raw = [squeeze.compress((t or "").encode("utf-8", "replace")) for t in batch.column("text").to_pylist()]
-            part = _part(batch.column("doc_id").to_numpy(zero_copy_only=False), groups)
-            yield _batch({"part": pa.array(part), "doc_id": batch.column("doc_id"), "raw": pa.array(raw, pa.binary())})
+            part = _part(batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("row").to_numpy(zero_copy_only=False), groups)
+            yield _batch({"part": pa.array(part), "doc_id": batch.column("doc_id"), "row": batch.column("row"), "raw": pa.array(raw, pa.binary())})
 
-    return docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("bigint").alias("doc_id"), "text").mapInArrow(run, "part bigint, doc_id bigint, raw binary")
+    row = F.xxhash64(F.coalesce("text", F.lit(""))) if repeated else F.lit(0).cast("bigint")
+    return docs.select(F.coalesce(F.col("doc_id"), F.lit(LAST_ID)).cast("bigint").alias("doc_id"), row.alias("row"), "text").mapInArrow(
+        run, "part bigint, doc_id bigint, row bigint, raw binary")
 
 
 def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, string_bucket_bytes: int = STRING_BUCKET_BYTES) -> DataFrame:
@@ -546,7 +555,8 @@ def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, string_bu
     total = docs.agg(F.sum(F.octet_length("text").cast("bigint")).alias("n")).first()["n"] or 0
     buckets, string_buckets = (max(1, -(-total // b)) for b in (bucket_bytes, string_bucket_bytes))
     groups = max(1, -(-total // GROUP_BYTES))
-    texts = packed_texts(docs, groups)
+    repeated = not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    texts = packed_texts(docs, groups, repeated)
     found = texts.mapInArrow(lambda b: anchor_rows(b, buckets), ANCHOR_ROWS)
     outcomes = written(found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: settle(b, groups), OUTCOME_ROWS), "repeat_anchors")
 
@@ -554,7 +564,7 @@ def without_repeats(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, string_bu
         rows = texts.withColumn("stage", F.lit(1))
         for k in known:
             rows = rows.unionByName(k.withColumn("stage", F.lit(0)), allowMissingColumns=True)
-        return rows.repartition("part").sortWithinPartitions("part", "stage", "doc_id").select(*KNOWN_ROWS)
+        return rows.repartition("part").sortWithinPartitions("part", "stage", "doc_id", "row").select(*KNOWN_ROWS)
 
     pieces = with_texts(outcomes).mapInArrow(lambda b: string_rows(b, string_buckets), STRING_ROWS)
     strings = written(pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda b: repeated_strings(b, groups), OUTCOME_ROWS), "repeat_strings")

@@ -62,6 +62,19 @@ def test_suffix_repeats(spark, texts, ids, many, monkeypatch):
     assert got == repeats_brute(zip(numbers, texts))
 
 
+def test_suffix_repeats_between_single_and_repeated_ids(spark):
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    same, other, partly = text(300), text(200), text(120)
+    pairs = [(5, same), (9, same), (9, same), (9, other + same[:90]), (3, partly), (3, other), (12, text(40) + partly[:70] + text(40)), (13, other),
+             (20, partly + same), (None, same), (None, other + partly), (None, text(80)), (None, None), (7, ""), (7, text(60) + same[100:220])]
+    for n in range(4):
+        table = spark.createDataFrame(rows([t for _, t in pairs], [i for i, _ in pairs]), SHAPE).repartition(n + 1)
+        made = suffix_repeats.without_repeats(table, 300, 200).collect()
+        got = sorted([(r.doc_id, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in made], key=str)
+        assert got == repeats_brute(pairs)
+
+
 def simhash_brute(pairs):
     prints = []
     for i, t in pairs:

@@ -132,7 +132,9 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def grouped(prints: DataFrame) -> DataFrame:
-    """(fp, component) where component is the smallest document id of the fingerprint's group.
+    """(fp, root, component): the smallest fingerprint and the smallest document id of the fingerprint's group.
+
+    Only the root tells groups apart: several may hold the same id, or null ids alone.
 
     ``prints`` needs doc_id and fp. A null doc_id counts as larger than all others.
     """
@@ -141,7 +143,7 @@ def grouped(prints: DataFrame) -> DataFrame:
     roots = components(links(classes.select("fp")))
     placed = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "_first", F.coalesce("root", "fp").alias("_root"))
     firsts = placed.groupBy("_root").agg(F.min("_first").alias("component"))
-    return placed.select("fp", "_root").join(firsts, "_root").select("fp", "component")
+    return placed.select("fp", "_root").join(firsts, "_root").select("fp", F.col("_root").alias("root"), "component")
 
 
 def simhash_components(docs: DataFrame) -> DataFrame:
@@ -164,9 +166,9 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     prints = written(fingerprints(docs.select("doc_id", mark.alias("_mark"), "text"), ["doc_id", "_mark"]), "simhash")
     groups = grouped(prints)
     doc = F.coalesce(F.col("doc_id"), F.lit(LAST_ID))
-    first = prints.join(groups, "fp").where(doc == F.col("component")).groupBy(F.col("component").alias("_doc")).agg(F.min("_mark").alias("_first"))
+    heads = prints.join(groups, "fp").where(doc == F.col("component")).groupBy("root", F.col("component").alias("_doc")).agg(F.min("_mark").alias("_first"))
     keyed = docs.withColumns({"_doc": doc, "_first": mark})
-    kept = keyed.join(first, ["_doc", "_first"], "left_semi")
+    kept = keyed.join(heads, ["_doc", "_first"], "left_semi")
     return kept.dropDuplicates(["_doc", "_first"]).select(*docs.columns) if _repeats(prints) else kept.select(*docs.columns)
 
 

@@ -117,6 +117,16 @@ def test_fingerprints_three_bits_apart_are_linked(spark):
     assert [by[f] for f in signed] == [*range(30), *[k // 3 for k in range(90)]]
 
 
+def test_deduplicated_keeps_a_row_of_every_group(spark):
+    rng = random.Random(8)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40))
+    first, second, other = text(), text(), text()
+    pairs = [(None, text()) for _ in range(30)] + [(7, first), (7, second), (20, second), (20, second), (None, first), (3, other), (3, other), (None, other), (None, None), (4, "")]
+    made = simhash.deduplicated(spark.createDataFrame(rows([t for _, t in pairs], [i for i, _ in pairs]), SHAPE).repartition(3))
+    want = [(None, t) for _, t in pairs[:30]] + [(7, first), (7, second), (3, other), (4, "")]
+    assert sorted(((r.doc_id, r.text) for r in made.collect()), key=str) == sorted(want, key=str)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (5, 5)], "a bigint, b bigint")
     assert {r.node: r.root for r in components(edges).collect()} == {**{k: 0 for k in range(61)}, 100: 100, 101: 100}

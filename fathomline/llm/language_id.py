@@ -9,6 +9,7 @@ language of the centroid with the largest cosine; a text too far from it is reje
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -23,8 +24,9 @@ BINS = 8192
 CENTROIDS = 4
 # At most this many labelled texts of each language are used to fit (smallest hashes of their ids).
 SAMPLE = 1500
-# A text is rejected below this share of the cosine that all but a thousandth of the sample reach.
-REJECT = 0.2
+# Share of a language's own texts that may lie below the limit of their centroid, and parts in which texts are held out for it.
+REJECT_RATE = 0.005
+FOLDS = 5
 ROUNDS = 10
 BLOCK = 1 << 20
 _LETTER = re.compile(r"[^\W\d_]")
@@ -69,6 +71,29 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return c
 
 
+def reject_limits(texts: list[str], x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Smallest cosine accepted by each of the centroids ``c`` of the language of ``texts``.
+
+    Each text is compared with centroids learned without it and without its copies. A limit is
+    the cosine that all but ``REJECT_RATE`` of the texts nearest to its centroid reach. Where these
+    are too few to tell, all texts of the language set it; without any held-out text there is no limit.
+    """
+    part = np.array([zlib.crc32(t.encode("utf-8", "replace")) % FOLDS for t in texts])
+    reach, seen = np.zeros(len(x), np.float32), np.zeros(len(x), bool)
+    for k in np.unique(part):
+        out = part == k
+        if not out.all():
+            reach[out] = (x[out] @ spherical_kmeans(x[~out], len(c)).T).max(axis=1)
+            seen |= out
+    nearest, limits = (x @ c.T).argmax(axis=1), np.zeros(len(c))
+    for j in range(len(c)):
+        use = seen & (nearest == j)
+        use = use if int(REJECT_RATE * (use.sum() + 1)) else seen
+        if use.any():
+            limits[j] = np.sort(reach[use])[max(1, int(REJECT_RATE * (use.sum() + 1))) - 1] - 1e-5
+    return limits
+
+
 class Model:
     """Centroids with their languages, reject limits and IDF weights."""
 
@@ -116,8 +141,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS, b
             return pd.DataFrame({"lang": pd.Series(dtype=object), "centre": pd.Series(dtype=object), "limit": pd.Series(dtype=float)})
         x = vectors(texts, idf)
         c = spherical_kmeans(x, centroids)
-        limit = float(np.quantile((x @ c.T).max(axis=1), 0.001)) * REJECT
-        return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [row.astype(np.float32).tobytes() for row in c], "limit": limit})
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "centre": [row.astype(np.float32).tobytes() for row in c], "limit": reject_limits(texts, x, c)})
 
     made = chosen.select("lang", "text").groupBy("lang").applyInPandas(cluster, "lang string, centre binary, limit double").orderBy("lang").collect()
     centres = np.stack([np.frombuffer(r["centre"], np.float32) for r in made]) if made else np.zeros((0, bins), np.float32)

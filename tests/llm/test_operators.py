@@ -201,6 +201,24 @@ def test_language_id(spark, sf_dir):
     assert {r.lang_pred for r in language_id.identified(odd.where("1 = 0").union(odd.where("doc_id = -1"))).collect()} == {"und"}
 
 
+def test_language_id_rejects_what_it_has_not_learned(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(2)
+    salad = [" ".join("".join(rng.choice("qxzwvkjpbgh") for _ in range(rng.randint(2, 8))) for _ in range(60)) for _ in range(5)]
+    odd = ["Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Ahi quanto a dir qual era",
+           "il gatto dorme sulla sedia vicino alla finestra aperta e sogna", "Vanha talo seisoo joen rannalla ja lapset juoksevat metsaan kun aurinko laskee",
+           "Stary dom stoi nad rzeka i dzieci biegna do lasu kiedy zachodzi slonce", "Старый дом стоит у реки", "古い家は川のそばにある",
+           "Een oude man zit aan de rivier en de kinderen rennen naar het bos wanneer de zon ondergaat en het wordt donker in der nacht",
+           "the kadunu moresilo und velatipa the norisuke", "La la la la la la la", *salad]
+    short = {r.doc_id: " ".join(r.text.split()[:12]) for r in table.where("text RLIKE '^[A-Z][a-z ,]{80}' AND crc32(cast(cast(doc_id AS string) AS binary)) % 5 = 0").collect()}
+    more = [(-1 - k, t, None) for k, t in enumerate(odd)] + [(10**9 + k, t, None) for k, t in short.items()]
+    made = {r.doc_id: r for r in language_id.identified(table.union(spark.createDataFrame(more, "doc_id bigint, text string, lang string"))).collect()}
+    assert all(made[-1 - k].rejected for k in range(len(odd)))
+    own = [r.rejected for k, r in made.items() if 0 <= k < 10**9 and r.held_out]
+    assert sum(own) <= 0.03 * len(own)
+    assert short and sum(made[10**9 + k].rejected for k in short) <= 0.1 * len(short)
+
+
 def test_language_stage_keeps_clashing_columns(spark):
     made = spark.createDataFrame([(i, "the old house by the river", "en", 1.5, i % 2 == 0, "x") for i in range(40)] + [(90, None, "en", 2.5, False, "y")],
                                  "doc_id bigint, text string, lang string, score double, rejected boolean, lang_pred string")

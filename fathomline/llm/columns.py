@@ -43,3 +43,27 @@ def sampled_ids(df: DataFrame, group: str, size: int) -> DataFrame:
     near = df.select("doc_id", group).join(counts, group).where(mark / F.lit(2.0**64) + 0.5 <= share).select("doc_id", group).distinct()
     order = Window.partitionBy(group).orderBy(mark, "doc_id")
     return near.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= size).drop("_r")
+
+
+def slices(sizes: list[int], limit: int):
+    """Bounds of runs of rows whose sizes sum to ``limit`` at most, one row at least."""
+    start = total = 0
+    for k, size in enumerate(sizes):
+        if k > start and total + size > limit:
+            yield start, k
+            start, total = k, 0
+        total += size
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def packed(docs: DataFrame, *heavy: str) -> DataFrame:
+    """One struct of all other columns beside the heavy ones, so that no name of the input can clash."""
+    others = [c for c in docs.columns if c not in heavy]
+    rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(0).alias("none"))
+    return docs.select(rest.alias("rest"), *[F.col(f"`{c}`") for c in heavy])
+
+
+def unpacked(df: DataFrame, others: list[str], *added: str) -> DataFrame:
+    """The columns of ``packed`` again, with the added ones."""
+    return df.select(*[F.col("rest")[c].alias(c) for c in others], *added)

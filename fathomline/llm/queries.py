@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fathomline.llm import decontaminate, language_id, mixing, quality_mil, quality_rules, sharding, simhash, sql_parts, suffix_repeats, toxicity, url_rules
+from fathomline.llm import (bpe, decontaminate, fill_in_middle, language_id, mixing, quality_mil, quality_rules, sharding, simhash, sql_parts, suffix_repeats, toxicity,
+                            url_rules, whitening)
 from fathomline.llm.registry import query
 
 # Relative weights of sources in the mixture; a source not named has weight 1.
@@ -72,3 +73,25 @@ def op9_sharding(t):
 @query()
 def op10_quality_mil(t):
     return quality_mil.quality_scores(t.documents, t.labels)
+
+
+@query()
+def op11_bpe(t):
+    import public_tokenizers  # names the folder of the vocabulary files; only this query needs it
+
+    definition = bpe.read_definition(public_tokenizers.path("byte_bpe_50k.json"))
+    made = bpe.decoded(bpe.encoded(t.documents.select("doc_id", "text"), definition), definition)
+    return made.select(
+        "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query(sql_parts.FILL_IN_MIDDLE)
+def op12_fill_in_middle(t):
+    made = fill_in_middle.restored(fill_in_middle.transformed(t.documents.select("doc_id", "text")))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+@query()
+def op13_whitening(t):
+    return whitening.long_form(whitening.whitened(t.embeddings.select("vec_id", "embedding"), "embedding"))

@@ -94,3 +94,21 @@ n AS (SELECT d.doc_id, d.source, d.n_bytes, t.rate, count(*) FILTER (t.cdf <= d.
 SELECT doc_id, source, round(rate, 9) AS rate, n_bytes, c::INT AS copy, {_unit(str(seed), "'order'", "doc_id", "c")} AS order_key
 FROM n, unnest(range(0, n)) AS v(c)
 """
+
+
+FILL_IN_MIDDLE = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+numbers AS (
+  SELECT doc_id, text, n, ('0x' || substr(digest, 1, 8))::BIGINT % (n + 1) AS a, ('0x' || substr(digest, 9, 8))::BIGINT % (n + 1) AS b,
+         ('0x' || substr(digest, 17, 8))::BIGINT % 100 AS p, ('0x' || substr(digest, 25, 8))::BIGINT % 100 AS q FROM drawn),
+cut AS (
+  SELECT doc_id, text, n, least(a, b) AS x, greatest(a, b) AS y,
+         CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR p >= 90 THEN 'plain' WHEN q < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM numbers),
+parts AS (SELECT *, substr(text, 1, x) AS prefix, substr(text, x + 1, y - x) AS middle, substr(text, y + 1) AS suffix FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(x AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(y - x AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""

@@ -95,8 +95,8 @@ def dup_of_doc(t):
 
 @query("""
 WITH h AS (SELECT conv_id, turn, sha1(lower(regexp_replace(string_split(text, chr(10))[1], '[^a-zA-Z]', '', 'g'))) AS h FROM conversations),
-f AS (SELECT h, MIN(conv_id * 1000 + turn) AS first FROM h GROUP BY 1)
-SELECT conv_id, turn, CASE WHEN first <> conv_id * 1000 + turn THEN (first // 1000) || '-' || (first % 1000) END AS dup_of FROM h JOIN f USING (h)
+f AS (SELECT h, MIN(conv_id * 4294967296 + turn) AS first FROM h GROUP BY 1)
+SELECT conv_id, turn, CASE WHEN first <> conv_id * 4294967296 + turn THEN (first // 4294967296) || '-' || (first % 4294967296) END AS dup_of FROM h JOIN f USING (h)
 """)
 def dup_of_segment(t):
     first_line = F.regexp_replace(F.substring_index("text", "\n", 1), "[^a-zA-Z]", "")
@@ -209,7 +209,7 @@ def serial_continue(t):
     stored = t.conversations.where("role = 'user'").select("conv_id", F.col("turn").alias("t"))
     offsets = stored.groupBy("conv_id").agg(F.count(F.lit(1)).alias("used"))
     fresh = t.conversations.where("role <> 'user'").select("conv_id", "turn")
-    numbered = numbering.bucketed_row_number(fresh, ["conv_id"], F.floor(F.col("turn") / 1000), [F.col("turn")], "n")
+    numbered = numbering.row_numbers(fresh, ["conv_id"], [F.col("turn")], "n")
     return numbered.join(offsets, "conv_id").select("conv_id", "turn", (F.col("used") + F.col("n")).alias("serial"))
 
 
@@ -221,7 +221,7 @@ def ledger_ids(t):
     """New topics numbered on from the stored maximum in a global order, without one global sort task."""
     base = t.documents.where("lang = 'en'").agg(F.count(F.lit(1))).scalar()
     new = t.documents.where("lang <> 'en'").select("doc_id")
-    numbered = numbering.bucketed_row_number(new, [], F.floor(F.col("doc_id") / 100_000), [F.col("doc_id")], "n")
+    numbered = numbering.row_numbers(new, [], [F.col("doc_id")], "n")
     return numbered.select("doc_id", F.concat(F.lit("T"), F.format_string("%06d", base + F.col("n"))).alias("ledger_id"))
 
 

@@ -12,6 +12,7 @@ from fathomline.functions import rules
 from fathomline.operators import picks
 from fathomline.operators import upsert as up
 from fathomline.operators.keyed import pick_per_key, top_n_ranked
+from fathomline.operators.numbering import row_numbers
 
 
 @query("""
@@ -19,10 +20,8 @@ SELECT o_orderkey, o_orderdate, row_number() OVER (PARTITION BY year(o_orderdate
 """)
 def total_order(t):
     """Numbers in a total order per year; every tie is broken by the key."""
-    from fathomline.operators.numbering import bucketed_row_number
-
     o = t.orders.select("o_orderkey", "o_orderdate", F.year("o_orderdate").alias("y"))
-    return bucketed_row_number(o, ["y"], F.to_date("o_orderdate"), [F.col("o_orderdate"), F.col("o_orderkey")], "no").drop("y")
+    return row_numbers(o, ["y"], [F.col("o_orderdate"), F.col("o_orderkey")], "no").drop("y")
 
 
 @query("SELECT o_orderkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 50 OFFSET 100")
@@ -42,12 +41,9 @@ SELECT o_orderkey, relation_rank, row_number() OVER (ORDER BY relation_rank, o_o
 """)
 def enum_order(t):
     """Every order with its place in the given order of the values; unknown ones last."""
-    from fathomline.operators.numbering import bucketed_row_number
-
     rank = F.coalesce(rules.ordinal_rank(F.col("o_orderpriority"), ["1-URGENT", "2-HIGH", "5-LOW"]), F.lit(9)).cast("int")
     o = t.orders.select("o_orderkey", rank.alias("relation_rank"))
-    bucket = F.col("relation_rank").cast("long") * 1_000_000_000 + F.floor(F.col("o_orderkey") / 100_000)
-    return bucketed_row_number(o, [], bucket, [F.col("relation_rank"), F.col("o_orderkey")], "no")
+    return row_numbers(o, [], [F.col("relation_rank"), F.col("o_orderkey")], "no")
 
 
 @query("""
@@ -56,12 +52,8 @@ SELECT c_custkey, alias, row_number() OVER (ORDER BY length(alias) DESC NULLS LA
 """)
 def nulls_last(t):
     """Every customer with its place: longest alias first, no alias last."""
-    from fathomline.operators.numbering import bucketed_row_number
-
     c = t.customer.select("c_custkey", F.nullif("c_mktsegment", F.lit("HOUSEHOLD")).alias("alias"))
-    shortness = F.coalesce(-F.length("alias"), F.lit(1))
-    bucket = shortness.cast("long") * 1_000_000_000 - F.ceil(F.col("c_custkey") / 100_000)
-    return bucketed_row_number(c, [], bucket, [shortness, -F.col("c_custkey")], "no")
+    return row_numbers(c, [], [F.desc_nulls_last(F.length("alias")), F.desc("c_custkey")], "no")
 
 
 @query("SELECT doc_id, lang FROM documents ORDER BY md5('7|' || doc_id), doc_id LIMIT 25")

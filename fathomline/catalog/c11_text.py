@@ -372,17 +372,26 @@ def bloat(df, key, col):
     return df.select(key, *[v.alias(k) for k, v in out.items()])
 
 
-@query()
+@query("""
+WITH RECURSIVE r AS (SELECT source, doc_id, length(coalesce(text, '')[1:1200]) + length(coalesce(source, '')) + 50 AS c, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rn FROM documents),
+p AS (SELECT source, doc_id, rn, c AS used, 1 AS n, 0 AS batch_no FROM r WHERE rn = 1
+  UNION ALL
+  SELECT r.source, r.doc_id, r.rn, CASE WHEN used + c > 12000 OR n >= 12 THEN c ELSE used + c END, CASE WHEN used + c > 12000 OR n >= 12 THEN 1 ELSE n + 1 END,
+    CASE WHEN used + c > 12000 OR n >= 12 THEN batch_no + 1 ELSE batch_no END
+  FROM p JOIN r ON r.source IS NOT DISTINCT FROM p.source AND r.rn = p.rn + 1)
+SELECT source, doc_id, CAST(batch_no AS BIGINT) AS batch_no FROM p
+""")
 def chunk_packing(t):
-    chars = F.length(F.substring("text", 1, tx.LEAD_CHARS)) + F.length("source") + packing.ROW_OVERHEAD
-    return packing.packed_batches(t.documents, ["source"], "doc_id", F.floor(F.col("doc_id") / 10_000), [F.col("doc_id")], chars)
+    """Greedy batches of each source's documents: 12 rows or 12,000 characters of title and lead."""
+    chars = F.length(F.substring(F.coalesce("text", F.lit("")), 1, tx.LEAD_CHARS)) + F.length(F.coalesce("source", F.lit(""))) + packing.ROW_OVERHEAD
+    return packing.packed_batches(t.documents, ["source"], "doc_id", [F.col("doc_id")], chars)
 
 
 @query("""
 SELECT doc_id, lang, (row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1) // 20 AS chunk_no FROM documents
 """)
 def fixed_chunks(t):
-    return packing.fixed_chunks(t.documents.select("doc_id", "lang"), ["lang"], F.floor(F.col("doc_id") / 10_000), [F.col("doc_id")], 20)
+    return packing.fixed_chunks(t.documents.select("doc_id", "lang"), ["lang"], [F.col("doc_id")], 20)
 
 
 @query("""
@@ -396,8 +405,7 @@ def budget_pack(t):
     """Documents of a source by kind into 40,000 characters, at most 5,000 each."""
     prio = F.when(F.col("lang") == "en", F.lit(0)).when(F.col("lang") == "de", F.lit(1)).otherwise(F.lit(2))
     d = t.documents.select("doc_id", "source", prio.alias("p"), F.length("text").alias("n"))
-    bucket = F.col("p") * 1_000_000_000 + F.floor(F.col("doc_id") / 10_000)
-    return packing.budget_pack(d, ["source"], bucket, [F.col("p"), F.col("doc_id")], F.col("n"), 5000, 40000).select(
+    return packing.budget_pack(d, ["source"], [F.col("p"), F.col("doc_id")], F.col("n"), 5000, 40000).select(
         "doc_id", "source", "taken", "truncated")
 
 
@@ -411,7 +419,7 @@ def email_domains(t):
 
 @query("""
 WITH p AS (SELECT a.conv_id, a.turn FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn - 1)
-SELECT conv_id * 1000 + turn AS pk_seq, CAST(DATE '2024-01-01' + CAST(conv_id % 28 AS INTEGER) AS TIMESTAMP) + INTERVAL 15 HOUR + to_minutes(CAST(turn % 10 AS INTEGER)) AS sent_ts,
+SELECT conv_id * 4294967296 + turn AS pk_seq, CAST(DATE '2024-01-01' + CAST(conv_id % 28 AS INTEGER) AS TIMESTAMP) + INTERVAL 15 HOUR + to_minutes(CAST(turn % 10 AS INTEGER)) AS sent_ts,
   'en' AS sent_kind FROM p
 """)
 def sent_values(t):
@@ -463,21 +471,28 @@ def json_salvage(t):
 
 
 @query(r"""
-WITH i AS (SELECT doc_id + d AS doc_id, regexp_extract(text, '([0-9]+)[ ]?([a-z]+)', 1) AS v, regexp_extract(text, '([0-9]+)[ ]?([a-z]+)', 2) AS u
-  FROM documents, (VALUES (0), (1), (2), (3)) AS n(d)),
-x AS (SELECT DISTINCT doc_id, v, u FROM i WHERE v <> ''),
-o AS (SELECT doc_id, ' ' || replace(regexp_replace(text, '\s+', ' ', 'g'), ',', '') || ' ' AS t FROM documents),
-h AS (SELECT o.doc_id, bool_or(regexp_matches(t, '(?i)[^0-9.]' || v || ' *' || u) OR regexp_matches(t, '(?i)' || u || ' *' || v || '[^0-9.]')) AS leak
-  FROM o JOIN x USING (doc_id) GROUP BY 1)
-SELECT d.doc_id, COALESCE(leak, false) AS shareable_failed FROM documents d LEFT JOIN h USING (doc_id)
+WITH o AS (SELECT doc_id, source, lower(replace(trim(regexp_replace(coalesce(text, ''), '[\s\x0B\x{A0}]+', ' ', 'g')), ',', '')) AS t FROM documents),
+f AS (SELECT doc_id, source, unnest(regexp_extract_all(t, '[0-9.]+ ?[a-z]*', 0)) AS m FROM o),
+i AS (SELECT source, v, u, MIN(doc_id) AS lo, MAX(doc_id) AS hi FROM (SELECT doc_id, source, regexp_extract(m, '([0-9.]+) ?([a-z]*)', 1) AS v, regexp_extract(m, '([0-9.]+) ?([a-z]*)', 2) AS u FROM f)
+  WHERE regexp_matches(v, '^[0-9]+(\.[0-9]+)?$') AND (u <> '' OR length(v) >= 2) GROUP BY 1, 2, 3),
+k AS (SELECT doc_id, source, regexp_replace(t, ' *([0-9.]+) *', chr(1) || '\1' || chr(2), 'g') AS k FROM o),
+h AS (SELECT doc_id, COUNT(*) AS n_shown, COUNT(*) FILTER (lo <> doc_id OR hi <> doc_id) AS n_foreign FROM k JOIN i USING (source)
+  WHERE contains(k, chr(1) || v || chr(2) || u) OR (u <> '' AND contains(k, u || chr(1) || v || chr(2))) GROUP BY 1)
+SELECT d.doc_id, COALESCE(n_shown, 0) AS n_shown, COALESCE(n_foreign, 0) AS n_foreign, COALESCE(n_foreign, 0) > 0 AS shareable_failed FROM documents d LEFT JOIN h USING (doc_id)
 """)
 def number_leak(t):
-    """First numbers of a document and of the three before are confidential: they must not show in its outgoing text."""
-    value, unit = (F.regexp_extract("text", "([0-9]+)[ ]?([a-z]+)", i) for i in (1, 2))
-    items = t.documents.select(F.explode(F.array(*[F.col("doc_id") + d for d in (0, 1, 2, 3)])).alias("doc_id"), value.alias("value"), unit.alias("unit"))
-    leaks = matching.leaked_cells(t.documents.select("doc_id", "text"), items.where("value <> ''"), ["doc_id"], "text")
-    return t.documents.select("doc_id").join(leaks.withColumn("leak", F.lit(True)), "doc_id", "left").select(
-        "doc_id", F.coalesce("leak", F.lit(False)).alias("shareable_failed"))
+    """All numbers of all documents of a source are confidential to their document: no other text of the source may show one."""
+    clean = F.replace(F.lower(tx.squeeze(F.col("text"))), F.lit(","), F.lit(""))
+    parts = [F.regexp_extract_all(clean, F.lit("([0-9.]+) ?([a-z]*)"), F.lit(k)).alias(name) for k, name in ((1, "value"), (2, "unit"))]
+    numbers = t.documents.select("doc_id", "source", *parts).select("doc_id", "source", F.explode(F.arrays_zip("value", "unit")).alias("m"))
+    stated = numbers.select("doc_id", "source", "m.value", "m.unit").where(F.col("value").rlike(r"^[0-9]+(\.[0-9]+)?$"))
+    owners = stated.groupBy("source", "value", "unit").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+    shown = matching.shown_items(t.documents.select("doc_id", "source", "text"), ["doc_id"], owners, ["source"], "text")
+    foreign = (F.col("lo") != F.col("doc_id")) | (F.col("hi") != F.col("doc_id"))
+    counts = shown.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_shown"), F.count_if(foreign).alias("n_foreign"))
+    n_foreign = F.coalesce("n_foreign", F.lit(0))
+    return t.documents.select("doc_id").join(counts, "doc_id", "left").select(
+        "doc_id", F.coalesce("n_shown", F.lit(0)).alias("n_shown"), n_foreign.alias("n_foreign"), (n_foreign > 0).alias("shareable_failed"))
 
 
 @query(r"""

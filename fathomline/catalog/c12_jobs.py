@@ -115,16 +115,15 @@ def segment_chain(t):
 
 
 @query("""
-WITH i AS (SELECT conv_id, turn, role, conv_id * 1000 + turn AS item_id, sha1(conv_id || '|' || lower(text[1:1])) AS item_key FROM conversations),
-o AS (SELECT conv_id, item_key, MIN(item_id) AS old_id FROM i WHERE role = 'user' GROUP BY 1, 2)
-SELECT i.item_id, o.old_id AS supersedes_item_id FROM i LEFT JOIN o USING (conv_id, item_key) WHERE role <> 'user'
+WITH i AS (SELECT conv_id, turn, role, sha1(conv_id || '|' || lower(text[1:1])) AS item_key FROM conversations),
+o AS (SELECT conv_id, item_key, MIN(turn) AS old_turn FROM i WHERE role = 'user' GROUP BY 1, 2)
+SELECT i.conv_id, i.turn, o.old_turn AS supersedes_turn FROM i LEFT JOIN o USING (conv_id, item_key) WHERE role <> 'user'
 """)
 def supersedes(t):
-    """A new item points at the smallest old id with the same stable key in its segment."""
-    i = t.conversations.select("conv_id", "role", (F.col("conv_id") * 1000 + F.col("turn")).alias("item_id"),
-                               F.sha1(F.concat(F.col("conv_id").cast("string"), F.lit("|"), F.lower(F.substring("text", 1, 1)))).alias("item_key"))
-    old = i.where("role = 'user'").groupBy("conv_id", "item_key").agg(F.min("item_id").alias("supersedes_item_id"))
-    return i.where("role <> 'user'").join(old, ["conv_id", "item_key"], "left").select("item_id", "supersedes_item_id")
+    """A new item (conversation, turn) points at the smallest old turn with the same stable key in its conversation."""
+    i = t.conversations.select("conv_id", "role", "turn", F.sha1(F.concat(F.col("conv_id").cast("string"), F.lit("|"), F.lower(F.substring("text", 1, 1)))).alias("item_key"))
+    old = i.where("role = 'user'").groupBy("conv_id", "item_key").agg(F.min("turn").alias("supersedes_turn"))
+    return i.where("role <> 'user'").join(old, ["conv_id", "item_key"], "left").select("conv_id", "turn", "supersedes_turn")
 
 
 @query("""
@@ -330,7 +329,7 @@ def ledger_merge(t):
     """Targets of all reviewed items against a ledger of two records and its evidence."""
     items = ledger_items(t)
     evidence = t.documents.where("lang = 'de' AND n_chars < 600").select(F.lit("SEM-000001").alias("record_id"), F.col("doc_id").alias("item_key"))
-    targets, _ = ledgers.topic_plan(items, _records(t), evidence, "SEM-", F.floor(F.col("item_key") / 100_000), [F.col("item_key")])
+    targets, _ = ledgers.topic_plan(items, _records(t), evidence, "SEM-", [F.col("item_key")])
     return targets.select("item_key", "target", "action")
 
 

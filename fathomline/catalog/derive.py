@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+# Numbers kept free for the turns of a conversation. A turn or a conversation beyond that is
+# an error, never another one's key.
+TURNS = 2**32
+
 
 def mails(t):
     """Every conversation turn as a mail that forwards the turn before it.
@@ -24,8 +28,9 @@ def mails(t):
     sender = F.when(F.col("role") == "assistant", F.col("role")).otherwise(F.concat(
         F.lit("1000"), F.lpad(F.pmod("conv_id", F.lit(1000)).cast("string"), 3, "0"), F.lit("/"), F.initcap("role"),
         F.lit("/acct"), F.col("conv_id").cast("string"), F.lit("/ML"), F.pmod("conv_id", F.lit(7)).cast("string"), F.lit("A01")))
+    key = F.when(F.col("turn") >= TURNS, F.raise_error(F.lit("turn number too large"))).otherwise(F.col("conv_id") * F.lit(TURNS) + F.col("turn"))
     return joined.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("pk_seq"), "conv_id", "turn", "role", day.alias("mail_date"),
+        key.cast("long").alias("pk_seq"), "conv_id", "turn", "role", day.alias("mail_date"),
         sender.alias("mail_from"), F.concat(F.lit("FW: Re: "), F.substring_index("text", " ", 4)).alias("mail_subject"),
         F.when(F.length("text") >= 400, body).alias("mail_body_md"), body.alias("mail_without_fw"), F.col("text").alias("mail_body"),
         F.lit("desk@other.example.org; 'Lee, Ann'; Sales Team <SALES@Mail.Example.com>; IMCEAEX-x@bad.example.com").alias("mail_to"))

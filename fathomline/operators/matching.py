@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fathomline.functions import text as tx
 from fathomline.operators.skew import HOT_ROWS, attach_groups
+from fathomline.session import written
 
 
 def substrings_of_lengths(c: Column, lengths: Column) -> Column:
@@ -44,30 +45,41 @@ def alias_match(rows: DataFrame, raw: str, row_key: str, aliases: DataFrame, ali
     return attach_groups(rows, best, [raw], "_n", [row_key], hot_rows).drop("_n")
 
 
-def leaked_cells(outgoing: DataFrame, items: DataFrame, cell: list[str], text: str) -> DataFrame:
-    """Cells whose outgoing text shows a number of a confidential item.
+def shown_items(outgoing: DataFrame, row_key: list[str], items: DataFrame, cell: list[str], text: str) -> DataFrame:
+    """(row_key, cell, item columns) of every confidential item that an outgoing text of its cell shows.
+
+    ``items`` has value (digits and points) and unit, one row per cell, value and unit, and
+    any further columns. A value counts with numeric boundaries, that is as a whole run of
+    digits and points; if it has a unit of any length, with the unit right before or after
+    it; without one it needs two characters. Case, thousands commas and white space do not
+    matter. A null cell has no items.
 
-    ``items`` has value and unit per cell. A value counts with numeric boundaries
-    and, if it has a unit of any length, with the unit right before or after it.
-    Numbers of the text are joined by (cell, value); only texts that show the number
-    of an item with a unit are read again, to look for the two together.
+    Every run of a text is joined by hash on (cell, value, unit) with all items of the cell,
+    the unit being each stretch before and after the run that is as long as some unit. A row
+    counts an item once. The items side has one row per key, so a cell or value that fills a
+    third of all rows only has many rows on the other side, which the skew join splits.
     """
-    plain = outgoing.select(*cell, F.lower(F.replace(tx.squeeze(F.col(text)), F.lit(","), F.lit(""))).alias("_t")).withColumn("_h", F.sha1("_t"))
-    number = r"(?<![\d.])\d+(?:\.\d+)?(?![\d.])"
-    found = F.array_distinct(F.regexp_extract_all("_t", F.lit(number), F.lit(0)))
-    shown = plain.select(*cell, "_h", F.explode(found).alias("value")).distinct()
-    secret = items.select(*cell, "value", F.lower(F.coalesce("unit", F.lit(""))).alias("unit")).distinct().where(
-        (F.col("unit") != "") | (F.length("value") >= 2))
-    hits = shown.join(secret, [*cell, "value"])
-
-    def quoted(c):
-        return F.concat(F.lit(r"\Q"), F.replace(c, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
-
-    value = F.concat(F.lit(r"(?<![\d.])"), quoted(F.col("value")), F.lit(r"(?![\d.])"))
-    unit = quoted(F.col("unit"))
-    together = F.regexp_like(F.col("_t"), F.concat(value, F.lit(" *"), unit, F.lit("|"), unit, F.lit(" *"), value))
-    with_unit = hits.where("unit <> ''").join(plain, [*cell, "_h"]).where(together)
-    return hits.where("unit = ''").select(*cell).union(with_unit.select(*cell)).distinct()
+    named = items.withColumns({"value": F.replace("value", F.lit(","), F.lit("")), "unit": F.lower(tx.squeeze(F.col("unit")))})
+    extra = [c for c in items.columns if c not in {*cell, "value", "unit"}]
+    secret = written(named.where((F.col("unit") != "") | (F.length("value") >= 2)), "confidential_items")
+    # Distinct lengths only: as many numbers as the longest unit has characters, at most.
+    lengths = sorted(r[0] for r in secret.select(F.length("unit")).distinct().collect() if r[0])
+    plain = outgoing.select(*row_key, *cell, F.lower(F.replace(tx.squeeze(F.col(text)), F.lit(","), F.lit(""))).alias("_t"))
+    beside = r"[\p{Nd}.]+(?= *(.{0,%d}))" % (lengths[-1] if lengths else 0)
+    after = F.regexp_extract_all("_t", F.lit(beside), F.lit(1))
+    before = F.transform(F.reverse(F.regexp_extract_all(F.reverse("_t"), F.lit(beside), F.lit(1))), F.reverse)
+    runs = plain.select(*row_key, *cell, F.explode(F.arrays_zip(
+        F.regexp_extract_all("_t", F.lit(r"[\p{Nd}.]+"), F.lit(0)).alias("value"), after.alias("after"), before.alias("before"))).alias("_r"))
+    cuts = [cut for k in lengths for cut in (F.when(F.length("_r.after") >= k, F.left("_r.after", F.lit(k))), F.when(F.length("_r.before") >= k, F.right("_r.before", F.lit(k))))]
+    units = F.array_distinct(F.array_compact(F.array(F.lit(""), *cuts)))
+    shown = runs.select(*row_key, *cell, F.col("_r.value").alias("value"), F.explode(units).alias("unit")).distinct()
+    return shown.join(secret.select(*cell, "value", "unit", *extra), [*cell, "value", "unit"])
+
+
+def leaked_cells(outgoing: DataFrame, items: DataFrame, cell: list[str], text: str) -> DataFrame:
+    """Cells whose outgoing text shows a number of a confidential item (see ``shown_items``)."""
+    distinct = items.select(*cell, "value", F.coalesce("unit", F.lit("")).alias("unit")).distinct()
+    return shown_items(outgoing, [], distinct, cell, text).select(*cell).distinct()
 
 
 def email_domains(df: DataFrame, key: str, text: str, internal: list[str]) -> DataFrame:

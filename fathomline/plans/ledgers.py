@@ -6,11 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions import text as tx
-from fathomline.operators.numbering import bucketed_row_number
+from fathomline.operators.numbering import row_numbers
 
 
-def topic_plan(items: DataFrame, records: DataFrame, evidence: DataFrame, prefix: str, bucket: Column,
-               order: list[Column]) -> tuple[DataFrame, DataFrame]:
+def topic_plan(items: DataFrame, records: DataFrame, evidence: DataFrame, prefix: str, order: list[Column]) -> tuple[DataFrame, DataFrame]:
     """(targets, counters) of a run of reviewed items.
 
     items: item_key, dup_of, primary_id, dup_key, date, verified. The target is the
@@ -29,8 +28,7 @@ def topic_plan(items: DataFrame, records: DataFrame, evidence: DataFrame, prefix
     alone = copies.join(primaries.select(F.col("item_key").alias("dup_key")), "dup_key", "left_anti")
     fresh = primaries.where("given IS NULL").unionByName(alone.where("given IS NULL"))
     top = records.agg(F.coalesce(F.max(F.regexp_extract("record_id", r"(\d+)$", 1).cast("long")), F.lit(0))).scalar()
-    numbered = bucketed_row_number(fresh.select("item_key", bucket.alias("_bk"), *[o.alias(f"_o{i}") for i, o in enumerate(order)]),
-                                   [], F.col("_bk"), [F.col(f"_o{i}") for i in range(len(order))], "_n")
+    numbered = row_numbers(fresh.select("item_key", *[o.alias(f"_o{i}") for i, o in enumerate(order)]), [], [F.col(f"_o{i}") for i in range(len(order))], "_n")
     new_ids = numbered.select("item_key", F.concat(F.lit(prefix), F.format_string("%06d", top + F.col("_n"))).alias("new_id"))
     firsts = primaries.unionByName(alone).join(new_ids, "item_key", "left").withColumn("target", F.coalesce("given", "new_id"))
     of_primary = firsts.select(F.col("item_key").alias("dup_key"), F.col("target").alias("_p"))

@@ -92,12 +92,12 @@ def test_attach_groups_splits_hot_and_cold(spark):
         assert got == {("a", "A"), ("b", "B"), ("c", None)} and out.count() == 52
 
 
-def test_bucketed_numbers_and_sums_equal_one_window(spark):
+def test_numbers_and_sums_equal_one_window(spark):
     rng = random.Random(3)
     data = [(rng.choice(["x", "y", None]), i, rng.randint(1, 9)) for i in range(300)]
     df = spark.createDataFrame(data, "g string, id int, v int")
-    num = numbering.bucketed_row_number(df, ["g"], F.floor(F.col("id") / 17), [F.col("id")], "rn")
-    run = numbering.bucketed_running_sum(df, ["g"], F.floor(F.col("id") / 17), [F.col("id")], F.col("v"), "before")
+    num = numbering.row_numbers(df, ["g"], [F.col("id")], "rn")
+    run = numbering.running_sums(df, ["g"], [F.col("id")], F.col("v"), "before")
     want_n, want_s, seen, total = {}, {}, {}, {}
     for g, i, v in data:
         seen[g] = seen.get(g, 0) + 1
@@ -107,26 +107,53 @@ def test_bucketed_numbers_and_sums_equal_one_window(spark):
     assert {r.id: r.before for r in run.collect()} == want_s
 
 
-def test_packed_batches_equal_the_greedy_loop(spark):
-    rng = random.Random(5)
-    data = [("s", i, rng.randint(10, 400)) for i in range(150)]
-    out = packing.packed_batches(spark.createDataFrame(data, "s string, id int, c int"), ["s"], "id", F.floor(F.col("id") / 40), [F.col("id")],
-                                 F.col("c"), max_chars=1000, max_rows=5, run_rows=60)
-    want, n, chars, batch = {}, 0, 0, 0
-    for pos, (_, i, c) in enumerate(data):
-        if pos % 60 == 0:
-            n, chars, batch = 0, 0, 0
-        if n and (chars + c > 1000 or n >= 5):
+def greedy(sizes, max_chars, max_rows):
+    n, chars, batch, out = 0, 0, 0, []
+    for c in sizes:
+        if n and (chars + c > max_chars or n >= max_rows):
             n, chars, batch = 0, 0, batch + 1
         n, chars = n + 1, chars + c
-        want[i] = (pos // 60, batch)
-    assert {r.id: (r.run_no, r.batch_no) for r in out.collect()} == want
+        out.append(batch)
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 7, 64, 8192])
+def test_packed_batches_equal_the_greedy_loop(spark, block):
+    rng = random.Random(block)
+    data = [(g, i, rng.choice([0, 5, 10, 150, 399, 400, 1000, 1500])) for i, g in enumerate(rng.choices(["s", "t", None], [8, 2, 1], k=700))]
+    out = packing.packed_batches(spark.createDataFrame(data, "s string, id int, c int"), ["s"], "id", [F.col("id")], F.col("c"), 1000, 5, block)
+    want = {}
+    for g in ("s", "t", None):
+        rows = [r for r in data if r[0] == g]
+        want |= {i: (g, b) for (_, i, _), b in zip(rows, greedy([c for _, _, c in rows], 1000, 5))}
+    assert {r.id: (r.s, r.batch_no) for r in out.collect()} == want
+
+
+def test_packed_batches_of_a_large_group_without_keys(spark):
+    df = spark.range(1_000_000).select("id", (F.pmod(F.xxhash64("id"), F.lit(3000)) - 5).alias("c"))
+    made = packing.packed_batches(df.repartition(7), [], "id", [F.col("id")], F.col("c")).orderBy("id").toArrow().column("batch_no").to_pylist()
+    assert made == greedy([max(0, r.c) for r in df.orderBy("id").collect()], packing.BATCH_CHARS, packing.BATCH_ROWS)
+    assert packing.packed_batches(df.where("id < 0"), [], "id", [F.col("id")], F.col("c")).count() == 0
+
+
+def test_numbers_of_values_in_a_small_part_of_their_range(spark):
+    """Nine tenths of the rows lie in a thousandth of the range: the parts are equal all the same."""
+    df = spark.range(40_000).select("id", F.when(F.col("id") % 10 == 0, F.col("id") * 1000).otherwise(F.col("id") % 37).cast("double").alias("v"))
+    got = {r.id: r.rn for r in numbering.row_numbers(df, [], [F.col("v"), F.col("id")], "rn").collect()}
+    want = {r.id: k + 1 for k, r in enumerate(sorted(df.collect(), key=lambda r: (r.v, r.id)))}
+    assert got == want
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = sorted(r["count"] for r in numbering._sorted_parts(df, [], [F.col("v"), F.col("id")]).groupBy("_part").count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 8 and sizes[-1] < 2 * 40_000 / 8
 
 
 def test_budget_pack_equals_the_loop(spark):
     rng = random.Random(8)
     data = [("s", i, rng.choice([0, 30, 2500, 9000, 4000])) for i in range(60)]
-    out = packing.budget_pack(spark.createDataFrame(data, "s string, id int, c int"), ["s"], F.floor(F.col("id") / 7), [F.col("id")], F.col("c"),
+    out = packing.budget_pack(spark.createDataFrame(data, "s string, id int, c int"), ["s"], [F.col("id")], F.col("c"),
                               5000, 30000, mark_chars=12)
     want, used = {}, 0
     for _, i, c in data:
@@ -202,6 +229,18 @@ def test_number_leaks_with_units_of_any_length(spark):
     assert rows(matching.leaked_cells(text, items, ["cell"], "t"), "cell") == [("a",), ("c",)]
 
 
+def test_number_leaks_of_a_source_with_a_third_of_the_rows(spark):
+    """Every text against all items of its source; one source and one value are hot."""
+    docs = spark.range(6_000).select(F.col("id").alias("doc"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.col("id") % 500)).alias("cell"),
+                                     F.concat(F.lit("all of 7 kg, then "), "id", F.lit(" pcs. and m2 "), F.col("id") % 90).alias("t"))
+    items = spark.createDataFrame([("hot", "7", "KG", 1), ("hot", "3", "pcs", 2), ("hot", "45", "m2", 3), ("hot", "60", "", 4), ("s1", "1", "pcs", 5), ("s1", "7", "g", 6), (None, "7", "kg", 7)],
+                                  "cell string, value string, unit string, item int")
+    got = sorted((r.item, r.doc) for r in matching.shown_items(docs, ["doc"], items, ["cell"], "t").collect())
+    hot = range(0, 6_000, 3)
+    want = [(1, d) for d in hot] + [(2, 3)] + [(3, d) for d in hot if d % 90 == 45] + [(4, d) for d in hot if d % 90 == 60 or d == 60] + [(5, 1)]
+    assert got == sorted(want)
+
+
 def test_snapshots_ignore_unfinished_writes(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
     table.write(spark.range(3))

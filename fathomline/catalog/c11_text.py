@@ -192,10 +192,9 @@ def normal_hash(t):
 @query()
 def segments(t):
     """Header blocks of forwarded mails with their offsets and fields."""
-    parts = sg.with_blocks(F.col("mail_without_fw"))
-    rows = mails(t).select("pk_seq", F.posexplode(parts).alias("pos", "b")).where("b.is_block")
-    return rows.select("pk_seq", "pos", F.col("b.start").alias("start"), (F.col("b.start") + sg.header_length(F.col("b.head"))).alias("header_end"),
-                       *[sg.field(F.col("b.head"), k).alias(k.lower() + "_value") for k in ("From", "Sent", "To", "Subject")])
+    rows = mails(t).select("pk_seq", F.posexplode(sg.header_blocks(F.col("mail_without_fw"))).alias("pos", "b"))
+    return rows.select("pk_seq", "pos", F.col("b.start").alias("start"), F.col("b.stop").alias("header_end"),
+                       *[F.col(f"b.fields.{k}").alias(f"{k}_value") for k in ("from", "sent", "to", "subject")])
 
 
 @query(r"""
@@ -418,15 +417,13 @@ def email_domains(t):
 
 
 @query("""
-WITH p AS (SELECT a.conv_id, a.turn FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn - 1)
+WITH p AS (SELECT a.conv_id, a.turn FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn - 1 WHERE a.conv_id % 5 <> 0)
 SELECT conv_id * 4294967296 + turn AS pk_seq, CAST(DATE '2024-01-01' + CAST(conv_id % 28 AS INTEGER) AS TIMESTAMP) + INTERVAL 15 HOUR + to_minutes(CAST(turn % 10 AS INTEGER)) AS sent_ts,
   'en' AS sent_kind FROM p
 """)
 def sent_values(t):
     """All Sent values of a mail, normalised and parsed; other text is kept as unparsed."""
-    parts = F.filter(sg.with_blocks(F.col("mail_without_fw")), lambda b: b["is_block"])
-    vals = F.transform(parts, lambda b: sg.field(b["head"], "Sent"))
-    rows = mails(t).select("pk_seq", F.explode(vals).alias("sent_raw"))
+    rows = mails(t).select("pk_seq", F.explode(sg.header_blocks(F.col("mail_without_fw"))).alias("b")).select("pk_seq", F.col("b.fields.sent").alias("sent_raw")).where("sent_raw IS NOT NULL")
     ts = dt.mail_datetime(F.col("sent_raw"))
     kind = F.when(ts.isNull(), F.lit("unparsed")).when(F.col("sent_raw").rlike(r"\d{4}年\d{1,2}月\d{1,2}日"), F.lit("zh")).otherwise(F.lit("en"))
     return rows.select("pk_seq", ts.alias("sent_ts"), kind.alias("sent_kind"))

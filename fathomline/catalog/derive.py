@@ -13,7 +13,8 @@ def mails(t):
     """Every conversation turn as a mail that forwards the turn before it.
 
     The earlier turn is found by an equi-join on (conversation, turn), so a very
-    long conversation stays spread over many tasks.
+    long conversation stays spread over many tasks. Each fifth conversation has its bodies as
+    HTML only, with residue in the text fields.
     """
     c = t.conversations
     prev = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("p_role"), F.col("text").alias("p_text"))
@@ -29,8 +30,16 @@ def mails(t):
         F.lit("1000"), F.lpad(F.pmod("conv_id", F.lit(1000)).cast("string"), 3, "0"), F.lit("/"), F.initcap("role"),
         F.lit("/acct"), F.col("conv_id").cast("string"), F.lit("/ML"), F.pmod("conv_id", F.lit(7)).cast("string"), F.lit("A01")))
     key = F.when(F.col("turn") >= TURNS, F.raise_error(F.lit("turn number too large"))).otherwise(F.col("conv_id") * F.lit(TURNS) + F.col("turn"))
+    as_html = F.pmod("conv_id", F.lit(5)) == 0
+    escaped = F.replace(F.replace(F.replace(body, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    page = F.concat(F.lit("<html><head><style>p {}</style></head><body><p>"), F.replace(escaped, F.lit("\n"), F.lit("<br>")), F.lit("</p></body></html>"))
+
+    def told(text):
+        return F.when(as_html, F.lit("Normal\nEN-US")).otherwise(text)
+
     return joined.select(
         key.cast("long").alias("pk_seq"), "conv_id", "turn", "role", day.alias("mail_date"),
         sender.alias("mail_from"), F.concat(F.lit("FW: Re: "), F.substring_index("text", " ", 4)).alias("mail_subject"),
-        F.when(F.length("text") >= 400, body).alias("mail_body_md"), body.alias("mail_without_fw"), F.col("text").alias("mail_body"),
+        told(F.when(F.length("text") >= 400, body)).alias("mail_body_md"), told(body).alias("mail_without_fw"), told(F.col("text")).alias("mail_body"),
+        F.when(as_html, page).alias("mail_body_html"),
         F.lit("desk@other.example.org; 'Lee, Ann'; Sales Team <SALES@Mail.Example.com>; IMCEAEX-x@bad.example.com").alias("mail_to"))

@@ -21,9 +21,18 @@ BREAKING = frozenset(
 BEFORE_NUMBER = ("$", "US$", "NT$", "€", "£", "¥", "(")
 AFTER_NUMBER = (")", "%", ")%", "%)")
 
+# Fixed values of mail bodies: blocks without readable text; tags whose end is a line end; tags
+# that are one by themselves; cells; ends that a cell end right behind them takes back.
+MAIL_HIDDEN = frozenset(("head", "style", "script", "title", "xml"))
+LINE_END = frozenset(("p", "div", "tr", "li", "h1", "h2", "h3", "h4", "h5", "h6", "table", "ul", "ol", "blockquote"))
+LINE_BREAK = frozenset(("br", "hr"))
+CELLS = frozenset(("td", "th"))
+TAKEN_BACK = frozenset(("p", "div", "br"))
+
 _HIDDEN_SPAN = re.compile(rf"<({HIDDEN})\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)", re.S | re.I)
-# A quote opens a value only right after '='; anywhere else it is a plain character.
-_TAG = re.compile(r"<(/?)([A-Za-z][\w:]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|<[!?][^>]*>")
+# A quote opens a value only right after '='; anywhere else it is a plain character. Outside
+# of values a tag ends at the next '<' at the latest, so an open tag costs its own length.
+_TAG = re.compile(r"<(/?)([A-Za-z][\w:]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+)>|<[!?][^<>]*>")
 _ATTRIBUTE = re.compile(r"([^\s=/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|(\S*))")
 _NEW_PAGE = re.compile(r"page-break-(?:before|after)\s*:\s*always", re.I)
 _SPAN = re.compile(r"\s*(\d+)")
@@ -208,6 +217,66 @@ def element_rows(docs: DataFrame, key: str, content: str) -> DataFrame:
     return docs.select(key, content).mapInPandas(extract, fields)
 
 
+_MAIL_TAG = re.compile(r"<!--(\[if)?|<(/?)([A-Za-z][A-Za-z0-9]*)[^<>]*>|<[^<>]+>", re.I)
+_HIDDEN_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in MAIL_HIDDEN} | {
+    "<!--": re.compile("-->"), "<!--[if": re.compile(re.escape("<![endif]-->"), re.I)}
+_SOFT_BREAK = re.compile(r"[ \t]*\n[ \t]*")
+
+
+def _mail_tokens(markup: str) -> Iterator[tuple[str, str, str]]:
+    """(kind, name, content) of a mail body: text, open, close. A hidden block or comment, closed or not, is a blank text.
+
+    Of nested and overlapping hidden blocks the one that opens first decides where it ends.
+    """
+    at = 0
+    while tag := _MAIL_TAG.search(markup, at):
+        if tag.start() > at:
+            yield "text", "", markup[at:tag.start()]
+        at, name = tag.end(), (tag[3] or "").lower()
+        hidden = tag[0].lower() if tag[0].startswith("<!--") else name if name in MAIL_HIDDEN and not tag[2] else ""
+        if hidden:
+            end = _HIDDEN_END[hidden].search(markup, at)
+            at = end.end() if end else len(markup)
+            yield "text", "", " "
+        elif name:
+            yield ("close" if tag[2] else "open"), name, tag[0]
+    if at < len(markup):
+        yield "text", "", markup[at:]
+
+
+def mail_text(markup: str) -> str:
+    """Readable text of a mail body: a table row is a line '| a | b |', a line break in the source is a blank.
+
+    The end of a paragraph right before that of its cell is no line end; it is held back
+    until the next token tells.
+    """
+    out: list[str] = []
+    held = False
+    for kind, name, content in _mail_tokens(markup.replace("\r\n", "\n").replace("\r", "\n")):
+        if kind == "text":
+            if held and content.strip():
+                out.append("\n")
+                held = False
+            out.append(_SOFT_BREAK.sub(" ", content))
+            continue
+        cell_end = kind == "close" and name in CELLS
+        if held and not cell_end:
+            out.append("\n")
+        held = False
+        if cell_end:
+            out.append(" | ")
+        elif kind == "open" and name == "tr":
+            out.append("\n| ")
+        elif kind == "open" and name == "img" and "data:image" in content.lower():
+            out.append("[image]")
+        elif (name in LINE_END and kind == "close") or (name in LINE_BREAK and kind == "open"):
+            held = name in TAKEN_BACK
+            out.append("" if held else "\n")
+    text = html.unescape("".join(out) + "\n" * held).replace("\xa0", " ")
+    lines = (re.sub(r"[ \t]{2,}", " ", line).strip() for line in text.split("\n"))
+    return re.sub(r"\n{3,}", "\n\n", "\n".join(lines)).strip()
+
+
 def payloads(rows: DataFrame, key: str) -> DataFrame:
     """Element rows of a document folded to one payload text per document.
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 from fathomline.functions import dates, jsons, markup
 from fathomline.functions import segments as sg
 from fathomline.functions import text as tx
-from fathomline.plans import labels
+from fathomline.plans import labels, mail
 
 
 def one(spark, value, fn):
@@ -61,15 +63,87 @@ MAIL = ("FYI\n\n-----\n**From:** Wang, Amy <amy.wang@x.example.com> **Sent:** Mo
 
 
 def test_header_blocks(spark):
-    got = one(spark, MAIL, sg.with_blocks)
-    assert [b.is_block for b in got] == [False, True, True]
-    assert all(MAIL[b.start:b.start + len(b.text)] == b.text for b in got)
-    assert "".join(b.text for b in got) == MAIL
-    fields = [one(spark, got[1].head, lambda c, k=k: sg.field(c, k)) for k in ("From", "Sent", "To", "Subject")]
-    assert fields == ["Wang, Amy <amy.wang@x.example.com>", "Monday, March 4, 2024 3:05 PM", "Bob Li <bob@y.example.com>; Team PM second line", None]
-    assert one(spark, got[2].head, lambda c: sg.field(c, "Subject")) == "RE: plan"
-    n = one(spark, got[2].head, sg.header_length)
-    assert got[2].text[n:] == "\nBody of Bob"
+    got = one(spark, MAIL, sg.header_blocks)
+    assert [MAIL[b.start:].split("\n")[0] for b in got] == ["**From:** Wang, Amy <amy.wang@x.example.com> **Sent:** Monday, March 4, 2024 3:05 PM", "From: Bob Li"]
+    want = ["Wang, Amy <amy.wang@x.example.com>", "Monday, March 4, 2024 3:05 PM", "Bob Li <bob@y.example.com>; Team PM second line", None]
+    assert [got[0].fields[k] for k in ("from", "sent", "to", "subject")] == want
+    assert got[1].fields["subject"] == "RE: plan" and MAIL[got[1].stop:] == "\nBody of Bob"
+    assert [one(spark, t, sg.header_blocks) for t in (None, "", "From: nobody")] == [[], [], []]
+
+
+THREAD = ("Please read on.\n\n**From:** Ada Moor 莫阿達 <ada.moor@ours.example.com>\n**Sent:** Tuesday, May 7, 2024 9:30 AM\n**To:** Stone, Kit <kit.stone@buyer.example.net>\n"
+          "**Cc:** PANEL PM <panel_pm@buyer.example.net>\n**Subject:** RE: plan for Kit Stone\n\nDear Kit,\nAda Moor and STONE, KIT agreed; ask amoor or 0411111.\nAda 莫阿達\n"
+          "other.person@else.example.org\n\n  -----Original Appointment-----  \n\n**From:** Stone, Kit <kit.stone@buyer.example.net>\n**Sent:** Friday, May 3, 2024 4:00 PM\n**To:** Ada Moor 莫阿達\n"
+          "**Subject:** plan\n**When:** 2024年5月13日 下午 03:30\n**Where:** Room 8\n\nA will to move. Kit   Kit Stone")
+
+
+def test_segments_start_at_their_line_or_the_ruler_above(spark):
+    df = spark.createDataFrame([(1, THREAD, dt.date(2024, 5, 8))], "pk_seq long, t string, d date")
+    segs = df.select(sg.mail_segments("t", "d").alias("s"), sg.mail_facts(F.col("t")).alias("f")).first()
+    assert [s.segment_no for s in segs.s] == [0, 1, 2] and "".join(s.raw for s in segs.s) == THREAD
+    assert [THREAD[s.start:].strip()[:8] for s in segs.s] == ["Please r", "**From:*", "-----Ori"]
+    assert segs.s[2].body == "\n\nA will to move. Kit   Kit Stone" and segs.s[2].fields["where"] == "Room 8"
+    assert segs.f.has_headers and segs.f.when == "2024年5月13日 下午 03:30" and segs.f.where == "Room 8"
+
+
+@pytest.mark.parametrize("item, day, want", [
+    ("9月3日", dt.date(2024, 10, 1), dt.date(2024, 9, 3)), ("12/28", dt.date(2024, 1, 5), dt.date(2023, 12, 28)), ("2022/1/2", dt.date(2024, 1, 5), dt.date(2022, 1, 2)),
+    ("13/40", dt.date(2024, 1, 5), None), ("a\nb\n5/5", dt.date(2024, 6, 1), dt.date(2024, 5, 5)), ("a\nb\nc\n5/5", dt.date(2024, 6, 1), None), ("5/5", None, None)])
+def test_minutes_take_the_date_of_the_item_line_above(spark, item, day, want):
+    text = f"Sirs,\nT430QVN04.5 first\n item :\n\n\n{item}\n  M270DAN07.D\nsecond T550QVN10.F"
+    df = spark.createDataFrame([(text, day)], "t string, d date")
+    got = df.select(sg.mail_segments("t", "d").alias("s")).first().s
+    assert [(s.kind, s.raw[:6].strip()) for s in got] == [("minutes", "Sirs,"), ("minutes", "T430QV"), ("minutes", "M270")]
+    assert [s.item_date for s in got] == [None, None, want]
+    whole = df.select(sg.mail_segments(F.lit("no mark"), "d").alias("s"), sg.mail_segments(F.lit(" \n"), "d").alias("b")).first()
+    assert [(s.segment_no, s.kind, s.raw) for s in whole.s] == [(0, "whole", "no mark")] and whole.b == []
+
+
+def test_marks_take_time_in_proportion():
+    part = "**From:** A B <a@b.example.com> **Sent:** Monday, March 4, 2024 3:05 PM body of the mail"
+    for end in (" ", "\n"):
+        seconds = []
+        for n in (8_000, 16_000):
+            begun = time.perf_counter()
+            assert len(sg.Marks((part + end) * n).segments(None)) == n
+            seconds.append(time.perf_counter() - begun)
+        assert seconds[0] < 2 and seconds[1] < 5 * seconds[0] + 0.2
+    begun = time.perf_counter()
+    markup.elements(b"<a " * 20_000)
+    markup.mail_text("<td <!-" * 20_000)
+    assert time.perf_counter() - begun < 2
+
+
+def test_every_form_of_a_name_is_masked(spark):
+    """Name as shown, parts, 'last, first', account, number, addresses, first name before the token; nothing is left."""
+    mails = spark.createDataFrame([(1, dt.date(2024, 5, 8), "plan", THREAD, "莫阿達", "0411111", "amoor", "x@far.example.org; Lee, Ann")],
+                                  "pk_seq long, mail_date date, subject_clean string, body_display string, sender_name string, emp_id string, account string, mail_to string")
+    parts = mail.participants(mails)
+    forms = {(e.name, e.token) for e in mail.name_book(parts).first().entries}
+    assert {("莫阿達", "<P01>"), ("Moor, Ada", "<P01>"), ("Ada Moor", "<P01>"), ("amoor", "<P01>"), ("0411111", ""), ("kit.stone@buyer.example.net", "<P04>"),
+            ("Stone, Kit", "<P04>"), ("Kit Stone", "<P04>"), ("panel_pm@buyer.example.net", "<G01>")} <= forms
+    out = {r.segment_no: r for r in mail.clean_segments(mail.segment_rows(mails), parts).collect()}
+    assert sorted(out) == [1, 2] and {r.names_left for r in out.values()} == {0}
+    assert out[1].clean_text == ("<P01>:\nSent: 2024-05-07 09:30\nSubject: RE: plan for <P04>\n\nDear Kit,\n<P01> and <P04> agreed; ask <P01> or .\n<P01>\n[email]")
+    assert out[2].clean_text == "<P04>:\nSent: 2024-05-03 16:00\nSubject: plan\n\nA will to move. <P04>" and out[2].segment_date == dt.date(2024, 5, 3)
+    assert out[1].n_masked == 1 and out[1].parties == ["buyer.example.net", "else.example.org", "ours.example.com"] and out[2].content_type == "appointment"
+
+
+def test_names_are_found_as_one_alternation_finds_them():
+    """Against a pattern of all names, longest first, over random texts of nested and overlapping names."""
+    rng = random.Random(4)
+    for _ in range(300):
+        names = list({"".join(rng.choice("abA é,") for _ in range(rng.randint(2, 5))).strip() for _ in range(6)} - {""})
+        text = "".join(rng.choice("abA é,.1") for _ in range(60))
+
+        def form(n):
+            if not n.isascii():
+                return re.escape(n)
+            body = f"(?<![A-Za-z0-9]){re.escape(n)}(?![A-Za-z0-9])"
+            return f"(?i:{body})" if re.search("[ ,@]", n) else body
+
+        pattern = re.compile("|".join(form(n) for n in sorted(names, key=lambda n: (-len(n), n))))
+        assert sg.NameBook([(n, "#") for n in names]).hits(text) == [m.span() for m in pattern.finditer(text)]
 
 
 @pytest.mark.parametrize("text, want", [

@@ -20,9 +20,13 @@ from __future__ import annotations
 
 import json
 import os
+import re
+import unicodedata
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +34,14 @@ from fathomline.llm.columns import packed, slices, unpacked
 
 # Code points of a leaf; shorter texts are encoded in one go and are not moved.
 LEAF_CHARS = 1 << 15
-# Code points handed to the library at once.
-SLICE_CHARS = 1 << 19
+# Bytes of text handled at once.
+SLICE_BYTES = 1 << 19
 # Tokens on each side of a join that are encoded first.
 WINDOW = 4
+# Pieces whose tokens a task remembers; beyond that it starts anew.
+KNOWN_PIECES = 200_000
+# Latin letters up to here have the same classes in every Unicode version, so any pattern engine cuts them alike.
+LAST_LATIN = 0x24F
 
 
 def read_definition(path: str) -> str:
@@ -62,6 +70,19 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def latin_pieces() -> tuple[re.Pattern, re.Pattern]:
+    """(texts of printable Latin alone, the pieces of such a text).
+
+    The pieces are those of byte-level BPE: contractions; letters, digits or other signs
+    with at most one blank before them; white space without the blank that goes to the next.
+    """
+    named = {c: chr(c) for c in range(LAST_LATIN + 1)}
+    letters, digits = ("".join(re.escape(v) for v in named.values() if unicodedata.category(v)[0] == kind) for kind in "LN")
+    blank = r" \t\n\x0b\x0c\r\x85\xa0"
+    return (re.compile(rf"[\t\n\r\x20-\x7e\xa1-{chr(LAST_LATIN)}]*"),
+            re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{letters}]+| ?[{digits}]+| ?[^{blank}{letters}{digits}]+|[{blank}]+(?![^{blank}])|[{blank}]+"))
+
+
 class Segment:
     """Token ids of a stretch of text; ``first`` marks the tokens that begin a piece."""
 
@@ -99,6 +120,8 @@ class Codec:
         for token, i in self.tokenizer.get_vocab().items():
             self.bytes[i] = self.added[i].encode() if i in self.added else bytes(byte_of[c] for c in token)
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
+        self.latin, self.pieces = latin_pieces()
+        self.known: dict[str, list[int]] = {}
         self.special = np.zeros(len(self.bytes), bool)
         self.special[list(self.added)] = True
 
@@ -121,15 +144,38 @@ class Codec:
         return [text[a:b] for a, b in zip(places, [*places[1:], len(text)])]
 
     def segments(self, texts: list[str]) -> list[Segment]:
-        made = []
-        for e in self.tokenizer.encode_batch(texts, add_special_tokens=False):
-            word = np.array(e.word_ids, np.int64)
-            made.append(Segment(np.array(e.ids, np.int32), np.concatenate([[True], word[1:] != word[:-1]]) if len(word) else np.zeros(0, bool)))
-        return made
+        """Tokens of each text. Latin texts are cut here and each different piece is merged once; all others go to the library whole."""
+        plain = [bool(self.latin.fullmatch(t)) and not any(c in t for c in self.added.values()) for t in texts]
+        cut = [self.pieces.findall(t) for t, ok in zip(texts, plain) if ok]
+        every = list(chain.from_iterable(cut))
+        if len(self.known) > KNOWN_PIECES:
+            self.known.clear()
+        new = list(set(every) - self.known.keys())
+        merged = self.merges.encode_batch_fast([p.encode().decode("latin-1").translate(self.letters) for p in new], add_special_tokens=False)
+        self.known.update(zip(new, (e.ids for e in merged)))
+        found = list(map(self.known.__getitem__, every))
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ends = np.cumsum(sizes)
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+        first = np.zeros(len(ids), bool)
+        first[ends - sizes] = True
+        stops = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])].tolist()
+        made = (Segment(ids[a:b], first[a:b]) for a, b in zip(stops, stops[1:]))
+        others = iter(self.tokenizer.encode_batch([t for t, ok in zip(texts, plain) if not ok], add_special_tokens=False))
+        return [next(made) if ok else self._of_library(next(others)) for ok in plain]
+
+    @staticmethod
+    def _of_library(encoding) -> Segment:
+        word = np.array(encoding.word_ids, np.int64)
+        return Segment(np.array(encoding.ids, np.int32), np.concatenate([[True], word[1:] != word[:-1]]) if len(word) else np.zeros(0, bool))
 
     def raw(self, ids: np.ndarray) -> bytes:
         return b"".join([self.bytes[i] for i in ids.tolist()])
 
+    def text(self, ids: list[int]) -> str:
+        """Text of ids: their bytes, with U+FFFD for what forms no character."""
+        return b"".join([self.bytes[i] for i in ids]).decode(errors="replace")
+
     def merged(self, data: bytes) -> np.ndarray:
         """Tokens of one piece, or of a part of one."""
         return np.array(self.merges.encode_batch_fast([data.decode("latin-1").translate(self.letters)], add_special_tokens=False)[0].ids, np.int32)
@@ -228,9 +274,9 @@ def encoded(docs: DataFrame, definition: str, leaf_chars: int = LEAF_CHARS) -> D
         for batch in batches:
             codec = codec or Codec(shipped.value)
             texts = batch.column("text")
-            for a, b in slices([len(t) for t in texts.to_pylist()], SLICE_CHARS):
-                made = codec.tokenizer.encode_batch_fast(texts.slice(a, b - a).to_pylist(), add_special_tokens=False)
-                yield pa.RecordBatch.from_arrays([batch.column("rest").slice(a, b - a), _ids_array([e.ids for e in made])], ["rest", "token_ids"])
+            for a, b in slices(pc.binary_length(texts).to_pylist(), SLICE_BYTES):
+                made = codec.segments(texts.slice(a, b - a).to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column("rest").slice(a, b - a), _ids_array([s.ids for s in made])], ["rest", "token_ids"])
 
     def cut(batches):
         codec = Codec(shipped.value)
@@ -238,7 +284,7 @@ def encoded(docs: DataFrame, definition: str, leaf_chars: int = LEAF_CHARS) -> D
             for k in range(batch.num_rows):
                 parts = codec.cut(batch.column("text")[k].as_py(), leaf_chars)
                 first = batch.column("rest").slice(k, 1)
-                for at, (a, b) in enumerate(slices([len(p) for p in parts], SLICE_CHARS)):
+                for at, (a, b) in enumerate(slices([len(p) for p in parts], SLICE_BYTES)):
                     carried = pa.concat_arrays([first, pa.nulls(b - a - 1, first.type)]) if at == 0 else pa.nulls(b - a, first.type)
                     keys = pa.array([batch.column("key")[k].as_py()] * (b - a), pa.int64())
                     yield pa.RecordBatch.from_arrays([keys, pa.array(range(a, b), pa.int32()), carried, pa.array(parts[a:b], pa.string())], ["key", "leaf", "rest", "part"])
@@ -249,7 +295,7 @@ def encoded(docs: DataFrame, definition: str, leaf_chars: int = LEAF_CHARS) -> D
         for batch in batches:
             codec = codec or Codec(shipped.value)
             parts = batch.column("part")
-            for a, b in slices([len(t) for t in parts.to_pylist()], SLICE_CHARS):
+            for a, b in slices(pc.binary_length(parts).to_pylist(), SLICE_BYTES):
                 made = codec.segments(parts.slice(a, b - a).to_pylist())
                 marked = _ids_array([np.where(s.first, s.ids, ~s.ids) for s in made])
                 yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in ("key", "leaf", "rest")], marked], ["key", "leaf", "rest", "marks"])
@@ -296,9 +342,11 @@ def decoded(tokens: DataFrame, definition: str) -> DataFrame:
             codec = codec or Codec(shipped.value)
             ids = batch.column("token_ids")
             sizes = np.nan_to_num(ids.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64).tolist()
-            for a, b in slices(sizes, SLICE_CHARS):
+            for a, b in slices(sizes, SLICE_BYTES):
                 part = ids.slice(a, b - a)
-                texts = codec.tokenizer.decode_batch([r or [] for r in part.to_pylist()], skip_special_tokens=False)
+                flat = part.flatten().to_numpy(zero_copy_only=False).tolist()
+                ends = np.cumsum([0, *sizes[a:b]]).tolist()
+                texts = [codec.text(flat[i:j]) for i, j in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column("rest").slice(a, b - a), part, pa.array(texts, pa.string())], ["rest", "token_ids", "decoded"])
 
     return unpacked(rows.mapInArrow(run, f"rest {rest}, token_ids array<int>, decoded string"), others, "token_ids", "decoded")

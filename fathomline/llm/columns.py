@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import pickle
+from collections.abc import Callable
+
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fathomline.operators.numbering import row_numbers
 from fathomline.session import written
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -64,6 +69,36 @@ def packed(docs: DataFrame, *heavy: str) -> DataFrame:
     return docs.select(rest.alias("rest"), *[F.col(f"`{c}`") for c in heavy])
 
 
+def in_order(df: DataFrame, columns: list[str], *added: str) -> DataFrame:
+    """``columns`` as they were before ``packed(docs, "text")``, with the added ones."""
+    return df.select(*[F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in columns], *added)
+
+
+def with_occurrences(rows: DataFrame) -> DataFrame:
+    """``rows`` of ``packed(docs, "text")`` with ``occurrence``: 0 for an id that stands once, else a number from 1.
+
+    Rows of one id are numbered by their texts and other columns, so the number does not
+    depend on files or partitions; equal rows may change places. A null id is an id like any
+    other. Only rows of repeated ids are sorted, over all tasks however many one id has.
+    """
+    doc = F.col("rest")["doc_id"]
+    counts = rows.groupBy(doc.alias("doc")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc")
+    repeated = written(counts, "repeated_ids")
+    if repeated.isEmpty():
+        return rows.withColumn("occurrence", F.lit(0).cast("long"))
+    same = doc.eqNullSafe(F.col("doc"))
+    once = rows.join(repeated, same, "left_anti").withColumn("occurrence", F.lit(0).cast("long"))
+    many = rows.join(repeated, same, "left_semi").withColumns({"doc": doc, "mark": F.xxhash64("text"), "others": F.xxhash64("rest"), "tie": F.rand(7)})
+    numbered = row_numbers(many, ["doc"], [F.col("mark"), F.col("others"), F.col("tie")], "occurrence")
+    return once.union(numbered.select(*once.columns))
+
+
+def shipped(spark: SparkSession, value) -> Callable[[], object]:
+    """A function that gives ``value`` on executors; its classes travel with it, so they need no copy of the package."""
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(data.value)
+
+
 def unpacked(df: DataFrame, others: list[str], *added: str) -> DataFrame:
     """The columns of ``packed`` again, with the added ones."""
     return df.select(*[F.col("rest")[c].alias(c) for c in others], *added)

@@ -8,7 +8,6 @@ language of the centroid with the largest cosine; a text too far from it is reje
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -17,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.columns import sampled_ids, small
+from fathomline.llm.columns import in_order, packed, sampled_ids, shipped, small
 from fathomline.session import written
 
 BINS = 8192
@@ -29,12 +28,12 @@ REJECT_RATE = 0.005
 FOLDS = 5
 ROUNDS = 10
 BLOCK = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
 _FOLD = bytes(32 if i < 65 or 90 < i < 97 or 122 < i < 128 else i for i in range(256))
 
 
 def has_letter(text: str | None) -> bool:
-    return text is not None and _LETTER.search(text) is not None
+    """Whether a text holds a character of a Unicode letter category."""
+    return text is not None and any(map(str.isalpha, text))
 
 
 def trigram_counts(text: str, bins: int = BINS) -> np.ndarray:
@@ -148,22 +147,23 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, centroids: int = CENTROIDS, b
     return Model(idf, [r["lang"] for r in made], centres, np.array([r["limit"] for r in made]))
 
 
-def predicted(docs: DataFrame, model: Model, keep: list[str], added: tuple[str, str, str] = ("lang_pred", "score", "rejected")) -> DataFrame:
-    """``keep`` columns with lang_pred, score and rejected, named by ``added``; languages come from the text alone.
+def predicted(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+    """``keep`` columns with lang_pred, score and rejected; languages come from the text alone.
 
     A null text or one without letters is ``und`` with score 0 and rejected.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    given = shipped(docs.sparkSession, model)
 
     def run(batches):
+        model = given()
         for batch in batches:
-            names, scores, rejected = shared.value.predict(batch.column("_text").to_pylist())
+            names, scores, rejected = model.predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
-                [*keep, *added])
+                [*keep, "lang_pred", "score", "rejected"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, f"{fields}, {added[0]} string, {added[1]} double, {added[2]} boolean")
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, f"{fields}, lang_pred string, score double, rejected boolean")
 
 
 def held_out(modulus: int, remainder: int) -> Column:
@@ -174,7 +174,8 @@ def held_out(modulus: int, remainder: int) -> Column:
 def identified(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score and rejected of every row of ``docs``.
 
-    Learns from rows that are not held out and have a language.
+    Learns from rows that are not held out and have a language. Ids may be null or repeat,
+    repeated rows are judged each; an empty table gives none. Other columns are ignored.
     """
     marked = docs.select("doc_id", "text", "lang", held_out(5, 0).alias("held_out"))
     model = fit(marked.where("NOT held_out AND lang IS NOT NULL"))
@@ -182,6 +183,9 @@ def identified(docs: DataFrame) -> DataFrame:
 
 
 def confident(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose language is not rejected; columns named like the outputs of ``predicted`` pass unchanged."""
+    """Rows of ``docs`` whose language is not rejected: null texts, texts without letters and texts far from every language go.
+
+    Repeated rows and null ids stay as they are; columns of any name pass unchanged.
+    """
     model = fit(docs.select("doc_id", "text", "lang", held_out(5, 0).alias("held_out")).where("NOT held_out AND lang IS NOT NULL"))
-    return predicted(docs, model, docs.columns, ("_lang", "_cosine", "_rejected")).where("NOT _rejected").select(*docs.columns)
+    return in_order(predicted(packed(docs, "text"), model, ["rest", "text"]).where("NOT rejected"), docs.columns)

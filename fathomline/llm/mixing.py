@@ -14,9 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.binding import let
-from fathomline.llm.columns import small, unit_hash
+from fathomline.llm.columns import in_order, packed, small, unit_hash, with_occurrences
 from fathomline.session import written
 
+# Bytes of the mixture in one partition, once there are more than the session's shuffle partitions.
+ORDER_BYTES = 128 << 20
+
 
 def poisson_inverse(u: Column, mean: Column) -> Column:
     """Smallest k with ``P(Poisson(mean) <= k) > u``; 0 for a mean of zero.
@@ -57,15 +60,27 @@ def repetition_rates(docs: DataFrame, weights: dict[str, float], default: float,
 def mixed(docs: DataFrame, weights: dict[str, float], default: float = 1.0, seed: int = 42, total_ratio: float = 1.0) -> DataFrame:
     """Copies of ``docs`` so that sources reach their target weights, in seeded random order.
 
-    Adds copy (from 0), rate and order_key, and sorts by order_key. ``docs`` needs
-    doc_id, source and text; columns named like the three new ones are replaced. Repeated
-    rows are drawn alike, as the draw depends on the id only. A source without bytes has
-    the rate 0.
+    Adds copy (from 0), rate and order_key; partitions and the rows in them are in the order
+    of order_key. ``docs`` needs doc_id, source and text; columns named like the three new
+    ones are replaced, all others pass unchanged. A row whose id stands once is drawn by its
+    id; rows that share an id, null ones too, are drawn each by id, text and their number. A
+    null source is a source of its own, one without bytes has the rate 0, null texts have none.
     """
     docs = docs.drop("copy", "rate", "order_key")
-    rates = small(repetition_rates(docs, weights, default, total_ratio).select("_source", "rate"))
-    drawn = docs.withColumn("_source", F.coalesce(F.col("source").cast("string"), F.lit(""))).join(rates, "_source").drop("_source")
-    counted = drawn.withColumn("_n", poisson_inverse(unit_hash(F.lit(seed), F.col("doc_id")), F.col("rate"))).where("_n > 0")
-    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).drop("_n")
-    keyed = copies.withColumn("order_key", unit_hash(F.lit(seed), F.lit("order"), F.col("doc_id"), F.col("copy")))
-    return keyed.orderBy("order_key", "doc_id", "copy")
+    table = repetition_rates(docs, weights, default, total_ratio)
+    total = table.agg(F.sum(F.col("n_bytes") * F.col("rate"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), int(total // ORDER_BYTES) + 1)
+    rows = with_occurrences(packed(docs, "text"))
+    doc, text = F.col("rest")["doc_id"], F.coalesce("text", F.lit(""))
+    drawn = rows.withColumn("_source", F.coalesce(F.col("rest")["source"].cast("string"), F.lit(""))).join(small(table.select("_source", "rate")), "_source")
+
+    def drawn_by(*after: Column, name: str | None = None) -> Column:
+        head = [F.lit(seed), *([F.lit(name)] if name else []), doc, *after]
+        return F.when(F.col("occurrence") == 0, unit_hash(*head)).otherwise(unit_hash(*head, F.md5(text), F.col("occurrence")))
+
+    counted = drawn.withColumn("n", poisson_inverse(drawn_by(), F.col("rate"))).where("n > 0")
+    copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    keyed = copies.withColumn("order_key", drawn_by(F.col("copy"), name="order"))
+    # The key is uniform, so its range is cut evenly without a look at the rows.
+    dealt = keyed.repartitionById(parts, F.floor(F.col("order_key") * parts).cast("int")).sortWithinPartitions("order_key", doc, "copy")
+    return in_order(dealt, docs.columns, "copy", "rate", "order_key")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.columns import sampled_ids, small
+from fathomline.llm.columns import sampled_ids, shipped, small
 from fathomline.llm.language_id import held_out
 from fathomline.session import written
 
@@ -150,11 +150,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """``keep`` columns, score and predicted; a null or empty text is one empty passage."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    given = shipped(docs.sparkSession, model)
 
     def run(batches):
+        model = given()
         for batch in batches:
-            y = shared.value.scores(batch.column("_text").to_pylist()).astype(np.float64)
+            y = model.scores(batch.column("_text").to_pylist()).astype(np.float64)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(y), pa.array((y >= PASSED).astype(np.int32))], [*keep, "score", "predicted"])
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
@@ -162,7 +163,11 @@ def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row; learns from rows that are not held out."""
+    """doc_id, held_out, score and predicted of every row; learns from rows that are not held out.
+
+    Ids may be null or repeat, repeated rows are scored each; an empty table gives none.
+    Columns beyond doc_id and text are ignored.
+    """
     marked = docs.select("doc_id", "text", held_out(4, 2).alias("held_out"))
     model = fit(marked.where("NOT held_out").drop("held_out"), labels)
     return scored(marked, model, ["doc_id", "held_out"])

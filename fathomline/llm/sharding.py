@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fathomline.llm.columns import in_order, packed, with_occurrences
 from fathomline.session import written
 
 BUCKET_BYTES = 16 << 20
@@ -34,22 +35,26 @@ def record_bytes(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long")
 
 
-def scattered(docs: DataFrame, seed: int, bucket_bytes: int) -> tuple[DataFrame, int]:
-    """Rows with their ``_bucket`` and ``_key``, and the number of buckets.
+def scattered(docs: DataFrame, seed: int, bucket_bytes: int) -> DataFrame:
+    """rest and text of ``packed``, with bucket and key.
 
-    The hash also covers the input partition, so that many equal rows do not meet in one
-    bucket.
+    The hash covers the id, the text and the number of a row among those of its id, so
+    equal rows do not meet in one bucket, and files and partitions do not matter.
     """
     total = docs.agg(F.sum(record_bytes(F.col("text"))).alias("b")).first()["b"] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    key = F.xxhash64(F.lit(seed), "doc_id", F.coalesce("text", F.lit("")), F.spark_partition_id())
-    return docs.withColumn("_key", key).withColumn("_bucket", F.pmod("_key", F.lit(buckets))), buckets
+    rows = with_occurrences(packed(docs, "text"))
+    key = F.xxhash64(F.lit(seed), F.col("rest")["doc_id"], F.coalesce("text", F.lit("")), "occurrence")
+    return rows.select("rest", "text", key.alias("key")).withColumn("bucket", F.pmod("key", F.lit(buckets)))
 
 
 def shuffled(docs: DataFrame, seed: int = 42, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """``docs`` with ``_bucket`` and ``_at``, the place in the bucket's random order; written, bucket by bucket."""
-    rows, _ = scattered(docs, seed, bucket_bytes)
-    names = docs.columns
+    """rest and text of ``packed`` with bucket and at, the place in the bucket's random order; written, bucket by bucket.
+
+    The order follows from the seed and the rows alone.
+    """
+    rows = scattered(docs, seed, bucket_bytes)
+    names = ["rest", "text"]
 
     def run(batches):
         """Rows come sorted by bucket; one bucket is in memory at a time."""
@@ -66,11 +71,11 @@ def shuffled(docs: DataFrame, seed: int = 42, bucket_bytes: int = BUCKET_BYTES)
             at = 0
             for batch, b in pieces:
                 n = batch.num_rows
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, b)), pa.array(np.arange(at, at + n))], [*names, "_bucket", "_at"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, b)), pa.array(np.arange(at, at + n))], [*names, "bucket", "at"])
                 at += n
 
         for batch in batches:
-            ids = batch.column("_bucket").to_numpy(zero_copy_only=False)
+            ids = batch.column("bucket").to_numpy(zero_copy_only=False)
             edges = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]]) if len(ids) else []
             for at, end in zip(edges, [*edges[1:], len(ids)]):
                 if ids[at] != bucket:
@@ -81,26 +86,25 @@ def shuffled(docs: DataFrame, seed: int = 42, bucket_bytes: int = BUCKET_BYTES)
         if held:
             yield from out(flush())
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    ordered = rows.repartition("_bucket").sortWithinPartitions("_bucket", "_key", "doc_id")
-    return written(ordered.mapInArrow(run, f"{fields}, _bucket bigint, _at bigint"), "shuffled_buckets")
+    ordered = rows.repartition("bucket").sortWithinPartitions("bucket", "key")
+    return written(ordered.mapInArrow(run, f"rest {rows.schema['rest'].dataType.simpleString()}, text string, bucket bigint, at bigint"), "shuffled_buckets")
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS, seed: int = 42, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """``docs`` with shard (from 0) and slot (gapless from 0) of a global random order.
 
-    Null texts count one byte; repeated rows are dealt like any others. Columns named
-    shard or slot are replaced. Bucket sizes are summed in two levels, so no task sees
+    Null texts count one byte; repeated rows and null ids are dealt like any others. Columns
+    named shard or slot are replaced, all others pass unchanged. Bucket sizes are summed in two levels, so no task sees
     more than the square root of their number and the groups of buckets.
     """
     docs = docs.drop("shard", "slot")
     rows = shuffled(docs, seed, bucket_bytes)
-    sizes = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn("_group", F.floor(F.sqrt(F.col("_bucket").cast("double"))).cast("long"))
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn("_group", F.floor(F.sqrt(F.col("bucket").cast("double"))).cast("long"))
     groups = sizes.groupBy("_group").agg(F.sum("_n").alias("_g"))
     before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.withColumn("_base", F.coalesce(F.sum("_g").over(before), F.lit(0)))
-    inside = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = written(sizes.join(groups, "_group").select("_bucket", (F.col("_base") + F.coalesce(F.sum("_n").over(inside), F.lit(0))).alias("_start")), "bucket_starts")
-    place = F.col("_start") + F.col("_at")
-    dealt = rows.join(F.broadcast(starts) if starts.limit(100_001).count() <= 100_000 else starts, "_bucket")
-    return dealt.withColumns({"shard": F.pmod(place, F.lit(shards)).cast("int"), "slot": F.floor(place / shards).cast("long")}).select(*docs.columns, "shard", "slot")
+    inside = Window.partitionBy("_group").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written(sizes.join(groups, "_group").select("bucket", (F.col("_base") + F.coalesce(F.sum("_n").over(inside), F.lit(0))).alias("_start")), "bucket_starts")
+    place = F.col("_start") + F.col("at")
+    dealt = rows.join(F.broadcast(starts) if starts.limit(100_001).count() <= 100_000 else starts, "bucket")
+    return in_order(dealt.withColumns({"shard": F.pmod(place, F.lit(shards)).cast("int"), "slot": F.floor(place / shards).cast("long")}), docs.columns, "shard", "slot")

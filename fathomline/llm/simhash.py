@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fathomline.llm.columns import in_order, packed
 from fathomline.llm.components import components
 from fathomline.session import written
 
@@ -160,16 +161,17 @@ def simhash_components(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group: the one with the smallest doc_id.
 
-    Of several rows with that id the one with the smallest text hash stays, once.
+    Of several rows with that id the one with the smallest text hash stays, once. Null and
+    empty texts are one group; columns of any name pass unchanged.
     """
     mark = F.xxhash64(F.coalesce("text", F.lit("")))
     prints = written(fingerprints(docs.select("doc_id", mark.alias("_mark"), "text"), ["doc_id", "_mark"]), "simhash")
     groups = grouped(prints)
     doc = F.coalesce(F.col("doc_id"), F.lit(LAST_ID))
-    heads = prints.join(groups, "fp").where(doc == F.col("component")).groupBy("root", F.col("component").alias("_doc")).agg(F.min("_mark").alias("_first"))
-    keyed = docs.withColumns({"_doc": doc, "_first": mark})
-    kept = keyed.join(heads, ["_doc", "_first"], "left_semi")
-    return kept.dropDuplicates(["_doc", "_first"]).select(*docs.columns) if _repeats(prints) else kept.select(*docs.columns)
+    heads = prints.join(groups, "fp").where(doc == F.col("component")).groupBy("root", F.col("component").alias("doc")).agg(F.min("_mark").alias("first"))
+    keyed = packed(docs, "text").withColumns({"doc": F.coalesce(F.col("rest")["doc_id"], F.lit(LAST_ID)), "first": mark})
+    kept = keyed.join(heads, ["doc", "first"], "left_semi")
+    return in_order(kept.dropDuplicates(["doc", "first"]) if _repeats(prints) else kept, docs.columns)
 
 
 def _repeats(prints: DataFrame) -> bool:

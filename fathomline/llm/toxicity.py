@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.columns import sampled_ids, small
+from fathomline.llm.columns import sampled_ids, shipped, small
 from fathomline.llm.language_id import held_out
 from fathomline.session import written
 
@@ -147,13 +147,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def graded(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """``keep`` columns with severity (0 to 3), p_toxic, grade and toxic (1 if p_toxic is 1/2 or more).
 
-    A null or empty text has no features; its severity follows from the thresholds.
+    A null or empty text has no features; its severity follows from the thresholds. Repeated
+    rows are graded each; other columns than ``keep`` and text are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    given = shipped(docs.sparkSession, model)
 
     def run(batches):
+        model = given()
         for batch in batches:
-            over = np.array([shared.value.over(t) for t in batch.column("_text").to_pylist()]).reshape(-1, GRADES)
+            over = np.array([model.over(t) for t in batch.column("_text").to_pylist()]).reshape(-1, GRADES)
             yield pa.RecordBatch.from_arrays([
                 *[batch.column(c) for c in keep], pa.array(over.sum(axis=1)), pa.array(over[:, 0]),
                 pa.array((over >= 0.5).sum(axis=1).astype(np.int32)), pa.array((over[:, 0] >= 0.5).astype(np.int32))], [*keep, "severity", "p_toxic", "grade", "toxic"])
@@ -163,7 +165,10 @@ def graded(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, severity, p_toxic, grade and toxic of every row; learns from rows not held out."""
+    """doc_id, held_out, severity, p_toxic, grade and toxic of every row; learns from rows not held out.
+
+    Ids may be null or repeat; an empty table gives none. Columns beyond doc_id and text are ignored.
+    """
     marked = docs.select("doc_id", "text", held_out(5, 0).alias("held_out"))
     model = fit(marked.where("NOT held_out").drop("held_out"), labels)
     return graded(marked, model, ["doc_id", "held_out"])

@@ -249,6 +249,215 @@ def test_trained_scores(spark):
     assert {r.severity for r in toxicity.toxicity(odd, labels.where("1 = 0")).collect()} == {0.0}
 
 
+BARE = """
+import sys
+sys.path.insert(0, {repo!r})
+from fathomline.session import local_session
+from fathomline.llm import bpe, fill_in_middle, language_id, quality_mil, sharding, simhash, suffix_repeats, toxicity, whitening
+from fathomline.operators import packing
+from fathomline.plans import mail
+from pyspark.sql import functions as F
+import public_tokenizers
+spark = local_session("bare", "2", 2)
+docs = spark.createDataFrame([(k, ("the old house by the river " if k % 2 else "la maison vieille et la rue ") * 12 + str(k), "en" if k % 2 else "fr") for k in range(60)], "doc_id long, text string, lang string")
+labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
+tokens = bpe.encoded(docs, bpe.read_definition(public_tokenizers.path("byte_bpe_50k.json")), 40)
+vectors = docs.select(F.col("doc_id").alias("vec_id"), F.array(F.col("doc_id").cast("double"), F.rand(1)).alias("embedding"))
+frames = [tokens, fill_in_middle.transformed(docs), language_id.identified(docs), language_id.confident(docs), quality_mil.quality_scores(docs, labels), sharding.sharded(docs),
+          simhash.deduplicated(docs), suffix_repeats.without_repeats(docs), toxicity.toxicity(docs, labels), whitening.whitened(vectors),
+          packing.packed_batches(docs, ["lang"], "doc_id", [F.col("doc_id")], F.length("text"))]
+print("rows", [f.count() for f in frames])
+"""
+
+
+def test_operators_run_on_executors_without_the_package(tmp_path):
+    """Another working folder and no PYTHONPATH: workers see nothing of this repository."""
+    import os
+    import pathlib
+    import subprocess
+    import sys
+
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = BARE.format(repo=str(pathlib.Path(__file__).resolve().parents[2]))
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0 and "rows [60, 60, 60, 60, 60, 60, " in done.stdout, done.stderr[-3000:]
+
+
+def test_order_follows_from_seed_and_rows_alone(spark):
+    rows_ = [(None if k % 5 == 0 else k % 17, f"text {k % 23}" if k % 4 else None, "hot" if k % 3 else "cold") for k in range(400)]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string, source string")
+    made = [sorted(str((r.doc_id, r.text, r.shard, r.slot)) for r in sharding.sharded(docs.repartition(n), 8, 42, 500).collect()) for n in (1, 5)]
+    assert made[0] == made[1]
+    drawn = [sorted(str((r.doc_id, r.text, r.copy, r.order_key)) for r in mixing.mixed(docs.repartition(n), {"hot": 2.0}).collect()) for n in (1, 5)]
+    assert drawn[0] == drawn[1]
+    keys = [r.order_key for r in mixing.mixed(docs, {"hot": 2.0}).collect()]
+    assert keys == sorted(keys)
+
+
+def test_mixing_draws_rows_of_null_ids_each(spark):
+    docs = spark.createDataFrame([(None, "x" * 10, "a") for _ in range(2000)] + [(None, None, None)], "doc_id long, text string, source string")
+    made = mixing.mixed(docs, {}, 1.0).collect()
+    assert 1800 < len(made) < 2200 and len({(r.order_key, r.copy) for r in made}) == len(made)
+
+
+def test_sharding_equals_a_plain_two_pass_shuffle(spark):
+    """The same scatter by hash, then the same seeded swaps in a loop."""
+    import numpy as np
+
+    docs = spark.createDataFrame([(k, f"document {k} " * (k % 9)) for k in range(300)], "doc_id long, text string")
+    keyed = sharding.scattered(docs, 42, 800).select("rest.doc_id", "bucket", "key").collect()
+    order = []
+    for bucket in sorted({r.bucket for r in keyed}):
+        part = [r.doc_id for r in sorted((r for r in keyed if r.bucket == bucket), key=lambda r: r.key)]
+        picks = np.random.default_rng([42, bucket]).random(len(part))
+        for i in range(len(part) - 1, 0, -1):
+            j = int(picks[i] * (i + 1))
+            part[i], part[j] = part[j], part[i]
+        order += part
+    got = {r.doc_id: (r.shard, r.slot) for r in sharding.sharded(docs, 8, 42, 800).collect()}
+    assert got == {d: (n % 8, n // 8) for n, d in enumerate(order)}
+
+
+CLASHING = ["_n", "_source", "_key", "_bucket", "_start", "_text", "_doc", "_first", "rest", "occurrence", "bucket", "key", "at", "score", "rejected", "lang_pred", "doc", "first", "n", "mark"]
+
+
+def test_columns_of_any_name_pass_unchanged(spark):
+    plain = spark.createDataFrame([(k, f"the old house number {k} by the river of town {k * 7}", "en", f"s{k % 2}", 40) for k in range(30)] + [(None, None, None, None, None)] * 2,
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    docs = plain.select("*", *[F.concat(F.lit(f"mine {c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in CLASHING])
+    frames = {"language": language_id.confident(docs), "copies": simhash.deduplicated(docs), "mixing": mixing.mixed(docs, {}, 1.0, 42, 3.0).select(*docs.columns),
+              "sharding": sharding.sharded(docs).select(*docs.columns)}
+    for name, made in frames.items():
+        rows_ = made.collect()
+        assert made.columns == docs.columns and rows_, name
+        assert all(r[c] == f"mine {c} {'none' if r.doc_id is None else r.doc_id}" for r in rows_ for c in CLASHING), name
+
+
+def test_signs_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "² ½ ①  ３ ৪"), (2, "ª"), (3, "漢")] + [(10 + k, "the old house by the river", ) for k in range(20)], "doc_id long, text string").withColumn("lang", F.lit("en"))
+    made = {r.doc_id: r.lang_pred for r in language_id.identified(docs).collect()}
+    assert made[1] == "und" and made[2] == made[3] == made[10] == "en"
+
+
+def test_empty_tables_give_empty_results(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    pages, items = spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "item_id long, text string")
+    rules = url_rules.rule_rows(spark, [("allow", "org", "/")])
+    frames = [quality_rules.quality_rules(docs, labels), suffix_repeats.without_repeats(docs), toxicity.toxicity(docs, labels), decontaminate.contained_items(docs, items),
+              simhash.simhash_components(docs), url_rules.judged_urls(pages, rules), mixing.mixed(docs, {}), language_id.identified(docs), sharding.sharded(docs), quality_mil.quality_scores(docs, labels)]
+    assert [f.count() for f in frames] == [0] * 10
+    assert [f(spark, docs, "").columns for _, f in corpus_pipeline.STAGES[:2]] == [docs.columns] * 2
+
+
+def test_ordinal_severity_and_gradient():
+    """Ordered thresholds, expected grade as a direct sum, and the training direction against numeric differences."""
+    import math
+
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    data = [{int(c): 1.0 for c in rng.choice(6, 2, replace=False)} for _ in range(200)]
+    grades = np.array([min(3, sum(c > 2 for c in r)) for r in data])
+    weights, thresholds = toxicity.train(data, grades, 6)
+    assert list(thresholds) == sorted(thresholds) and weights[5] > weights[0]
+    vocabulary = {f"w{k}".encode(): k for k in range(6)}
+    model = toxicity.Model(vocabulary, weights, thresholds)
+    eta = math.log1p(1) * (weights[5] + weights[1])
+    cumulative = [1 / (1 + math.exp(-(t - eta))) for t in thresholds]
+    mass = np.diff([0, *cumulative, 1])
+    assert model.over("w5 W1, unknown").sum() == pytest.approx(sum(k * p for k, p in enumerate(mass)))
+
+    def loss(w):
+        total = 0.0
+        for r, g in zip(data, grades):
+            c = [0, *[1 / (1 + math.exp(-(t - sum(w[k] for k in r)))) for t in thresholds], 1]
+            total -= math.log(c[g + 1] - c[g])
+        return total / len(data) + toxicity.DECAY / 2 * float(w @ w)
+
+    step = [(loss(weights + 1e-4 * np.eye(6)[k]) - loss(weights - 1e-4 * np.eye(6)[k])) / 2e-4 for k in range(6)]
+    assert np.abs(step).max() < 5e-3  # at the optimum the slope vanishes
+
+
+def test_attention_gradient_equals_numeric_differences():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    model = quality_mil.Model()
+    model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    x, starts, target = rng.random((9, quality_mil.FEATURES)), np.array([0, 4, 5]), np.array([1.0, 0.0, 1.0])
+
+    def loss():
+        y = model.forward(x, starts)["y"]
+        return float(-(target * np.log(y) + (1 - target) * np.log(1 - y)).mean())
+
+    slope = model.gradients(model.forward(x, starts), starts, target)
+    for name in model.SHAPES:
+        at = tuple(0 for _ in model.p[name].shape)
+        kept = model.p[name][at]
+        model.p[name][at] = kept + 1e-5
+        up = loss()
+        model.p[name][at] = kept - 1e-5
+        down = loss()
+        model.p[name][at] = kept
+        assert slope[name][at] == pytest.approx((up - down) / 2e-5, rel=1e-3, abs=1e-7), name
+    weights = model.forward(x, starts)["a"]
+    assert np.add.reduceat(weights, starts) == pytest.approx([1, 1, 1])
+
+
+def test_pipeline_equals_its_stages_by_hand(spark, tmp_path):
+    """Full rows of run(): ids, copies, shard and slot, from plain code on a small table."""
+    import numpy as np
+
+    rng = random.Random(12)
+    base = "/root/testdata/sf0.001"
+    source = spark.read.parquet(f"{base}/documents.parquet")
+    benchmark = spark.read.parquet(f"{base}/benchmark.parquet")
+    item = benchmark.where("length(text) > 60").first().text
+    own = [r for r in source.where("n_chars < 1500").collect()]
+    extra = [(10_000, own[0].text, "en", "src1", 9), (10_001, None, "en", "src1", 0), (10_002, "12 ² ?", "fr", "src2", 6), (10_003, f"{own[1].text} {item}", "de", "src3", 5)]
+    table = spark.createDataFrame([tuple(r) for r in own] + extra, source.schema)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    made = sorted((r.doc_id, r.shard, r.slot) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
+
+    rows_ = [tuple(r) for r in own] + extra
+    model = language_id.fit(spark.createDataFrame(rows_, source.schema).where(~language_id.held_out(5, 0) & F.col("lang").isNotNull()))
+    rejected = model.predict([r[1] for r in rows_])[2]
+    rows_ = [r for r, no in zip(rows_, rejected) if not no]
+    heads = {g for _, g in simhash_brute([(r[0], r[1]) for r in rows_]).values()}
+    rows_ = [r for r in rows_ if r[0] in heads]
+    import regex
+    sets = lambda t: {tuple(w[k:k + 5]) for w in [regex.findall(r"[\p{L}\p{N}]+", (t or "").lower())] if w for k in range(max(1, len(w) - 4))}
+    items = [sets(r.text) for r in benchmark.collect()]
+    rows_ = [r for r in rows_ if not any(q and len(q & sets(r[1])) >= 0.8 * len(q) - 1e-9 for q in items)]
+    assert 10_003 not in {r[0] for r in rows_} and 10_000 not in {r[0] for r in rows_} and len(rows_) > 20
+
+    def unit(*parts):
+        return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16) / 2**52
+
+    from math import exp
+    from fathomline.llm.queries import SEED, SOURCE_WEIGHTS
+    size = {}
+    for r in rows_:
+        size[r[3]] = size.get(r[3], 0) + len((r[1] or "").encode())
+    weight = {s: SOURCE_WEIGHTS.get(s, 1.0) if n else 0.0 for s, n in size.items()}
+    copies = []
+    for r in rows_:
+        rate = sum(size.values()) * weight[r[3]] / sum(weight.values()) / size[r[3]] if size[r[3]] else 0.0
+        k, p, cdf = 0, exp(-rate), exp(-rate)
+        while cdf <= unit(SEED, r[0]):
+            k += 1
+            p *= rate / k
+            cdf += p
+        copies += [r] * (k if rate else 0)
+    assert sorted(r[0] for r in copies) == [m[0] for m in made]
+    mixed_ = spark.createDataFrame(copies, source.schema)
+    want = sorted((r.doc_id, r.shard, r.slot) for r in sharding.sharded(mixed_, seed=SEED).collect())
+    assert made == want
+    assert [sorted(m[2] for m in made if m[1] == s) for s in range(8)] == [list(range(len([1 for m in made if m[1] == s]))) for s in range(8)]
+
+
 def test_pipeline_stages(spark, sf_dir):
     table = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumn("copy", F.lit(1)).withColumn("slot", F.lit("x"))
     current = table.unionByName(table.limit(5))

@@ -8,11 +8,20 @@ from fathomline.catalog.c01_sources import events_raw
 from fathomline.catalog.registry import query
 from fathomline.functions.dates import month_key
 from fathomline.operators import incremental as inc
-from fathomline.session import run_dir
-from fathomline.sources.sinks import SnapshotTable
+from fathomline.session import run_dir, written
+from fathomline.sources.sinks import BucketTable, KeyLog
 from fathomline.streaming import jobs
 
 
+def pinned(t, name, due, key):
+    """Rows of an increment by the keys that a key log holds for this run, which is closed once they are written."""
+    log = KeyLog(t.spark, run_dir(t.spark, f"{name}_keys"))
+    batch, keys = log.pin(due.select(key))
+    rows = written(due.join(keys, key, "left_semi"), name)
+    log.close(batch)
+    return rows
+
+
 def ntz(text):
     return F.lit(text).cast("timestamp_ntz")
 
@@ -23,7 +32,26 @@ WHERE ts > (SELECT MAX(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')
 """)
 def watermark_increment(t):
     ev = t.events.select("event_id", "user_id", "event_type", "ts")
-    return inc.newer_than(ev, "ts", ev.where(F.col("ts") < ntz("2024-01-20")))
+    return pinned(t, "watermark_increment", inc.newer_than(ev, "ts", ev.where(F.col("ts") < ntz("2024-01-20"))), "event_id")
+
+
+@query("""
+SELECT event_id, user_id, n_run FROM events, (VALUES (1), (2)) AS r(n_run) WHERE CAST(ts AS DATE) >= DATE '2024-01-25' AND event_type <> 'error'
+  AND (n_run = 1) = (event_type <> 'signup')
+""")
+def pinned_increment(t):
+    """A run fails after its keys were pinned; the rerun takes the same keys though more have arrived, the next run takes those."""
+    base = run_dir(t.spark, "pinned_increment")
+    log, sink = KeyLog(t.spark, f"{base}/keys"), f"{base}/sink"
+    source = t.events.where((F.to_date("ts") >= F.lit("2024-01-25").cast("date")) & (F.col("event_type") != "error")).select("event_id", "user_id", "event_type")
+    landed = source.where("event_type <> 'signup'")
+    log.pin(landed.select("event_id"))  # the first run ends here, before its sink
+    for run in (1, 2):
+        done = t.spark.read.parquet(sink).select("event_id") if run > 1 else source.select("event_id").where("false")
+        batch, keys = log.pin(source.select("event_id").join(done, "event_id", "left_anti"))
+        source.join(keys, "event_id", "left_semi").select("event_id", "user_id", F.lit(run).alias("n_run")).write.mode("append").parquet(sink)
+        log.close(batch)
+    return t.spark.read.parquet(sink)
 
 
 @query("""
@@ -36,7 +64,7 @@ def watermark_union(t):
     ev = t.events.select("event_id", "user_id", "event_type", "ts")
     kept = ev.where((F.col("ts") < ntz("2024-01-20")) & (F.col("event_type") != "error"))
     quarantined = ev.where((F.col("ts") < ntz("2024-01-25")) & (F.col("event_type") == "error"))
-    return inc.newer_than(ev, "ts", kept, quarantined)
+    return pinned(t, "watermark_union", inc.newer_than(ev, "ts", kept, quarantined), "event_id")
 
 
 @query("""
@@ -48,7 +76,7 @@ def version_reprocess(t):
     stored = docs.where("lang <> 'en'").withColumn(
         "rule_version", F.when(F.col("lang") == "de", F.lit("0.1")).otherwise(F.lit("0.2")))
     due = inc.newer_than(docs, "doc_id", stored, first="-1")
-    return inc.with_stale_versions(due, docs, stored, "doc_id", "rule_version", "0.2").select("doc_id", "source")
+    return pinned(t, "version_reprocess", inc.with_stale_versions(due, docs, stored, "doc_id", "rule_version", "0.2").select("doc_id", "source"), "doc_id")
 
 
 @query("""
@@ -152,10 +180,9 @@ def pending_ledger(t):
 
 
 @query("""
-WITH h AS (SELECT o_custkey, md5(o_orderkey || ':' || o_orderstatus) AS m FROM orders),
-s AS (SELECT o_custkey, COUNT(*) AS n_rows, SUM(CAST('0x' || m[1:8] AS BIGINT)) AS a,
-        SUM(CAST('0x' || m[9:16] AS BIGINT)) AS b FROM h GROUP BY 1)
-SELECT o_custkey, n_rows, sha256(n_rows || '|' || a || '|' || b || '|r2') AS digest FROM s
+WITH h AS (SELECT o_custkey, sha256(o_orderkey || ':' || o_orderstatus) AS m FROM orders),
+s AS (SELECT o_custkey, COUNT(*) AS n_rows, """ + ", ".join(f"SUM(CAST('0x' || m[{16 * k + 1}:{16 * k + 16}] AS HUGEINT)) % 18446744073709551616 AS w{k}" for k in range(4)) + """ FROM h GROUP BY 1)
+SELECT o_custkey, n_rows, sha256(concat_ws('|', n_rows, w0, w1, w2, w3, 'r2')) AS digest FROM s
 """)
 def digest_change(t):
     """Customers whose orders or rule version changed since the stored digest (none is stored for a new run)."""
@@ -263,35 +290,43 @@ def stream_upsert(t):
     """Events land in several files; each micro-batch is merged into the typed table."""
     base = run_dir(t.spark, "stream_upsert")
     t.events.repartitionByRange(4, "ts").write.parquet(f"{base}/landing")
-    table = SnapshotTable(t.spark, f"{base}/typed")
+    table = BucketTable(t.spark, f"{base}/typed", ["user_id", "event_type"])
     stream = jobs.landed(t.spark, f"{base}/landing", t.events.schema, files_per_batch=2)
-    jobs.upsert_stream(stream, table, _latest_event, ["user_id", "event_type"],
-                       F.struct("s.ts", "s.event_id") >= F.struct("t.ts", "t.event_id"), f"{base}/checkpoint")
+    jobs.upsert_stream(stream, table, _latest_event, F.struct("s.ts", "s.event_id") >= F.struct("t.ts", "t.event_id"), f"{base}/checkpoint")
     return table.read()
 
 
 @query("""
-SELECT event_type, props AS payload, COUNT(*) > 0 AS seen FROM events GROUP BY 1, 2
+SELECT event_type, props AS payload, MIN(ts) AS first_ts, 0::BIGINT AS n_late FROM events GROUP BY 1, 2
 """)
 def stream_dedup(t):
-    """First arrival of a payload hash wins; the month of events lies within the watermark."""
+    """First arrival of a payload hash wins, over two runs in the order of time; rows later than the delay are counted apart."""
     base = run_dir(t.spark, "stream_dedup")
-    # a glob, so that a single file works as well as a folder
-    stream = jobs.landed(t.spark, t.path("events")[:-1] + "[t]", t.events.schema)
-    rows = stream.select(F.col("ts").cast("timestamp").alias("ts"), "event_type", F.col("props").alias("payload"),
-                         F.sha2(F.concat_ws("|", "event_type", "props"), 256).alias("news_hash"))
-    jobs.run_available(jobs.first_arrivals(rows, ["news_hash"], "ts", "60 days"), f"{base}/checkpoint",
-                       path=f"{base}/out")
-    out = t.spark.read.schema("ts TIMESTAMP, event_type STRING, payload STRING, news_hash STRING").parquet(f"{base}/out")
-    return out.select("event_type", "payload", F.lit(True).alias("seen"))
+    job = jobs.FirstArrivals(t.spark, f"{base}/job", ["news_hash"], "ts", "60 days")
+    early = F.col("ts") < ntz("2024-01-16")
+    for part in (early, ~early):
+        t.events.where(part).write.mode("append").parquet(f"{base}/landing")
+        stream = jobs.landed(t.spark, f"{base}/landing", t.events.schema)
+        rows = stream.select(F.col("ts").cast("timestamp").alias("ts"), "event_type", F.col("props").alias("payload"),
+                             F.sha2(F.concat_ws("|", "event_type", "props"), 256).alias("news_hash"))
+        job.run(rows)
+    n_late = job.counts().agg(F.sum("n_late")).scalar()
+    return job.arrivals(rows.schema).select("event_type", "payload", F.col("ts").cast("timestamp_ntz").alias("first_ts"), n_late.alias("n_late"))
 
 
 @query("""
 SELECT CAST(date_trunc('week', ts) AS DATE) AS week_start, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2
 """)
 def stream_weekly(t):
+    """Two runs over landed files: the second goes on from the state of the first and replaces the weeks it changes."""
+    base = run_dir(t.spark, "stream_weekly")
     ev = t.events.select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
-    return jobs.weekly_counts(ev, "ts", ["event_type"])
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    table = BucketTable(t.spark, f"{base}/weeks", ["week_start", "event_type"], 8)
+    for part in (early, ~early):
+        ev.where(part).write.mode("append").parquet(f"{base}/landing")
+        jobs.weekly_stream(jobs.landed(t.spark, f"{base}/landing", ev.schema), "ts", ["event_type"], "7 days", table, f"{base}/checkpoint")
+    return table.read()
 
 
 @query("WITH " + _ATTEMPTS_SQL + """

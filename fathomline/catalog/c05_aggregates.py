@@ -228,7 +228,7 @@ def peer_median(t):
     nation = t.nation.select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     peers = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey").join(nation, "c_nationkey")
     cq = customer_quarters(t).join(peers, "o_custkey")
-    return ag.grouped_median(cq, ["n_name", "q"], "revenue", F.floor(F.col("revenue") / 100_000), "median_revenue")
+    return ag.grouped_median(cq, ["n_name", "q"], "revenue", "median_revenue")
 
 
 @query("""

@@ -247,7 +247,7 @@ def quadrant(t):
     m = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).cast("double").alias("x"), money_sum("o_totalprice").alias("y"))
     j = t.customer.select("c_custkey", "c_nationkey").join(m, "c_custkey")
-    mx = ag.grouped_median(j, ["c_nationkey"], "x", F.floor("x"), "mx")
-    my = ag.grouped_median(j, ["c_nationkey"], "y", F.floor(F.col("y") / 100_000), "my")
+    mx = ag.grouped_median(j, ["c_nationkey"], "x", "mx")
+    my = ag.grouped_median(j, ["c_nationkey"], "y", "my")
     return jn.left_enrich(j, (mx, "c_nationkey"), (my, "c_nationkey")).select(
         "c_custkey", wn.quadrant(F.col("x"), F.col("y"), F.col("mx"), F.col("my")).alias("quadrant"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fathomline.catalog.c01_sources import events_raw
@@ -69,19 +70,22 @@ SELECT lang, COUNT(*) AS n_docs, quantile_disc(length(text), 0.5) AS len_p50, MA
   COUNT(DISTINCT source) AS n_sources, round(AVG(CAST(copies > 1 AS INT)), 3) AS copy_rate FROM h GROUP BY 1
 """)
 def text_profile(t):
-    """Feature columns once, then one grouping; copies are counted per hash first."""
+    """Feature columns once, then one grouping; copies are counted per hash first, the middle length from counts per length."""
     d = t.documents.select("doc_id", "lang", "source", F.length("text").alias("n"), F.sha1("text").alias("h"), F.col("text").contains("@").alias("m"),
                            F.col("text").rlike("(?i)licen[sc]e").alias("lic"))
     fine = d.groupBy("h", "lang", "source").agg(F.count(F.lit(1)).alias("k"), F.any_value("n").alias("n"), F.any_value("m").alias("m"), F.any_value("lic").alias("lic"))
-    copies = fine.groupBy("h").agg(F.sum("k").alias("copies"))
-    f = fine.join(copies, "h")
-    sums = f.groupBy("lang").agg(
+    # a hash has one row per language and source
+    sized = fine.withColumn("copies", F.sum("k").over(Window.partitionBy("h"))).groupBy("lang", "source", "n").agg(
+        F.sum("k").alias("k"), F.sum(F.when(F.col("m"), F.col("k")).otherwise(0)).alias("mails"), F.sum(F.when(F.col("lic"), F.col("k")).otherwise(0)).alias("licenses"),
+        F.sum(F.when(F.col("copies") > 1, F.col("k")).otherwise(0)).alias("in_copies"))
+    of_lang = Window.partitionBy("lang")
+    upto, total = F.sum("k").over(of_lang.orderBy("n").rangeBetween(Window.unboundedPreceding, 0)), F.sum("k").over(of_lang)
+    f = sized.withColumn("middle", F.when(upto >= F.ceil(total / 2), F.col("n")))
+    return f.groupBy("lang").agg(
         F.sum("k").alias("n_docs"), F.max("n").cast("long").alias("len_max"), F.sum(F.when(F.col("n") < 150, F.col("k")).otherwise(0)).alias("n_short"),
-        F.sum(F.when(F.col("m"), F.col("k")).otherwise(0)).alias("n_mail"), F.sum(F.when(F.col("lic"), F.col("k")).otherwise(0)).alias("n_license"),
-        F.sum(F.when(F.col("copies") > 1, F.col("k")).otherwise(0)).alias("n_in_copies"), F.countDistinct("source").alias("n_sources"),
+        F.sum("mails").alias("n_mail"), F.sum("licenses").alias("n_license"), F.sum("in_copies").alias("n_in_copies"), F.countDistinct("source").alias("n_sources"),
+        F.min("middle").cast("long").alias("len_p50"),
     ).withColumn("copy_rate", F.round(F.col("n_in_copies") / F.col("n_docs"), 3))
-    p50 = d.groupBy("lang").agg(F.percentile_approx("n", 0.5, 1_000_000).cast("long").alias("len_p50"))
-    return sums.join(p50, "lang")
 
 
 MAIL_ALIASES = [("mail.example.com", "mailco", "customer"), ("example.com", "exco", "third_party"), ("example.org", "ours", "ignore")]
@@ -520,8 +524,8 @@ def peer_scorecard(t):
     """Every supplier against the median of its nation in one quarter."""
     nat = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     x = filings.ratio_metrics(supplier_financials(t), "l_suppkey", "q").where(F.col("q") == 1999 * 4 + 1).join(nat, "l_suppkey")
-    yoy = ag.grouped_median(x, ["s_nationkey"], "revenue_yoy", F.floor(F.col("revenue_yoy") / 10), "med_yoy")
-    days = ag.grouped_median(x, ["s_nationkey"], "inventory_days", F.floor(F.col("inventory_days") / 10), "med_days")
+    yoy = ag.grouped_median(x, ["s_nationkey"], "revenue_yoy", "med_yoy")
+    days = ag.grouped_median(x, ["s_nationkey"], "inventory_days", "med_days")
     j = jn.left_enrich(x, (yoy, "s_nationkey"), (days, "s_nationkey"))
     up, down = filings.PEER_METRICS["revenue_yoy"], filings.PEER_METRICS["inventory_days"]
     return j.select("l_suppkey", "revenue_yoy", "med_yoy", (F.col("revenue_yoy") - F.col("med_yoy")).alias("gap"),
@@ -613,8 +617,6 @@ SELECT yr, section, n, row_number() OVER (PARTITION BY yr ORDER BY top DESC, n D
 """)
 def section_order(t):
     """Sections by their most important row, then by size."""
-    from pyspark.sql import Window
-
     s = t.lineitem.groupBy(F.year("l_shipdate").cast("long").alias("yr"), F.concat("l_returnflag", "l_linestatus").alias("section")).agg(F.max("l_quantity").alias("top"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("yr").orderBy(F.desc("top"), F.desc("n"), F.asc("section"))
     return s.select("yr", "section", "n", F.row_number().over(w).cast("long").alias("pos"))

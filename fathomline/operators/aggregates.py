@@ -84,24 +84,32 @@ def same_basis_growth(monthly: DataFrame, member: str, month: str, value: str) -
         F.count(F.lit(1)).alias("n_members"), F.try_divide(now - was, was).alias("growth"))
 
 
-def grouped_median(df: DataFrame, keys: list[str], value: str, bucket: Column, alias: str) -> DataFrame:
-    """Exact median per key for groups of any size, NULLs skipped.
+# Accuracy of the quantile sketch, and how far around the middle its bounds are taken: twice its error.
+SKETCH_ACCURACY = 10_000
+AROUND = 2 / SKETCH_ACCURACY
 
-    ``bucket`` must not decrease with the value. Values are numbered bucket by
-    bucket and the middle one or two are averaged; no task holds a whole group.
+
+def grouped_median(df: DataFrame, keys: list[str], value: str, alias: str) -> DataFrame:
+    """Exact median per key for groups of any size and any distribution, NULLs skipped.
+
+    A quantile sketch per group gives two bounds that enclose the middle. Values below are
+    only counted; values between them, a few in ten thousand, are counted one by one and the
+    middle one or two picked. Equal values are one row, so no task holds a large group.
     """
-    solid = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), bucket.alias("_b"))
-    counts = solid.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*keys)
-    before = F.coalesce(F.sum("_n").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = counts.select(*keys, "_b", "_n", before.alias("_before"), F.sum("_n").over(w).alias("_total")).withColumns({
-        "_low": F.floor((F.col("_total") + 1) / 2), "_high": F.floor((F.col("_total") + 2) / 2)})
-    # only the bucket or two around the middle are read again
-    middle = placed.where((F.col("_before") < F.col("_high")) & (F.col("_before") + F.col("_n") >= F.col("_low")))
-    near = solid.join(middle, [*keys, "_b"])
-    rank = F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_b").orderBy("_v"))
-    return near.withColumn("_rank", rank).where(F.col("_rank").isin(F.col("_low"), F.col("_high"))).groupBy(*keys).agg(
-        F.avg("_v").alias(alias))
+    solid = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    cuts = F.percentile_approx("_v", F.array(F.lit(0.5 - AROUND), F.lit(0.5 + AROUND)), SKETCH_ACCURACY)
+    sketch = solid.groupBy(*keys).agg(cuts.alias("_cuts"), F.count(F.lit(1)).alias("_n"))
+    low, high = F.col("_cuts")[0], F.col("_cuts")[1]
+    bounds = sketch.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], low.alias("_low"), high.alias("_high"), "_n")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    near = solid.join(bounds, same).where("_v <= _high")
+    # NULL stands for all values below the lower bound
+    counts = near.groupBy(*keys, F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_value")).agg(F.count(F.lit(1)).alias("_c"), F.any_value("_n").alias("_n"))
+    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_value")))
+    ranked = counts.withColumn("_upto", upto).where("_value IS NOT NULL")
+    hits = [(F.col("_upto") - F.col("_c") < rank) & (F.col("_upto") >= rank) for rank in (F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2))]
+    share = hits[0].cast("int") + hits[1].cast("int")
+    return ranked.where(share > 0).groupBy(*keys).agg((F.sum(F.col("_value") * share) / 2).alias(alias))
 
 
 def unique_top(votes: dict[str, Column]) -> Column:

@@ -21,6 +21,22 @@ def unique_key(df: DataFrame, keys: list[str], name: str) -> DataFrame:
         F.lit(name).alias("check_name"), "n_bad", (F.col("n_bad") == 0).alias("ok"))
 
 
+def table_checks(df: DataFrame, keys: list[str], unique: str, checks: dict[str, Column], refs: dict[str, tuple[str, DataFrame, str]] | None = None) -> DataFrame:
+    """Key, row and reference checks of a table from one scan: (check_name, n_bad, ok).
+
+    ``unique`` names the check of ``keys``; ``refs`` maps a check to (column, dimension, its
+    key). Bad rows are counted per key first, so repeated keys and bad rows come from one grouping.
+    """
+    bad = dict(checks)
+    for name, (column, dim, dim_key) in (refs or {}).items():
+        found = dim.select(F.col(dim_key).alias(f"_r_{name}")).distinct()
+        df = df.join(found, F.col(column) == F.col(f"_r_{name}"), "left")
+        bad[name] = F.col(f"_r_{name}").isNull()
+    per = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in bad.items()])
+    row = per.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias(unique), *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in bad])
+    return row.unpivot([], [unique, *bad], "check_name", "n_bad").withColumn("ok", F.col("n_bad") == 0)
+
+
 def dangling(df: DataFrame, key: str, dim: DataFrame, dim_key: str, name: str) -> DataFrame:
     """Rows whose reference does not resolve, as a check row."""
     refs = dim.select(F.col(dim_key).alias(key))

@@ -97,15 +97,15 @@ def by_priority(parts: dict[str, DataFrame], keys: list[str], reason: str = "rea
 def group_digest(df: DataFrame, keys: list[str], row_hash: Column, extra: list[Column] | None = None) -> DataFrame:
     """Change digest of the rows of a key, free of order and of group size.
 
-    Row hashes are summed and counted, which combines before the shuffle; a sorted
-    list of all hashes would put a whole group into one task.
+    A multiset hash of 256 bits: the four 64-bit words of each row's SHA-256 are summed
+    modulo 2**64 each, which combines before the shuffle; a sorted list of all hashes would
+    put a whole group into one task. A null row counts like an empty one.
     """
-    number = F.conv(F.substring(F.md5(row_hash), 1, 8), 16, 10).cast("long")
-    number2 = F.conv(F.substring(F.md5(row_hash), 9, 8), 16, 10).cast("long")
-    sums = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(number.cast("decimal(28,0)")).alias("_a"),
-        F.sum(number2.cast("decimal(28,0)")).alias("_b"))
-    parts = [F.col("n_rows").cast("string"), F.col("_a").cast("string"), F.col("_b").cast("string"), *(extra or [])]
+    whole = F.sha2(F.coalesce(row_hash, F.lit("")), 256)
+    word = lambda k: F.conv(F.substring(whole, 16 * k + 1, 16), 16, 10).cast("decimal(38,0)")
+    sums = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), *[F.sum(word(k)).alias(f"_{k}") for k in range(4)])
+    size = F.lit(str(2**64)).cast("decimal(38,0)")
+    parts = [F.col("n_rows").cast("string"), *[(F.col(f"_{k}") % size).cast("string") for k in range(4)], *(extra or [])]
     return sums.select(*keys, "n_rows", F.sha2(F.concat_ws("|", *parts), 256).alias("digest"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import statistics
 
 import pytest
 from pyspark.errors import PySparkException
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from fathomline.operators import aggregates as ag
 from fathomline.operators import incremental as inc
 from fathomline.operators import joins as jn
-from fathomline.operators import keyed, matching, numbering, packing
+from fathomline.operators import gates, keyed, matching, numbering, packing
 from fathomline.operators import upsert as up
 from fathomline.operators.skew import attach_groups
 from fathomline.sources import contracts, delimited
@@ -186,12 +187,42 @@ def test_votes_and_ties(spark):
     assert sorted((r.k, r.w) for r in ag.majority(df, ["k"], "v", "w").fillna("-").collect()) == [(1, "x"), (2, "-")]
 
 
-def test_grouped_median_any_bucket(spark):
-    data = [("a", float(v)) for v in (5, 1, 9, 7)] + [("b", 3.0)] + [("a", None)]
-    df = spark.createDataFrame(data, "g string, v double")
-    for width in (1, 4, 100):
-        out = ag.grouped_median(df, ["g"], "v", F.floor(F.col("v") / width), "m")
-        assert rows(out, "g", "m") == [("a", 6.0), ("b", 3.0)]
+def test_grouped_median_of_any_distribution(spark):
+    """Even and odd groups, ties, NULLs, a NULL group, and a group with nine tenths of its values in a thousandth of its range."""
+    rng = random.Random(9)
+    data = [("even", float(v)) for v in range(10)] + [("odd", 3.0), ("odd", -1.0), ("odd", 7.5), ("tie", 2.0), ("tie", 2.0), ("none", None), (None, 4.0), (None, 8.0)]
+    data += [("dense", rng.random() * 1000 if k % 10 == 0 else 500 + rng.random()) for k in range(60_001)]
+    data += [("same", 5.0)] * 30_000 + [("same", 6.0)] * 30_000
+    df = spark.createDataFrame(data, "g string, v double").repartition(8)
+    got = {r.g: r.m for r in ag.grouped_median(df, ["g"], "v", "m").collect()}
+    want = {}
+    for g in {g for g, _ in data}:
+        values = [v for h, v in data if h == g and v is not None]
+        if values:
+            want[g] = statistics.median(values)
+    assert got == want
+
+
+def test_digest_tells_swapped_doubled_and_exchanged_rows(spark):
+    base = [("x", "a"), ("x", "b"), ("y", "c")]
+
+    def digests(rows):
+        return {r.k: r.digest for r in inc.group_digest(spark.createDataFrame(rows, "k string, h string"), ["k"], F.col("h")).collect()}
+
+    first = digests(base)
+    assert digests(base[::-1]) == first
+    assert digests([("x", "b"), ("x", "a"), ("y", "c")])["x"] == first["x"]
+    others = [digests(rows)["x"] for rows in ([("x", "a"), ("x", "c"), ("y", "b")], [*base, ("x", "a")], [("x", "a"), ("x", "a")], [("x", "ab"), ("x", "")], [("x", "a")])]
+    assert len({first["x"], *others}) == 6
+
+
+def test_table_checks_count_per_row_and_key(spark):
+    df = spark.createDataFrame([(1, "a", 5), (1, "b", 6), (2, "z", None), (3, None, 9)], "k int, s string, r int")
+    dim = spark.createDataFrame([(5,), (6,), (6,)], "id int")
+    made = gates.table_checks(df, ["k"], "unique", {"listed": ~F.col("s").isin("a", "b")}, {"resolves": ("r", dim, "id")})
+    assert rows(made, "check_name", "n_bad", "ok") == [("listed", 1, False), ("resolves", 2, False), ("unique", 1, False)]
+    empty = gates.table_checks(df.where("false"), ["k"], "unique", {"listed": F.lit(True)})
+    assert rows(empty, "check_name", "n_bad", "ok") == [("listed", 0, True), ("unique", 0, True)]
 
 
 def test_streak_breaks_at_gaps(spark):

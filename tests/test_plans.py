@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 
 QUERIES = entry.queries()
 JOB_WRITES = {"sink_append", "sink_insert_overwrite", "replace_day", "stream_upsert", "stream_dedup", "binary_scan", "csv_strict_roundtrip",
-              "load_count_gate", "mail_chain", "segment_chain"}
+              "load_count_gate", "mail_chain", "segment_chain", "stream_weekly", "pinned_increment"}
 
 
 def plan_of(df) -> str:
@@ -38,3 +38,12 @@ def test_latest_per_key_limits_groups_before_the_shuffle(spark, sf_dir):
 def test_rule_joins_are_hash_or_merge_joins(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     assert "HashJoin" in plan or "SortMergeJoin" in plan
+
+
+def test_checks_and_profile_read_each_table_once(spark, sf_dir):
+    for name, scans in (("quality_checks", {"orders": 1, "lineitem": 1, "documents": 1, "customer": 1}), ("text_profile", {"documents": 1})):
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+        reused = plan.count("ReusedExchange")
+        for table, n in scans.items():
+            assert plan.count(f"/{table}.parquet]") <= n + reused, (name, table)
+    assert plan_of(QUERIES["quality_checks"](spark, sf_dir)).count("FileScan") == 4

@@ -148,7 +148,9 @@ def seed_violations(t):
     return out
 
 
-@query()
+@query("""
+SELECT l_returnflag, COUNT(*) AS n, CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem GROUP BY 1
+""")
 def sink_append(t):
     path = run_dir(t.spark, "append")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
@@ -214,7 +216,7 @@ def rebuild_equals_incremental(t):
         F.struct("seq", "k").eqNullSafe(F.col("inc")).alias("same"))
 
 
-@query()
+@query("SELECT c_custkey AS customer_key, c_name AS customer_name, c_acctbal AS balance FROM customer")
 def sink_insert_overwrite(t):
     """Declared table, filled by position twice; the second fill replaces the first."""
     path = run_dir(t.spark, "declared")
@@ -474,7 +476,10 @@ def schema_evolve_add(t):
     return contracts.require_contract(contracts.add_missing_columns(t.customer, declared), declared)
 
 
-@query()
+@query("""
+SELECT 'orders' AS table_name, COUNT(*) AS n_rows, '' AS problems FROM orders
+UNION ALL SELECT 'customer', COUNT(*), 'column 2: have (''c_nationkey'', ''int''), declared (''c_nationkey'', ''bigint''); column 4: have (''c_mktsegment'', ''string''), declared (''c_segment'', ''string'')' FROM customer
+""")
 def schema_contract(t):
     """Differences between each table and its declared form, with the row count it guards."""
     declared = {

@@ -224,9 +224,17 @@ def batch_log_rows(t):
     ).withColumn("status", F.when(F.exists("results", lambda r: r["n_failed"] > 0), F.lit("partial")).otherwise(F.lit("ok")))
 
 
-@query()
+@query("""
+WITH e AS (SELECT strftime(ts, '%Y%m%d') AS batch_id, event_type, COUNT(*) AS n_rows, COUNT(*) FILTER (value < 1) AS n_failed,
+  strftime(MIN(ts), '%Y-%m-%d %H:%M:%S.%f') AS first_at, strftime(MAX(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_at FROM events GROUP BY 1, 2)
+SELECT batch_id, CAST(SUM(n_rows) AS BIGINT) AS landed, '{' || string_agg('"' || event_type || '":' || n_rows, ',' ORDER BY event_type) || '}' AS counts,
+  string_agg(concat_ws('|', event_type, n_rows, n_failed, first_at, last_at), ';' ORDER BY event_type) AS results,
+  CASE WHEN bool_or(n_failed > 0) THEN 'partial' ELSE 'ok' END AS status FROM e GROUP BY 1
+""")
 def batch_log(t):
-    return batch_log_rows(t)
+    """The map and the array of a batch, written out."""
+    shown = F.transform("results", lambda r: F.concat_ws("|", r["event_type"], r["n_rows"], r["n_failed"], *[F.date_format(r[c], "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in ("first_at", "last_at")]))
+    return batch_log_rows(t).select("batch_id", "landed", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("counts")))).alias("counts"), F.array_join(shown, ";").alias("results"), "status")
 
 
 @query("""

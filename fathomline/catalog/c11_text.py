@@ -105,7 +105,19 @@ def drop_junk_rows(t):
     return t.documents.select("doc_id", F.sha1(tx.drop_junk_rows(text)).alias("h"))
 
 
-@query()
+@query(r"""
+WITH s AS (SELECT doc_id, string_split(regexp_replace(text, '[.,] ', chr(10), 'g'), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i, len(ls) AS n FROM s),
+k AS (SELECT *, trim(line, E' \t\r\x0B\x0C') AS solid, CASE WHEN trim(line, E' \t\r\x0B\x0C') = '' THEN 'b' WHEN length(trim(line, E' \t\r\x0B\x0C')) <= 20 THEN 's' ELSE 'o' END AS kind FROM l),
+g AS (SELECT *, COUNT(*) FILTER (kind = 'o') OVER (PARTITION BY doc_id ORDER BY i) AS grp FROM k),
+f AS (SELECT *, kind <> 'o' AND i >= MIN(i) FILTER (kind = 's') OVER w AS in_run, COUNT(*) FILTER (kind = 's') OVER w >= 8 AS long, MIN(i) FILTER (kind = 's') OVER w AS first_i, MAX(i) FILTER (kind <> 'o') OVER w AS last_i
+  FROM g WINDOW w AS (PARTITION BY doc_id, grp)),
+r AS (SELECT doc_id, grp, string_agg(solid, ' | ' ORDER BY i) FILTER (solid <> '') || CASE WHEN bool_or(i = last_i AND kind = 'b') THEN chr(10) ELSE '' END AS merged FROM f WHERE in_run AND long GROUP BY 1, 2),
+o AS (SELECT f.doc_id, f.i, f.n, CASE WHEN in_run AND long THEN CASE WHEN i = first_i THEN merged END ELSE line END AS part FROM f LEFT JOIN r USING (doc_id, grp)),
+t AS (SELECT doc_id, MAX(n) AS n, string_agg(part, chr(10) ORDER BY i) FILTER (part IS NOT NULL) AS flat FROM o GROUP BY 1),
+c AS (SELECT doc_id, n, regexp_replace(regexp_replace(regexp_replace(flat, '[ \t]+\n', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') AS flat FROM t)
+SELECT doc_id, CAST(n AS INTEGER) AS lines_before, CAST(len(string_split(flat, chr(10))) AS INTEGER) AS lines_after, sha1(flat) AS h FROM c
+""")
 def flatten_lines(t):
     """Sentences on lines of their own; runs of short ones become one line."""
     text = F.regexp_replace("text", r"[.,] ", "\n")
@@ -189,7 +201,14 @@ def normal_hash(t):
     return t.documents.select("doc_id", tx.normal_hash(text).alias("normal_hash"))
 
 
-@query()
+@query(r"""
+WITH p AS (SELECT a.conv_id, a.turn, a.text, b.role, split_part(array_to_string(string_split(b.text, ' ')[1:3], ' '), chr(10), 1) AS words FROM conversations a
+  JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn - 1 WHERE a.conv_id % 5 <> 0),
+f AS (SELECT *, upper(role[1:1]) || role[2:] || ' Person <' || role || '@mail.example.com>' AS sender, strftime(DATE '2024-01-01' + CAST(conv_id % 28 AS INTEGER), '%A, %B %-d, %Y') || ' 3:0' || (turn % 10) || ' PM' AS sent FROM p)
+SELECT conv_id * 4294967296 + turn AS pk_seq, 0 AS pos, CAST(length(text) + 2 AS INTEGER) AS start,
+  CAST(length(text) + 2 + length('**From:** ' || sender || ' **Sent:** ' || sent || '#**To:** desk@other.example.org; Team Desk <team@other.example.org>#**Subject:** RE: ' || words) AS INTEGER) AS header_end,
+  sender AS from_value, sent AS sent_value, 'desk@other.example.org; Team Desk <team@other.example.org>' AS to_value, trim('RE: ' || words) AS subject_value FROM f
+""")
 def segments(t):
     """Header blocks of forwarded mails with their offsets and fields."""
     rows = mails(t).select("pk_seq", F.posexplode(sg.header_blocks(F.col("mail_without_fw"))).alias("pos", "b"))
@@ -251,13 +270,31 @@ def display_names(t):
     return t.conversations.select("conv_id", "turn", tx.parse_display_name(shown).alias("n")).select("conv_id", "turn", "n.*")
 
 
-@query()
+def _masked_sql(text: str, n: int) -> str:
+    """Names of a list, longest first, put out one by one; twice, as neighbours share the sign between them."""
+    for k in range(1, n + 1):
+        name, token = f"names[{k}].name", f"names[{k}].token"
+        bounded = f"'(?i)(^|[^A-Za-z0-9])' || {name} || '($|[^A-Za-z0-9])'"
+        swap = f"regexp_replace(regexp_replace(x, {bounded}, '\\1' || {token} || '\\2', 'g'), {bounded}, '\\1' || {token} || '\\2', 'g')".replace("x, ", f"{text}, ", 1)
+        text = f"CASE WHEN len(names) < {k} THEN {text} WHEN regexp_matches({name}, '^[ -~]+$') THEN {swap} ELSE replace({text}, {name}, {token}) END"
+    return text
+
+
+@query(r"""
+WITH w AS (SELECT conv_id, role, turn, regexp_extract(text, '(\p{L}{4,} \p{L}{3,})', 1) AS word FROM conversations),
+p AS (SELECT conv_id, arg_min(word, turn) AS name, CASE role WHEN 'user' THEN '<P01>' WHEN 'assistant' THEN '<P02>' ELSE '<P03>' END AS token FROM w GROUP BY conv_id, role),
+b AS (SELECT conv_id, name, MAX(token) AS token FROM p WHERE name <> '' GROUP BY 1, 2),
+e AS (SELECT conv_id, list({'name': name, 'token': token} ORDER BY length(name) DESC, name) AS names FROM b GROUP BY 1),
+m AS (SELECT conv_id, turn, text, COALESCE(names, []) AS names FROM conversations LEFT JOIN e USING (conv_id)),
+x AS (SELECT conv_id, turn, """ + _masked_sql("text", 3) + r""" AS masked FROM m)
+SELECT conv_id, turn, CAST(len(regexp_extract_all(masked, '<P0[0-9]>')) AS INTEGER) AS n_masked, sha1(masked) AS h FROM x
+""")
 def mask_dictionary(t):
     """Names of a conversation's own speakers become tokens, longest first, whole words."""
     word = F.regexp_extract("text", r"(\p{L}{4,} \p{L}{3,})", 1)
     people = t.conversations.groupBy("conv_id", "role").agg(F.min_by(word, "turn").alias("name")).where("name <> ''")
     token = rules.map_value(F.col("role"), {"user": "<P01>", "assistant": "<P02>", "system": "<P03>"})
-    book = people.groupBy("conv_id").agg(F.collect_list(F.struct("name", token.alias("token"))).alias("entries"))
+    book = people.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("name", token.alias("token")))).alias("entries"))
     rows = t.conversations.join(book, "conv_id", "left")
     masked = sg.mask_dictionary(F.col("text"), F.coalesce("entries", F.array().cast("array<struct<name:string,token:string>>")))
     return rows.select("conv_id", "turn", tx.count_matches(masked, r"<P0\d>").alias("n_masked"), F.sha1(masked).alias("h"))

@@ -622,7 +622,12 @@ def section_order(t):
     return s.select("yr", "section", "n", F.row_number().over(w).cast("long").alias("pos"))
 
 
-@query()
+@query("WITH " + _FIN_SQL + """,
+r AS (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY q DESC) AS rn FROM m)
+SELECT l_suppkey, MAX(q) FILTER (rn = 1) AS q, MAX(revenue) FILTER (rn = 1) AS revenue, MAX(revenue_yoy) FILTER (rn = 1) AS revenue_yoy, MAX(inventory_days) FILTER (rn = 1) AS inventory_days,
+  bool_or(capex IS NOT NULL) AS capex, bool_or(ocf IS NOT NULL) AS ocf, CAST(COUNT(*) FILTER (rn <= 5) AS INTEGER) AS n_series, MIN(q) FILTER (rn <= 5) AS series_from,
+  string_agg(q || ':' || CAST(CAST(revenue AS DECIMAL(18,2)) AS VARCHAR), ' ' ORDER BY q) FILTER (rn <= 5) AS series FROM r GROUP BY 1
+""")
 def fact_set(t):
     """Series, actuals, KPI and availability of one entity in one struct, at the newest quarter."""
     m = filings.ratio_metrics(supplier_financials(t), "l_suppkey", "q")
@@ -630,4 +635,7 @@ def fact_set(t):
     base = wn.last_n(m, "l_suppkey", "q", 1).select("l_suppkey", F.struct("q", "revenue", "revenue_yoy", "inventory_days").alias("actuals"))
     avail = m.groupBy("l_suppkey").agg(F.struct(F.max(F.col("capex").isNotNull()).alias("capex"), F.max(F.col("ocf").isNotNull()).alias("ocf")).alias("indicators"))
     j = jn.left_enrich(base, (series, "l_suppkey"), (avail, "l_suppkey"))
-    return j.select("l_suppkey", F.struct("actuals", "series", "indicators").alias("facts"))
+    facts = j.select("l_suppkey", F.struct("actuals", "series", "indicators").alias("facts"))
+    shown = F.transform("facts.series", lambda s: F.concat(s["q"].cast("string"), F.lit(":"), s["revenue"].cast("decimal(18,2)").cast("string")))
+    return facts.select("l_suppkey", "facts.actuals.*", "facts.indicators.*", F.size("facts.series").alias("n_series"), F.col("facts.series")[0]["q"].alias("series_from"),
+                        F.array_join(shown, " ").alias("series"))

@@ -143,12 +143,12 @@ def party_fill(t):
     """Unsupported fills reverted; then the segment hint if the mail names that party, then the only party of the mail."""
     i = t.lineitem.select(F.col("l_orderkey").alias("mail"), F.col("l_linenumber").alias("seg"), "l_suppkey", "l_tax",
                           F.when((F.col("l_quantity") > 25) & (F.col("l_returnflag") != "R"), F.col("l_suppkey")).alias("party"))
-    hints = i.where("l_tax > 0.04").groupBy("mail", "seg").agg(F.max("l_suppkey").alias("hint"))
-    named = i.where("party IS NOT NULL").select("mail", F.col("party").alias("hint")).distinct()
-    good = hints.join(named, ["mail", "hint"], "left_semi")
-    b = i.join(good, ["mail", "seg"], "left").withColumn("p2", F.coalesce("party", "hint"))
-    only = ag.single_value(b, "mail", "p2", "only_one")
-    c = b.join(only, "mail", "left").select(
+    # the lines of one mail bound the windows, so one read and one shuffle serve all steps
+    of_mail, of_segment = Window.partitionBy("mail"), Window.partitionBy("mail", "seg")
+    hinted = i.withColumns({"hint": F.max(F.when(F.col("l_tax") > 0.04, F.col("l_suppkey"))).over(of_segment), "named": F.collect_set("party").over(of_mail)})
+    b = hinted.withColumn("p2", F.coalesce("party", F.when(F.array_contains("named", F.col("hint")), F.col("hint"))))
+    lowest, highest = F.min("p2").over(of_mail), F.max("p2").over(of_mail)
+    c = b.withColumn("only_one", F.when(lowest == highest, lowest)).select(
         rules.decide([("own", F.col("party").isNotNull()), ("segment_hint", F.col("p2").isNotNull()), ("mail_party", F.col("only_one").isNotNull())], None).alias("basis"),
         F.coalesce("p2", "only_one").alias("final"))
     counts = c.groupBy("basis", "final").agg(F.count(F.lit(1)).alias("k"))
@@ -161,10 +161,13 @@ FOLLOW_OF = {"schedule": "spec"}
 RULE_OF = {"price": "always", "spec": "spec_statement", "capacity": "capacity_timeref", "quality": "quality_request_or_customer"}
 
 
-def label_items(t):
-    """Order lines as extracted items of their order's customer."""
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", "o_orderpriority", F.to_date("o_orderdate").alias("event_date"))
-    l = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"), F.max("l_linestatus").alias("line"), F.max("l_quantity").alias("qty"))
+def label_items(t, start, end):
+    """Order lines as extracted items of their order's customer, of the orders of a range of days."""
+    day = F.to_date("o_orderdate")
+    o = t.orders.where(day.between(F.lit(start).cast("date"), F.lit(end).cast("date"))).select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", "o_orderpriority", day.alias("event_date"))
+    kept = t.lineitem.join(o.select("l_orderkey"), "l_orderkey", "left_semi")
+    l = kept.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"), F.max("l_linestatus").alias("line"), F.max("l_quantity").alias("qty"))
     tag1 = rules.map_value(F.col("flag"), {"A": "price", "N": "schedule", "R": "admin"})
     tag2 = rules.map_value(F.col("line"), {"O": "spec", "F": "quality"})
     return l.join(o, "l_orderkey").select(
@@ -204,7 +207,7 @@ def label_chain(t):
     brands = t.nation.where("n_nationkey BETWEEN 1 AND 3").select(F.lit("TV").alias("app_name"), F.concat(F.lit("brand"), "n_nationkey").alias("brand"))
     windows = t.spark.sql("SELECT app_name, CAST(ws AS DATE) AS window_start, CAST(we AS DATE) AS window_end FROM VALUES ('TV', '1997-03-05', '1997-04-03'), ('NB', '1997-03-10', '1997-04-20'), "
                           "('MNT', '1997-03-01', '1997-03-31'), ('app_unresolved', '1997-03-01', '1997-04-20') AS w(app_name, ws, we)")
-    out = labels.label_chain(label_items(t), ents, aliases, brands, windows, FACET_OF, FOLLOW_OF, RULE_OF, unit="pm", apps=APPS, start="1997-03-01", end="1997-04-30", version="0.2")
+    out = labels.label_chain(label_items(t, "1997-03-01", "1997-04-30"), ents, aliases, brands, windows, FACET_OF, FOLLOW_OF, RULE_OF, unit="pm", apps=APPS, start="1997-03-01", end="1997-04-30", version="0.2")
     return out.select("item_id", "app_name", "app_basis", F.col("brand").cast("string").alias("brand"), "brand_basis", "brand_in_sb", "facet", "facet_basis", "relevance_basis", "sb_relevant")
 
 

@@ -10,9 +10,9 @@ from fathomline.operators.keyed import pick_per_key
 
 
 def year_over_year(df: DataFrame, key: str, period: str, value: str, periods: int) -> DataFrame:
-    """Same period a year earlier found by its key, so a missing period stays missing."""
-    before = df.select(key, (F.col(period) + periods).alias(period), F.col(value).alias("year_ago"))
-    return df.join(before, [key, period], "left").withColumn("yoy", pct_change(F.col(value), F.col("year_ago")))
+    """Same period a year earlier found by its number, so a missing period stays missing; one row per key and period, read once."""
+    year_ago = F.first(value).over(Window.partitionBy(key).orderBy(period).rangeBetween(-periods, -periods))
+    return df.withColumn("year_ago", year_ago).withColumn("yoy", pct_change(F.col(value), F.col("year_ago")))
 
 
 def last_n(df: DataFrame, key: str, period: str, n: int, until: int | None = None) -> DataFrame:

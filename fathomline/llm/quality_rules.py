@@ -1,16 +1,14 @@
 """Quality rules whose cutoffs are chosen on labelled holdouts with a controlled risk.
 
-A rule rejects a document when a rate (symbols, capitals, repeated lines, repeated
-words) exceeds a cutoff. Cutoffs come from a fixed grid, loosest first. For each
-stratum (language) and rule, the labelled good documents that a cutoff would reject
-are counted. The cutoff is certified if the exact binomial tail
-``P(Bin(n, risk) <= rejected)`` is at most the error level, which is the same as the
-exact upper confidence bound of the false rejection rate being at most ``risk``. The
-error level is divided by the number of strata and rules (Bonferroni); within a rule
-the grid is tested in its fixed order and stops at the first failure, which needs no
-further correction. The risk is divided by the number of rules, so all rules together
-reject at most ``RISK`` of the good documents of a stratum, for all strata at once,
-with probability ``1 - ERROR``. A stratum without enough labels gets no cutoff.
+A document's rates (symbols, capitals, repeated lines, repeated words) are put in fixed
+units; its score is the worst of them, so one joint cutoff rules on all rates and the risk is
+not split between them. In each stratum (language) the cutoff is an order statistic of the
+scores of labelled good documents: the score that just k of n exceed, with the largest k for
+which the exact binomial tail ``P(Bin(n, RISK) <= k)`` is at most the error level. This is the
+exact upper confidence bound of the false rejection rate being at most ``RISK``, for any
+distribution of scores. The error level is divided by the number of strata and one more
+(Bonferroni), so with probability ``1 - ERROR`` no cutoff rejects more than ``RISK`` of the
+good documents it is made for. Strata with too few labels share one common cutoff.
 """
 
 from __future__ import annotations
@@ -22,16 +20,14 @@ from pyspark.sql import functions as F
 
 from fathomline.functions.binding import let
 from fathomline.llm.columns import small, words
+from fathomline.operators.numbering import row_numbers
 from fathomline.session import written
 
-RISK = 0.04
+# Share of a stratum's good documents that the cutoff may reject, and the probability that any stratum's cutoff rejects more.
+RISK = 0.015
 ERROR = 0.05
-GRID = {
-    "symbol_rate": (3.0, 2.0, 1.0, 0.5, 0.25, 0.1),
-    "upper_rate": (0.8, 0.6, 0.4, 0.3, 0.2),
-    "dup_line_rate": (0.9, 0.7, 0.5),
-    "repeat_rate": (0.5, 0.4, 0.3),
-}
+# What counts as one unit of each rate, so that one score tells the worst of them. Fixed before any label is seen.
+UNITS = {"symbol_rate": 0.1, "upper_rate": 0.2, "dup_line_rate": 0.5, "repeat_rate": 0.3}
 
 
 def _repeat_words(w: Column) -> Column:
@@ -79,54 +75,61 @@ def features(docs: DataFrame, keep: list[str]) -> DataFrame:
         "base_failed": (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
         "symbol_rate": per("n_symbols", "n_words"), "upper_rate": per("n_upper", "word_chars"),
         "dup_line_rate": per("n_dup_lines", "n_lines"), "repeat_rate": per("n_repeat_words", "n_words"),
-    })
+    }).withColumn("score", F.greatest(*[F.col(rate) / F.lit(unit) for rate, unit in UNITS.items()]))
 
 
-def binomial_tail(n: Column, k: Column, p: float) -> Column:
-    """``P(Bin(n, p) <= k)``, summed exactly in logarithms; 1 where k is over the mean."""
-    first = F.struct((n * math.log1p(-p)).alias("log"), F.exp(n * math.log1p(-p)).alias("sum"))
-    step = math.log(p / (1 - p))
+def allowed_rejections(n: Column, risk: float, level: Column) -> Column:
+    """Largest k with ``P(Bin(n, risk) <= k) <= level``, summed exactly in logarithms; -1 if there is none.
+
+    If the true share of good documents above a cutoff were over ``risk``, so few above it
+    among ``n`` would be seen with probability ``level`` at most.
+    """
+    first = let(F.exp(n * math.log1p(-risk)), lambda p: F.struct((n * math.log1p(-risk)).alias("log"), p.alias("sum"), F.when(p <= level, 0).otherwise(-1).cast("long").alias("k")))
+    step = math.log(risk / (1 - risk))
 
     def add(acc: Column, j: Column) -> Column:
-        return let(acc["log"] + F.log((n - j + 1) / j) + step, lambda x: F.struct(x.alias("log"), (acc["sum"] + F.exp(x)).alias("sum")))
+        grown = let(acc["log"] + F.log((n - j + 1) / j) + step, lambda x: let(acc["sum"] + F.exp(x), lambda total: F.struct(
+            x.alias("log"), total.alias("sum"), F.when(total <= level, j).otherwise(acc["k"]).alias("k"))))
+        return grown
 
-    tail = F.aggregate(F.sequence(F.lit(1).cast("long"), k), first, add)["sum"]
-    return F.when(k > n * p, F.lit(1.0)).when(k == 0, F.exp(n * math.log1p(-p))).otherwise(tail)
+    upto = F.floor(n * risk).cast("long")
+    return F.when(upto < 1, first["k"]).otherwise(F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(upto, F.lit(1))), first, add)["k"])
 
 
-def certified_cutoffs(labelled: DataFrame, stratum: str, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """One row per stratum with the strictest certified cutoff of each rule, null where none is.
+def certified_cutoffs(labelled: DataFrame, stratum: str, risk: float = RISK, error: float = ERROR) -> tuple[DataFrame, DataFrame]:
+    """(stratum, group, n, cut) of every labelled stratum, and the cutoff of the common group in one row or none.
 
-    ``labelled`` holds the rates of good labelled documents. Counts of all rules and
-    cutoffs are one aggregate, combined before its shuffle.
+    ``labelled`` holds the stratum and the score of good labelled documents. A stratum whose
+    labels allow no rejection joins the common group of all such strata, which also stands in
+    for strata without labels; its guarantee holds for that group as a whole. ``cut`` is the
+    score that just ``k`` of the n labelled documents exceed, null where even k = 0 is not
+    certified. The error is shared by all strata and the common group. The scores are ranked
+    over all tasks, so a stratum may have any number of labels.
     """
-    tests = [(rule, i, cut) for rule, cuts in GRID.items() for i, cut in enumerate(cuts)]
-    counts = labelled.groupBy(stratum).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum((F.col(rule) > cut).cast("long")).alias(f"r{t}") for t, (rule, _, cut) in enumerate(tests)])
-    rows = counts.select(stratum, "n", F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.lit(cut).alias("cut"), F.col(f"r{t}").alias("k"))
-        for t, (rule, i, cut) in enumerate(tests)])).alias("t")).select(stratum, "n", "t.*")
-    level = error / len(GRID) / F.count(F.lit(1)).over(Window.partitionBy("rule", "step"))
-    tested = rows.withColumn("passed", binomial_tail(F.col("n"), F.col("k"), risk / len(GRID)) <= level)
-    order = Window.partitionBy(stratum, "rule").orderBy("step")
-    kept = tested.withColumn("passed", F.min("passed").over(order))
-    return kept.groupBy(stratum).agg(*[
-        F.min(F.when((F.col("rule") == rule) & F.col("passed"), F.col("cut"))).alias(f"max_{rule}") for rule in GRID])
+    sizes = labelled.groupBy(stratum).agg(F.count(F.lit(1)).alias("n"))
+    level = F.lit(error) / (F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))) + 1)
+    strata = written(sizes.withColumn("level", level).withColumn("group", F.when(allowed_rejections(F.col("n"), risk, F.col("level")) >= 0, F.col(stratum))), "quality_strata")
+    groups = strata.groupBy("group").agg(F.sum("n").alias("n"), F.any_value("level").alias("level"))
+    allowed = groups.select(F.col("group").alias("_group"), "n", allowed_rejections(F.col("n"), risk, F.col("level")).alias("k")).where("k >= 0")
+    ranked = row_numbers(labelled.join(small(strata.select(stratum, "group")), stratum).select("group", "score"), ["group"], [F.desc("score")], "place")
+    cuts = written(ranked.join(small(allowed), F.col("group").eqNullSafe(F.col("_group")) & (F.col("place") == F.col("k") + 1)).select("group", F.col("score").alias("cut")), "quality_cutoffs")
+    named = cuts.select(F.col("group").alias("_group"), "cut")
+    return strata.join(named, F.col("group").eqNullSafe(F.col("_group")), "left").select(stratum, "group", "n", "cut"), cuts.where("group IS NULL").select("cut")
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """Figures, ``base_failed`` and ``kept`` of every document.
+    """Figures, ``base_failed``, score, cut and ``kept`` of every document.
 
     ``docs`` needs doc_id, text and the stratum column (null is a stratum of its own),
     ``labels`` doc_id and quality. Other columns are ignored. Repeated rows stay; a
-    document with several labels counts as good if all of them are 1. Without labels
-    no cutoff is certified and only the base rules reject.
+    document with several labels counts as good if all of them are 1. Cutoffs are chosen on
+    good documents that pass the base rules. Without labels none is certified and only the
+    base rules reject; an empty table gives none.
     """
     rates = written(features(docs.select("doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("und")).alias("_s"), "text"), ["doc_id", "_s"]), "quality_rules")
     good = labels.groupBy("doc_id").agg(F.min("quality").alias("_q")).where("_q = 1").select("doc_id")
-    cuts = written(certified_cutoffs(rates.join(good, "doc_id", "left_semi"), "_s", risk, error), "quality_cutoffs")
-    judged = rates.join(small(cuts), "_s", "left")
-    passes = F.lit(True)
-    for rule in GRID:
-        passes = passes & F.coalesce(F.col(rule) <= F.col(f"max_{rule}"), F.lit(True))
-    return judged.withColumn("kept", ~F.col("base_failed") & passes).withColumnRenamed("_s", "stratum")
+    strata, common = certified_cutoffs(rates.where("NOT base_failed").join(good, "doc_id", "left_semi").select("_s", "score"), "_s", risk, error)
+    judged = rates.join(small(strata.select("_s", F.lit(True).alias("_known"), F.col("cut").alias("_cut"))), "_s", "left")
+    cut = F.when(F.col("_known"), F.col("_cut")).otherwise(F.lit(next((r["cut"] for r in common.collect()), None)).cast("double"))
+    kept = ~F.col("base_failed") & F.coalesce(F.col("score") <= cut, F.lit(True))
+    return judged.withColumns({"cut": cut, "kept": kept}).drop("_known", "_cut").withColumnRenamed("_s", "stratum")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from fathomline.llm import decontaminate, mixing, quality_rules
 
-_TESTS = [(rule, i, cut) for rule, cuts in quality_rules.GRID.items() for i, cut in enumerate(cuts)]
-_P = quality_rules.RISK / len(quality_rules.GRID)
+# Largest k whose exact binomial tail is at most the level, -1 without one.
+_ALLOWED = f"""(SELECT coalesce(max(j), -1) FROM (SELECT j, sum(exp(lgamma(n + 1) - CASE WHEN j > 0 THEN lgamma(j + 1) ELSE 0 END - lgamma(n - j + 1)
+  + j * ln({quality_rules.RISK!r}) + (n - j) * ln(1 - {quality_rules.RISK!r}))) OVER (ORDER BY j) AS tail FROM (SELECT unnest(range(0, floor(n * {quality_rules.RISK!r})::BIGINT + 1)) AS j)) WHERE tail <= level)"""
 
 QUALITY_RULES = rf"""
 WITH w AS (
@@ -29,20 +30,18 @@ r AS (
          CASE WHEN word_chars > 0 THEN n_upper / word_chars ELSE 0.0 END AS upper_rate,
          CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0.0 END AS dup_line_rate,
          CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0.0 END AS repeat_rate FROM f),
-good AS (SELECT r.* FROM r SEMI JOIN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1) USING (doc_id)),
-cnt AS ({" UNION ALL ".join(f"SELECT stratum, '{rule}' AS rule, {i} AS step, CAST({cut} AS DOUBLE) AS cut, count(*) AS n, count(*) FILTER ({rule} > {cut}) AS k FROM good GROUP BY stratum" for rule, i, cut in _TESTS)}),
-tail AS (
-  SELECT stratum, rule, step, cut, CASE WHEN k > n * {_P!r} THEN 1.0 ELSE
-         list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - (CASE WHEN j > 0 THEN lgamma(j + 1) ELSE 0 END)
-             - lgamma(n - j + 1) + j * ln({_P!r}) + (n - j) * ln(1 - {_P!r})))) END AS p FROM cnt),
-cuts AS (
-  SELECT stratum, rule, min(cut) FILTER (ok) AS cut FROM (
-    SELECT *, bool_and(p <= {quality_rules.ERROR!r} / {len(quality_rules.GRID)} / (SELECT count(DISTINCT stratum) FROM good))
-           OVER (PARTITION BY stratum, rule ORDER BY step) AS ok FROM tail) GROUP BY stratum, rule),
-wide AS (SELECT stratum, {", ".join(f"min(cut) FILTER (rule = '{rule}') AS m_{rule}" for rule in quality_rules.GRID)} FROM cuts GROUP BY stratum)
-SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND {" AND ".join(f"coalesce({rule} <= m_{rule}, true)" for rule in quality_rules.GRID)} AS kept
-FROM r LEFT JOIN wide USING (stratum)
+sc AS (SELECT *, greatest({", ".join(f"{rate} / {unit!r}" for rate, unit in quality_rules.UNITS.items())}) AS score FROM r),
+good AS (SELECT sc.* FROM sc SEMI JOIN (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1) USING (doc_id) WHERE NOT base_failed),
+n1 AS (SELECT stratum, count(*) AS n FROM good GROUP BY stratum),
+lv AS (SELECT {quality_rules.ERROR!r} / (count(*) + 1) AS level FROM n1),
+k1 AS (SELECT stratum, n, {_ALLOWED} AS k FROM n1, lv),
+grp AS (SELECT stratum, CASE WHEN k >= 0 THEN stratum END AS g FROM k1),
+n2 AS (SELECT g, sum(n)::BIGINT AS n FROM grp JOIN n1 USING (stratum) GROUP BY g),
+k2 AS (SELECT g, {_ALLOWED} AS k FROM n2, lv),
+rk AS (SELECT g, score, row_number() OVER (PARTITION BY g ORDER BY score DESC) AS place FROM good JOIN grp USING (stratum)),
+cuts AS (SELECT rk.g, score AS cut FROM rk JOIN k2 ON rk.g IS NOT DISTINCT FROM k2.g AND place = k + 1 AND k >= 0)
+SELECT sc.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(score <= cut, true) AS kept
+FROM sc LEFT JOIN grp USING (stratum) LEFT JOIN cuts ON cuts.g IS NOT DISTINCT FROM grp.g
 """
 
 _K = decontaminate.WIDTH

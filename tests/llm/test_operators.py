@@ -154,13 +154,49 @@ def test_quality_rules(spark):
     assert made[2001].n_words == 0 and made[2001].base_failed and not made[2002].kept and made[2000].n_symbols == 120
 
 
-def test_repeat_words_and_binomial_tail(spark):
+def test_repeat_words(spark):
     table = spark.createDataFrame([(1, "a b c a b c d"), (2, "x x x x"), (3, "a b"), (4, "a b c d a b e")], "doc_id bigint, text string")
     assert {r.doc_id: r.n_repeat_words for r in quality_rules.features(table, ["doc_id"]).collect()} == {1: 6, 2: 4, 3: 0, 4: 0}
+
+
+@pytest.mark.parametrize("risk, level", [(0.015, 0.01), (0.1, 0.05), (0.3, 0.2)])
+def test_allowed_rejections_are_the_exact_tail(spark, risk, level):
+    from fractions import Fraction
     from math import comb
-    made = spark.createDataFrame([(50, k) for k in range(4)], "n bigint, k bigint").select("k", quality_rules.binomial_tail(F.col("n"), F.col("k"), 0.1).alias("p")).collect()
+
+    sizes = [1, 5, 29, 50, 304, 305, 400]
+    made = spark.createDataFrame([(n,) for n in sizes], "n bigint").select("n", quality_rules.allowed_rejections(F.col("n"), risk, F.lit(level)).alias("k")).collect()
+    p = Fraction(risk)
     for r in made:
-        assert r.p == pytest.approx(sum(comb(50, j) * 0.1**j * 0.9 ** (50 - j) for j in range(r.k + 1)))
+        tail, k = Fraction(0), -1
+        for j in range(r.n + 1):
+            tail += comb(r.n, j) * p**j * (1 - p) ** (r.n - j)
+            if tail > Fraction(level):
+                break
+            k = j
+        assert r.k == k, r.n
+
+
+def test_cutoffs_keep_their_promise_on_documents_not_used(spark):
+    """Uniform scores: a cutoff rejects 1 - cut of all good documents, which may be over the risk in hardly any stratum."""
+    rng = random.Random(21)
+    labelled = [(f"s{k}", rng.random()) for k in range(60) for _ in range(900)] + [("few", rng.random()) for _ in range(200)] + [("fewer", rng.random()) for _ in range(250)]
+    strata, common = quality_rules.certified_cutoffs(spark.createDataFrame(labelled, "stratum string, score double"), "stratum", 0.02, 0.05)
+    by = {r.stratum: r for r in strata.collect()}
+    assert all(by[f"s{k}"].group == f"s{k}" and 1 - by[f"s{k}"].cut <= 0.02 for k in range(60)) and max(1 - by[f"s{k}"].cut for k in range(60)) > 0.004
+    small_scores = sorted((v for s, v in labelled if s.startswith("few")), reverse=True)
+    assert by["few"].group is by["fewer"].group is None
+    assert by["few"].cut == by["fewer"].cut == common.first().cut == small_scores[0]
+    none, nothing = quality_rules.certified_cutoffs(spark.createDataFrame([("a", 0.5)] * 20, "stratum string, score double"), "stratum")
+    assert [r.cut for r in none.collect()] == [None] and nothing.count() == 0
+
+
+def test_cutoffs_act_and_rank_ties_alike(spark):
+    """Scores tie at the cut; equal scores are kept or rejected together, and never more than allowed."""
+    scores = [0.0] * 700 + [0.5] * 200 + [0.9] * 3
+    strata, _ = quality_rules.certified_cutoffs(spark.createDataFrame([("en", v) for v in scores], "stratum string, score double"), "stratum", 0.02, 0.05)
+    row = strata.first()
+    assert row.group == "en" and row.cut == 0.5
 
 
 def test_url_rules(spark):

@@ -209,6 +209,24 @@ def test_url_rules(spark):
     assert {r.verdict for r in made if r.rule is None} == {"allow"}
 
 
+@pytest.mark.parametrize("block", [1, 3, 50, 512])
+def test_url_sweep_equals_every_rule_on_every_url(spark, block):
+    """Nested and overlapping rules over a few hosts, one of them hot; names that begin alike; empty labels and paths."""
+    rng = random.Random(block)
+    hosts = ["com", "org", "organic", "a.com", "b.a.com", "ba.com", "x.org", "a..org", "com.org", ""]
+    paths = ["", "/", "/a", "/a/", "/a/b", "/ab", "/a/b/c", "/é", "."]
+    rules = [(rng.choice(["allow", "block"]), rng.choice(hosts[:-1]), rng.choice(paths)) for _ in range(25)] + [("block", None, "/"), ("allow", "org", None)]
+    urls = [(k, f"x://{'A.com' if k % 3 == 0 else rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', '?q', '#f'])}") for k in range(300)] + [(300, None), (301, "a.com/a")]
+    parts = spark.createDataFrame(urls, "page_id long, url string").select("page_id", url_rules.url_host(F.col("url")).alias("host"), url_rules.url_path(F.col("url")).alias("path"))
+    got = {(r.host, r.path): (r.rule, r.verdict) for r in url_rules.matched_urls(parts, url_rules.rule_rows(spark, rules), block).collect()}
+    want = {}
+    for r in parts.collect():
+        fits = [(len(h + (p or "")), v == "block", h + (p or ""), v) for v, h, p in rules if h is not None and (r.host == h or r.host.endswith("." + h)) and r.path.startswith(p or "")]
+        if fits and r.host:
+            want[r.host, r.path] = max(fits)[2:]
+    assert got == want
+
+
 def test_mixing_follows_the_weights(spark):
     table = spark.createDataFrame([(k, "x" * 10, "big" if k % 10 else "small", 5) for k in range(20_000)], "doc_id bigint, text string, source string, copy int")
     made = mixing.mixed(table, {"small": 3.0}, 1.0)

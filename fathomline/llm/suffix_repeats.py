@@ -16,8 +16,9 @@ many times over, so only suffixes that can repeat are sorted:
 3. Removal. Settled contexts and repeated strings are applied to the texts.
 
 Hashes of 64 bits decide in step 1, compared bytes in step 2. What one task receives for
-an anchor is bounded: equal contexts are reduced to one per chunk of documents, and an
-anchor with many different contexts in a chunk is dealt by context, then by string.
+an anchor is one row per context and chunk of documents: further equal contexts of a chunk
+are settled there and dealt by text, and an anchor with many different contexts in a chunk
+is dealt by context, then by string.
 """
 
 from __future__ import annotations
@@ -212,7 +213,8 @@ def anchor_rows(batches, buckets: int):
         group = np.cumsum(new_gram) - 1
         many = (np.bincount(group, weights=new) >= MANY_CONTEXTS)[group]
         mark = np.where(doc > lowest, 1, np.where(many, 2, 0)).astype(np.uint8)
-        bucket = np.where(mark == 2, context, gram) % np.uint64(buckets)
+        # what a chunk has settled is compared with nothing any more: it is dealt by its text, not by its gram
+        bucket = np.where(mark == 1, _part(doc, row, buckets).astype(np.uint64), np.where(mark == 2, context, gram) % np.uint64(buckets))
         note = np.flatnonzero(new_gram & many)
         bucket = np.r_[bucket, gram[note] % np.uint64(buckets)]
         small = (np.r_[gram, gram[note]] // np.uint64(buckets)).astype(np.uint32)

@@ -75,6 +75,25 @@ def test_suffix_repeats_between_single_and_repeated_ids(spark):
         assert got == repeats_brute(pairs)
 
 
+def test_a_common_line_fills_no_bucket(monkeypatch):
+    """A line in each third document: what its anchors add to one bucket follows the chunks, not the documents."""
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+
+    rng = random.Random(4)
+    line = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(30))
+    over = []
+    for n in (1500, 6000):
+        texts = [" ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(20)) + ("\n" + line if k % 3 == 0 else "") for k in range(n)]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([0] * n, pa.int64()), pa.array([zstandard.compress(t.encode()) for t in texts])], ["doc_id", "row", "raw"])
+        sizes = np.zeros(64, np.int64)
+        for made in suffix_repeats.anchor_rows([batch], 64):
+            sizes[made.column("bucket")[0].as_py()] += len(suffix_repeats._spread(made.column("marks")[0].as_py(), np.uint8))
+        over.append(int(sizes.max() - np.median(sizes)) / n)
+    assert over[1] < 0.05 and over[1] < over[0] + 0.01
+
+
 def simhash_brute(pairs):
     prints = []
     for i, t in pairs:

@@ -6,8 +6,9 @@ Items are put into size classes (powers of two). The MinHash sketch of an item i
 smallest shingle hashes; their number follows from the class's largest size, so that an
 item with containment of at least the threshold shares at least one sketch value: fewer
 shingles may be missing than the sketch holds. So the search loses nothing. A document
-looks up its shingle hashes among the sketches of all classes it is large enough for;
-candidates are verified by exact shingle containment, as text.
+looks up its shingle hashes among the sketch values of all classes: first by the value and
+the smallest number of shingles that goes with it, then, where one is found, by the items
+it is large enough for. Candidates are verified by exact shingle containment, as text.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from fathomline.session import written
 WIDTH = 5
 CONTAINMENT = 0.8
 WORDS = r"[\p{L}\p{N}]+"
+# Sketch values (two numbers each) that may be broadcast to sort out shingles; more are joined by a shuffle.
+FILTER_VALUES = 500_000
 
 
 def norm_words(text: Column) -> Column:
@@ -75,19 +78,25 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = WIDTH, conta
     sketches = written(item_sketches(items, width, containment), "item_sketches")
     texts = fenced(docs.select("doc_id", "text"), {"_w": norm_words(F.col("text"))}).select("doc_id", "_w")
     hashed = fenced(texts, {"_h": _hashes(F.col("_w"), width)}).select("doc_id", F.size("_h").alias("_size"), F.explode("_h").alias("_k"))
-    found = hashed.join(small(sketches.select("item_id", "n_item", "_k")), "_k").where(F.col("_size") >= needed(F.col("n_item"), containment))
+    # The values of all classes with the smallest item that has them, numbers alone, sort out nearly all shingles before any is shuffled.
+    values = sketches.groupBy("_k").agg(F.min(needed(F.col("n_item"), containment)).alias("_least"))
+    near = hashed.join(small(written(values, "sketch_values"), FILTER_VALUES), "_k").where(F.col("_size") >= F.col("_least")).select("doc_id", "_size", "_k").distinct()
+    found = near.join(sketches.select("item_id", "n_item", "_k"), "_k").where(F.col("_size") >= needed(F.col("n_item"), containment))
     pairs = written(found.select(F.col("doc_id").alias("_doc"), F.col("item_id").alias("_item")).distinct(), "candidate_pairs")
 
-    # Exact step: only candidate documents are read again, and their words stay one array.
-    item_sets = sketches.select("item_id", "n_item", "item_shingles").dropDuplicates(["item_id", "item_shingles"])
-    wanted = pairs.join(item_sets, F.col("_item").eqNullSafe(F.col("item_id"))).groupBy("_doc").agg(
-        F.collect_list(F.struct("item_id", "n_item", "item_shingles")).alias("_items"))
-    near = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")))
-    own = fenced(near.select("doc_id", "_items", "text"), {"_w": norm_words(F.col("text"))}).select("doc_id", "_items", "_w")
-    sets = fenced(own, {"_s": F.array_distinct(shingles(F.col("_w"), width))})
-    shared = sets.select("doc_id", F.explode(F.transform("_items", lambda i: F.struct(
-        i["item_id"].alias("item_id"), i["n_item"].alias("n_item"), F.size(F.array_intersect(F.col("_s"), i["item_shingles"])).alias("n_shared")))).alias("p")).select("doc_id", "p.*")
-    return shared.where(F.col("n_shared") >= needed(F.col("n_item"), containment)).groupBy("doc_id", "item_id").agg(
+    # Exact step: each candidate pair asks for the item's shingles, as text, one row each; the documents of pairs are read again.
+    sets = sketches.select("item_id", "n_item", "item_shingles").dropDuplicates(["item_id", "item_shingles"]).withColumn("_set", F.xxhash64("item_shingles"))
+    item_rows = written(sets.select("item_id", "n_item", "_set", F.explode("item_shingles").alias("_shingle")), "item_shingles")
+    wanted = pairs.join(item_rows, F.col("_item").eqNullSafe(F.col("item_id"))).select("_doc", "item_id", "n_item", "_set", "_shingle")
+    doc_ids = pairs.select("_doc").distinct()
+    own = docs.select("doc_id", "text").join(small(doc_ids), F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
+    own = fenced(own.select("doc_id", F.xxhash64("text").alias("_text"), "text"), {"_w": norm_words(F.col("text"))}).select("doc_id", "_text", "_w")
+    held = own.select("doc_id", "_text", F.explode(F.array_distinct(shingles(F.col("_w"), width))).alias("_own"))
+    # only shingles of some item leave their document
+    held = held.join(small(item_rows.select(F.col("_shingle").alias("_own")).distinct(), FILTER_VALUES // 8), "_own", "left_semi")
+    shared = held.join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_shingle")))
+    counts = shared.groupBy("doc_id", "_text", "item_id", "_set").agg(F.any_value("n_item").alias("n_item"), F.countDistinct("_own").alias("n_shared"))
+    return counts.where(F.col("n_shared") >= needed(F.col("n_item"), containment)).groupBy("doc_id", "item_id").agg(
         F.max("n_item").cast("long").alias("n_item"), F.max("n_shared").cast("long").alias("n_shared"))
 
 

@@ -22,7 +22,7 @@ def page_payloads(t):
 
 @query()
 def html_elements(t):
-    rows = markup.element_rows(t.spread("pages", "page_id"), "page_id", "html")
+    rows = markup.element_rows(t.spread("pages", "page_id").select("page_id", "html"), "page_id", "html")
     return rows.groupBy("element_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("content")).alias("chars"),
                                             F.countDistinct("page_id").alias("pages"))
 

@@ -31,24 +31,14 @@ def attach_groups(
     cold = groups.where(F.col(count_col) <= hot_rows).select(
         *keys, packed.alias("_cold"), F.lit(0).cast("long").alias("_spread")
     )
+    # a NULL key has no group, so its rows need not meet anywhere
+    alone = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)) | F.col("_hot").isNotNull()
     marked = facts.join(F.broadcast(hot), keys, "left").withColumn(
         "_spread",
-        F.when(F.col("_hot").isNull(), F.lit(0).cast("long")).otherwise(
-            F.pmod(F.xxhash64(*row_key), F.lit(SPREAD)) + 1
-        ),
+        F.when(alone, F.pmod(F.xxhash64(*row_key), F.lit(SPREAD)) + 1).otherwise(F.lit(0).cast("long")),
     )
     joined = marked.join(cold, [*keys, "_spread"], "left")
     found = F.coalesce("_hot", "_cold")
     return joined.select(
         *facts.columns, *[found[v].alias(v) for v in values], found[count_col].alias(count_col)
     )
-
-
-def salted_distinct_count(df: DataFrame, keys: list[str], value: Column, alias: str) -> DataFrame:
-    """Exact distinct count per key in two steps: rows per (key, value), then per key.
-
-    The first grouping shuffles on key *and* value, so a hot key is spread; the
-    second only counts partial rows, combined before its shuffle.
-    """
-    pairs = df.select(*keys, value.alias("_v")).distinct()
-    return pairs.groupBy(*keys).agg(F.count("_v").alias(alias))

@@ -75,13 +75,6 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fathomline/{name}/{uuid.uuid4().hex}"
 
 
-def checkpointed(spark: SparkSession, df):
-    """Cut lineage through the shared folder, surviving executor loss."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint()
-
-
 def written(df, name: str):
     """``df`` as a table in the shared folder: computed once, safe when executors are lost."""
     path = run_dir(df.sparkSession, name)

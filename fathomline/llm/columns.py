@@ -9,12 +9,13 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fathomline.operators.numbering import row_numbers
 from fathomline.session import written
 
 WORD = r"[^\x20\x09-\x0D]+"
 # A derived table of at most this many rows may be broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 20_000
+# Copies of a row that one task makes; more are dealt out.
+COPIES_PER_TASK = 1_000
 
 
 def words(text: Column) -> Column:
@@ -75,22 +76,22 @@ def in_order(df: DataFrame, columns: list[str], *added: str) -> DataFrame:
 
 
 def with_occurrences(rows: DataFrame) -> DataFrame:
-    """``rows`` of ``packed(docs, "text")`` with ``occurrence``: 0 for an id that stands once, else a number from 1.
+    """``rows`` of ``packed(docs, "text")`` with ``occurrence``, which numbers equal rows from 1.
 
-    Rows of one id are numbered by their texts and other columns, so the number does not
-    depend on files or partitions; equal rows may change places. A null id is an id like any
-    other. Only rows of repeated ids are sorted, over all tasks however many one id has.
+    Without equal rows, which hashes tell, nothing moves. Else equal rows are counted, combined
+    before the shuffle, and made again by their count; many copies of one row are made in
+    tasks that each make as many as the square root of them.
     """
-    doc = F.col("rest")["doc_id"]
-    counts = rows.groupBy(doc.alias("doc")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc")
-    repeated = written(counts, "repeated_ids")
-    if repeated.isEmpty():
-        return rows.withColumn("occurrence", F.lit(0).cast("long"))
-    same = doc.eqNullSafe(F.col("doc"))
-    once = rows.join(repeated, same, "left_anti").withColumn("occurrence", F.lit(0).cast("long"))
-    many = rows.join(repeated, same, "left_semi").withColumns({"doc": doc, "mark": F.xxhash64("text"), "others": F.xxhash64("rest"), "tie": F.rand(7)})
-    numbered = row_numbers(many, ["doc"], [F.col("mark"), F.col("others"), F.col("tie")], "occurrence")
-    return once.union(numbered.select(*once.columns))
+    same = rows.groupBy(F.xxhash64("rest").alias("a"), F.xxhash64("text").alias("b")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if same.isEmpty():
+        return rows.withColumn("occurrence", F.lit(1).cast("long"))
+    counted = rows.groupBy("rest", "text").agg(F.count(F.lit(1)).alias("n"))
+    few = counted.where(F.col("n") <= COPIES_PER_TASK).select("rest", "text", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("occurrence"))
+    step = F.ceil(F.sqrt(F.col("n").cast("double")))
+    dealt = counted.where(F.col("n") > COPIES_PER_TASK).select("rest", "text", "n", step.alias("step"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / step))).alias("part"))
+    first = F.col("part") * F.col("step")
+    many = dealt.repartition(F.xxhash64("text"), "part").select("rest", "text", F.explode(F.sequence(first + 1, F.least("n", first + F.col("step")))).alias("occurrence"))
+    return few.union(many)
 
 
 def shipped(spark: SparkSession, value) -> Callable[[], object]:

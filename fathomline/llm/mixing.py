@@ -3,7 +3,7 @@
 Each source has a target weight. Its repetition rate is the mean number of copies of a
 document that gives the source its share of the mixture. The number of copies is the
 inverse of the Poisson distribution with that mean at a number in [0, 1) made from the
-seed and the document id, so it does not depend on the order of rows or on retries.
+seed, the document id and the text, so it does not depend on the order of rows or on retries.
 Documents are exploded by their count and the copies are put in the order of a second
 seeded hash, which is a global shuffle.
 """
@@ -62,9 +62,9 @@ def mixed(docs: DataFrame, weights: dict[str, float], default: float = 1.0, seed
 
     Adds copy (from 0), rate and order_key; partitions and the rows in them are in the order
     of order_key. ``docs`` needs doc_id, source and text; columns named like the three new
-    ones are replaced, all others pass unchanged. A row whose id stands once is drawn by its
-    id; rows that share an id, null ones too, are drawn each by id, text and their number. A
-    null source is a source of its own, one without bytes has the rate 0, null texts have none.
+    ones are replaced, all others pass unchanged. A row is drawn by its id, its text and, among
+    equal rows, its number, so rows with null or repeated ids are drawn each. A null source is a
+    source of its own, one without bytes has the rate 0, null texts have none.
     """
     docs = docs.drop("copy", "rate", "order_key")
     table = repetition_rates(docs, weights, default, total_ratio)
@@ -75,8 +75,7 @@ def mixed(docs: DataFrame, weights: dict[str, float], default: float = 1.0, seed
     drawn = rows.withColumn("_source", F.coalesce(F.col("rest")["source"].cast("string"), F.lit(""))).join(small(table.select("_source", "rate")), "_source")
 
     def drawn_by(*after: Column, name: str | None = None) -> Column:
-        head = [F.lit(seed), *([F.lit(name)] if name else []), doc, *after]
-        return F.when(F.col("occurrence") == 0, unit_hash(*head)).otherwise(unit_hash(*head, F.md5(text), F.col("occurrence")))
+        return unit_hash(F.lit(seed), *([F.lit(name)] if name else []), doc, *after, F.md5(text), F.col("occurrence"))
 
     counted = drawn.withColumn("n", poisson_inverse(drawn_by(), F.col("rate"))).where("n > 0")
     copies = counted.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))

@@ -38,13 +38,13 @@ def record_bytes(text: Column) -> Column:
 def scattered(docs: DataFrame, seed: int, bucket_bytes: int) -> DataFrame:
     """rest and text of ``packed``, with bucket and key.
 
-    The hash covers the id, the text and the number of a row among those of its id, so
-    equal rows do not meet in one bucket, and files and partitions do not matter.
+    The hash covers the whole row and its number among equal ones, so equal rows do not meet
+    in one bucket, and files and partitions do not matter.
     """
     total = docs.agg(F.sum(record_bytes(F.col("text"))).alias("b")).first()["b"] or 0
     buckets = max(1, -(-total // bucket_bytes))
     rows = with_occurrences(packed(docs, "text"))
-    key = F.xxhash64(F.lit(seed), F.col("rest")["doc_id"], F.coalesce("text", F.lit("")), "occurrence")
+    key = F.xxhash64(F.lit(seed), "rest", F.coalesce("text", F.lit("")), "occurrence")
     return rows.select("rest", "text", key.alias("key")).withColumn("bucket", F.pmod("key", F.lit(buckets)))
 
 

@@ -88,9 +88,11 @@ rates AS (SELECT _source, CASE WHEN n_bytes > 0 THEN (SELECT sum(n_bytes) FROM w
 tables AS (
   SELECT _source, rate, k, sum(exp(-rate + k * ln(rate) - CASE WHEN k > 1 THEN lgamma(k + 1) ELSE 0 END)) OVER (PARTITION BY _source ORDER BY k) AS cdf
   FROM rates, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 24)::BIGINT + 1)) AS u(k) WHERE rate > 0),
-d AS (SELECT doc_id, source, coalesce(source, '') AS _source, coalesce(strlen(text), 0)::BIGINT AS n_bytes, {_unit(str(seed), "coalesce(doc_id::VARCHAR, '')")} AS u FROM documents),
-n AS (SELECT d.doc_id, d.source, d.n_bytes, t.rate, count(*) FILTER (t.cdf <= d.u) AS n FROM d JOIN tables t USING (_source) GROUP BY d.doc_id, d.source, d.n_bytes, t.rate)
-SELECT doc_id, source, round(rate, 9) AS rate, n_bytes, c::INT AS copy, {_unit(str(seed), "'order'", "doc_id", "c")} AS order_key
+o AS (SELECT *, md5(coalesce(text, '')) AS mark, row_number() OVER (PARTITION BY doc_id, text, lang, source, n_chars) AS occurrence FROM documents),
+d AS (SELECT doc_id, source, coalesce(source, '') AS _source, coalesce(strlen(text), 0)::BIGINT AS n_bytes, mark, occurrence,
+             {_unit(str(seed), "coalesce(doc_id::VARCHAR, '')", "mark", "occurrence")} AS u FROM o),
+n AS (SELECT d.doc_id, d.source, d.n_bytes, d.mark, d.occurrence, t.rate, count(*) FILTER (t.cdf <= d.u) AS n FROM d JOIN tables t USING (_source) GROUP BY ALL)
+SELECT doc_id, source, round(rate, 9) AS rate, n_bytes, c::INT AS copy, {_unit(str(seed), "'order'", "coalesce(doc_id::VARCHAR, '')", "c", "mark", "occurrence")} AS order_key
 FROM n, unnest(range(0, n)) AS v(c)
 """
 

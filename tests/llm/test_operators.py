@@ -367,6 +367,15 @@ def test_order_follows_from_seed_and_rows_alone(spark):
     assert keys == sorted(keys)
 
 
+@pytest.mark.parametrize("limit", [3, 1000])
+def test_equal_rows_are_numbered_in_any_number(spark, limit, monkeypatch):
+    monkeypatch.setattr(columns, "COPIES_PER_TASK", limit)
+    data = [(None, "a", 1.5)] * 50 + [(1, None, None)] * 7 + [(1, "b", None), (1, "c", None), (2, "b", 0.0)]
+    rows_ = columns.with_occurrences(columns.packed(spark.createDataFrame(data, "doc_id long, text string, v double").repartition(5), "text")).collect()
+    assert sorted(map(str, ((r.rest.doc_id, r.text, r.occurrence) for r in rows_))) == sorted(map(str, [
+        *[(None, "a", k) for k in range(1, 51)], *[(1, None, k) for k in range(1, 8)], (1, "b", 1), (1, "c", 1), (2, "b", 1)]))
+
+
 def test_mixing_draws_rows_of_null_ids_each(spark):
     docs = spark.createDataFrame([(None, "x" * 10, "a") for _ in range(2000)] + [(None, None, None)], "doc_id long, text string, source string")
     made = mixing.mixed(docs, {}, 1.0).collect()
@@ -378,6 +387,7 @@ def test_sharding_equals_a_plain_two_pass_shuffle(spark):
     import numpy as np
 
     docs = spark.createDataFrame([(k, f"document {k} " * (k % 9)) for k in range(300)], "doc_id long, text string")
+    assert {r.occurrence for r in columns.with_occurrences(columns.packed(docs, "text")).collect()} == {1}
     keyed = sharding.scattered(docs, 42, 800).select("rest.doc_id", "bucket", "key").collect()
     order = []
     for bucket in sorted({r.bucket for r in keyed}):
@@ -519,7 +529,7 @@ def test_pipeline_equals_its_stages_by_hand(spark, tmp_path):
     for r in rows_:
         rate = sum(size.values()) * weight[r[3]] / sum(weight.values()) / size[r[3]] if size[r[3]] else 0.0
         k, p, cdf = 0, exp(-rate), exp(-rate)
-        while cdf <= unit(SEED, r[0]):
+        while cdf <= unit(SEED, r[0], hashlib.md5((r[1] or "").encode()).hexdigest(), 1):
             k += 1
             p *= rate / k
             cdf += p

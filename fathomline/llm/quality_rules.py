@@ -111,7 +111,9 @@ def certified_cutoffs(labelled: DataFrame, stratum: str, risk: float = RISK, err
     strata = written(sizes.withColumn("level", level).withColumn("group", F.when(allowed_rejections(F.col("n"), risk, F.col("level")) >= 0, F.col(stratum))), "quality_strata")
     groups = strata.groupBy("group").agg(F.sum("n").alias("n"), F.any_value("level").alias("level"))
     allowed = groups.select(F.col("group").alias("_group"), "n", allowed_rejections(F.col("n"), risk, F.col("level")).alias("k")).where("k >= 0")
-    ranked = row_numbers(labelled.join(small(strata.select(stratum, "group")), stratum).select("group", "score"), ["group"], [F.desc("score")], "place")
+    # equal scores may change places; the tie only keeps them from one task
+    grouped = labelled.join(small(strata.select(stratum, "group")), stratum).select("group", "score", F.rand(1).alias("tie"))
+    ranked = row_numbers(grouped, ["group"], [F.desc("score"), F.col("tie")], "place")
     cuts = written(ranked.join(small(allowed), F.col("group").eqNullSafe(F.col("_group")) & (F.col("place") == F.col("k") + 1)).select("group", F.col("score").alias("cut")), "quality_cutoffs")
     named = cuts.select(F.col("group").alias("_group"), "cut")
     return strata.join(named, F.col("group").eqNullSafe(F.col("_group")), "left").select(stratum, "group", "n", "cut"), cuts.where("group IS NULL").select("cut")

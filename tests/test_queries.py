@@ -33,3 +33,12 @@ def test_every_oracle_has_a_query():
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_sent_values_of_mails_with_an_html_body(spark, sf_dir):
+    """Every mail that forwards another one gives a Sent value, HTML-only mails of each fifth conversation included."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn")
+    forwards = {r.conv_id * 2**32 + r.turn for r in turns.join(turns.selectExpr("conv_id", "turn + 1 AS turn"), ["conv_id", "turn"]).collect()}
+    got = [r.pk_seq for r in QUERIES["sent_values"](spark, sf_dir).collect()]
+    assert sorted(got) == sorted(forwards)
+    assert any(pk // 2**32 % 5 == 0 for pk in got)

@@ -74,7 +74,7 @@ SELECT quantile_disc(l_quantity, 0.5) AS l_quantity_p50, quantile_disc(l_quantit
        MAX(l_extendedprice) AS l_extendedprice_max FROM lineitem
 """)
 def num_profile(t):
-    return ag.num_profile(t.lineitem, ["l_quantity", "l_extendedprice"], accuracy=1_000_000)
+    return ag.num_profile(t.lineitem, ["l_quantity", "l_extendedprice"])
 
 
 @query("""

@@ -300,3 +300,16 @@ def test_seed_rows_and_view_specs(spark):
     assert contracts.view_from_spec(seeds, [("upper(name)", "n")]).columns == ["n"]
     with pytest.raises(ValueError):
         contracts.view_from_spec(seeds, [("id", "n"), ("name", "n")])
+
+
+def test_num_profile_is_exact_with_a_small_sketch(spark):
+    """Places of shares are those of the sorted values, with NULLs, ties and columns of several types."""
+    values = [(i * 7919 % 60_013, None if i % 3 == 0 else i % 50, i / 7) for i in range(60_013)]
+    df = spark.createDataFrame(values, "a long, b int, c double").repartition(8)
+    out = ag.num_profile(df, ["a", "b", "c"])
+    got = out.first()
+    for k, c in enumerate("abc"):
+        solid = sorted(v[k] for v in values if v[k] is not None)
+        assert [got[f"{c}_p50"], got[f"{c}_p95"], got[f"{c}_max"]] == [solid[-(-len(solid) // 2) - 1], solid[-(-len(solid) * 19 // 20) - 1], solid[-1]]
+    assert [t for _, t in out.dtypes] == ["bigint"] * 3 + ["int"] * 3 + ["double"] * 3
+    assert ag.num_profile(df.where("a < 0"), ["a"]).collect() == [(None, None, None)]

@@ -18,10 +18,14 @@ def configure(spark: SparkSession) -> SparkSession:
     """Settings of the library, and shuffle files deleted once their result is written.
 
     The operators write intermediate tables to the shared folder, so the shuffles behind
-    them are not read again; a large job would otherwise keep them all until it ends.
+    them are not read again; a large job would otherwise keep them all until it ends. Their
+    Python steps work on arrays, so they take Spark's own batches.
     """
+    session.configure(spark)
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    return session.configure(spark)
+    for key in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"):
+        spark.conf.unset(key)
+    return spark
 
 
 def query(sql: str | None = None):

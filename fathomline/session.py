@@ -26,6 +26,9 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # What a Python worker holds at once is bounded by rows and by bytes, whatever the size of the table.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 

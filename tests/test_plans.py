@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from fathomline import session
 
 QUERIES = entry.queries()
 JOB_WRITES = {"sink_append", "sink_insert_overwrite", "replace_day", "stream_upsert", "stream_dedup", "binary_scan", "csv_strict_roundtrip",
@@ -47,3 +50,26 @@ def test_checks_and_profile_read_each_table_once(spark, sf_dir):
         for table, n in scans.items():
             assert plan.count(f"/{table}.parquet]") <= n + reused, (name, table)
     assert plan_of(QUERIES["quality_checks"](spark, sf_dir)).count("FileScan") == 4
+
+
+def test_profile_needs_no_large_sketch(spark, sf_dir):
+    assert "1000000" not in plan_of(QUERIES["num_profile"](spark, sf_dir))
+
+
+def test_python_batches_are_bounded(spark):
+    """Rows and bytes that a Python worker gets at once do not grow with the table."""
+    session.configure(spark)
+
+    def sizes(batches):
+        for b in batches:
+            yield pd.DataFrame({"n": [len(b)], "size": [int(b["t"].str.len().sum())]})
+
+    for width, rows in ((10, 4_000), (20_000, 2_000)):
+        seen = spark.range(0, rows, 1, 1).select(F.repeat(F.lit("x"), F.lit(width)).alias("t")).mapInPandas(sizes, "n long, size long").collect()
+        assert sum(r.n for r in seen) == rows
+        assert max(r.n for r in seen) <= 1_000 and max(r.size for r in seen) <= 5_000_000
+
+
+@pytest.mark.parametrize("name, workers", [("segment_rows", 3), ("clean_mail", 3)])
+def test_a_mail_passes_few_python_workers(spark, sf_dir, name, workers):
+    assert plan_of(QUERIES[name](spark, sf_dir)).count("ArrowEvalPython") <= workers

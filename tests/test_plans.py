@@ -73,3 +73,8 @@ def test_python_batches_are_bounded(spark):
 @pytest.mark.parametrize("name, workers", [("segment_rows", 3), ("clean_mail", 3)])
 def test_a_mail_passes_few_python_workers(spark, sf_dir, name, workers):
     assert plan_of(QUERIES[name](spark, sf_dir)).count("ArrowEvalPython") <= workers
+
+
+def test_header_rewrite_cleans_a_text_once(spark, sf_dir):
+    """The filter on the cleaned text must not compute it a second time."""
+    assert plan_of(QUERIES["header_rewrite"](spark, sf_dir)).count("ArrowEvalPython [_flattened") == 1

@@ -7,6 +7,7 @@ import random
 import re
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -269,3 +270,21 @@ def test_windows_skip_missing_months(spark):
                                 "app string, month_start date, cutoff date")
     got = {r.month_start.month: (r.window_start, r.window_end, r.basis) for r in labels.period_windows(cut).collect()}
     assert got == {1: (d(2023, 12, 26), d(2024, 1, 20), "submitted_at"), 2: (d(2024, 1, 21), d(2024, 2, 25), "fixed_day"), 3: (d(2024, 1, 21), d(2024, 3, 22), "submitted_at")}
+
+
+def test_pages_reach_the_extraction_in_small_batches(spark, monkeypatch):
+    """3,000 pages of one partition are never one batch; all are read."""
+    from fathomline import session
+
+    session.configure(spark)
+    seen = spark.sparkContext.accumulator(0)
+    plain = pd.DataFrame
+
+    def counted(rows, columns):
+        seen.add(1)
+        return plain(rows, columns=columns)
+
+    monkeypatch.setattr(markup, "pd", type("P", (), {"DataFrame": staticmethod(counted)}))
+    pages = spark.range(0, 3_000, 1, 1).select(F.col("id").alias("page_id"), F.lit("<p>some text</p>").alias("html"))
+    assert markup.payloads(markup.element_rows(pages, "page_id", "html"), "page_id").count() == 3_000
+    assert seen.value >= 3

@@ -78,3 +78,12 @@ def test_a_mail_passes_few_python_workers(spark, sf_dir, name, workers):
 def test_header_rewrite_cleans_a_text_once(spark, sf_dir):
     """The filter on the cleaned text must not compute it a second time."""
     assert plan_of(QUERIES["header_rewrite"](spark, sf_dir)).count("ArrowEvalPython [_flattened") == 1
+
+
+def test_document_text_takes_bounded_batches(spark, sf_dir):
+    """The query itself sets the bounds, whatever the session had before."""
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+    QUERIES["document_text"](spark, sf_dir)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == 1_000
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").startswith("4")

@@ -49,24 +49,33 @@ def trigram_counts(text: str, bins: int = BINS) -> np.ndarray:
 
 
 def vectors(texts: list[str], idf: np.ndarray) -> np.ndarray:
-    x = np.stack([trigram_counts(t, len(idf)) for t in texts]) * idf
-    norm = np.linalg.norm(x, axis=1, keepdims=True)
-    return x / np.where(norm > 0, norm, 1)
-
-
-def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
-    """Unit centroids; starts from the mean direction and then the farthest texts."""
-    start = x.mean(axis=0)
-    centres = [start / max(np.linalg.norm(start), 1e-12)]
-    for _ in range(min(k, len(x)) - 1):
-        centres.append(x[np.argmin((x @ np.stack(centres).T).max(axis=1))])
+    """Unit vectors of texts, made row by row: nothing else of their size is held."""
+    x = np.empty((len(texts), len(idf)), np.float32)
+    for row, t in zip(x, texts):
+        np.multiply(trigram_counts(t, len(idf)), idf, out=row)
+        norm = np.sqrt(np.add.reduce(row * row))
+        row /= norm if norm > 0 else 1
+    return x
+
+
+def _direction(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Unit mean of the ``rows`` (a mask) of ``x``, which are not copied."""
+    mean = np.add.reduce(x, axis=0, where=rows[:, None]) / np.float32(rows.sum())
+    return mean / max(np.linalg.norm(mean), 1e-12)
+
+
+def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, rows: np.ndarray | None = None) -> np.ndarray:
+    """Unit centroids of the ``rows`` (a mask) of ``x``; starts from the mean direction and then the farthest texts."""
+    rows = np.ones(len(x), bool) if rows is None else rows
+    centres = [_direction(x, rows)]
+    for _ in range(min(k, int(rows.sum())) - 1):
+        centres.append(x[np.argmin(np.where(rows, (x @ np.stack(centres).T).max(axis=1), np.inf))])
     c = np.stack(centres)
     for _ in range(rounds):
-        nearest = (x @ c.T).argmax(axis=1)
+        nearest = np.where(rows, (x @ c.T).argmax(axis=1), -1)
         for j in range(len(c)):
             if (nearest == j).any():
-                mean = x[nearest == j].mean(axis=0)
-                c[j] = mean / max(np.linalg.norm(mean), 1e-12)
+                c[j] = _direction(x, nearest == j)
     return c
 
 
@@ -82,7 +91,7 @@ def reject_limits(texts: list[str], x: np.ndarray, c: np.ndarray) -> np.ndarray:
     for k in np.unique(part):
         out = part == k
         if not out.all():
-            reach[out] = (x[out] @ spherical_kmeans(x[~out], len(c)).T).max(axis=1)
+            reach[out] = (x @ spherical_kmeans(x, len(c), rows=~out).T).max(axis=1)[out]
             seen |= out
     nearest, limits = (x @ c.T).argmax(axis=1), np.zeros(len(c))
     for j in range(len(c)):

@@ -19,12 +19,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
     The operators write intermediate tables to the shared folder, so the shuffles behind
     them are not read again; a large job would otherwise keep them all until it ends. Their
-    Python steps work on arrays, so they take Spark's own batches.
+    Python steps work on arrays, so they take Spark's own number of rows; the bytes of a
+    batch stay bounded, as texts beside the model of a worker and the heap must fit.
     """
     session.configure(spark)
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    for key in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"):
-        spark.conf.unset(key)
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     return spark
 
 

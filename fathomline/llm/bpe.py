@@ -22,7 +22,8 @@ import json
 import os
 import re
 import unicodedata
-from itertools import chain
+from collections import defaultdict
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ LAST_LATIN = 0x24F
 def read_definition(path: str) -> str:
     """The tokenizer's definition, read on the driver and sent to the executors, which need no file.
 
-    Only byte-level BPE without normaliser, dropout or affixes, with plain added tokens, is accepted.
+    Only byte-level BPE over all bytes, without normaliser, dropout or affixes, with plain added tokens, is accepted.
     """
     with open(path, encoding="utf-8") as file:
         text = file.read()
@@ -55,7 +56,7 @@ def read_definition(path: str) -> str:
     model, split = made["model"], made["pre_tokenizer"] or {}
     plain = all(not t[k] for t in made["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
     kind = (model["type"], split.get("type"), split.get("use_regex"), split.get("add_prefix_space"), made["normalizer"])
-    if kind != ("BPE", "ByteLevel", True, False, None) or not plain or any(
+    if kind != ("BPE", "ByteLevel", True, False, None) or not plain or not set(byte_letters()) <= model["vocab"].keys() or any(
             model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
         raise ValueError(f"not a plain byte-level BPE: {path}")
     return text
@@ -121,7 +122,7 @@ class Codec:
             self.bytes[i] = self.added[i].encode() if i in self.added else bytes(byte_of[c] for c in token)
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
         self.latin, self.pieces = latin_pieces()
-        self.known: dict[str, list[int]] = {}
+        self._forget()
         self.special = np.zeros(len(self.bytes), bool)
         self.special[list(self.added)] = True
 
@@ -147,16 +148,10 @@ class Codec:
         """Tokens of each text. Latin texts are cut here and each different piece is merged once; all others go to the library whole."""
         plain = [bool(self.latin.fullmatch(t)) and not any(c in t for c in self.added.values()) for t in texts]
         cut = [self.pieces.findall(t) for t, ok in zip(texts, plain) if ok]
-        every = list(chain.from_iterable(cut))
         if len(self.known) > KNOWN_PIECES:
-            self.known.clear()
-        new = list(set(every) - self.known.keys())
-        merged = self.merges.encode_batch_fast([p.encode().decode("latin-1").translate(self.letters) for p in new], add_special_tokens=False)
-        self.known.update(zip(new, (e.ids for e in merged)))
-        found = list(map(self.known.__getitem__, every))
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
+            self._forget()
+        sizes, ids = self._tokens(list(chain.from_iterable(cut)))
         ends = np.cumsum(sizes)
-        ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
         first = np.zeros(len(ids), bool)
         first[ends - sizes] = True
         stops = np.concatenate([[0], ends])[np.cumsum([0, *map(len, cut)])].tolist()
@@ -164,6 +159,27 @@ class Codec:
         others = iter(self.tokenizer.encode_batch([t for t, ok in zip(texts, plain) if not ok], add_special_tokens=False))
         return [next(made) if ok else self._of_library(next(others)) for ok in plain]
 
+    def _forget(self):
+        """No piece is known: a new one gets the next number, by which its tokens lie in ``held`` from ``starts`` on."""
+        self.known: dict[str, int] = defaultdict(count().__next__)
+        self.starts, self.held = np.zeros(1, np.int64), np.zeros(0, np.int32)
+
+    def _tokens(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of tokens of each piece, and all tokens. Different pieces that are not known are merged once, in one call.
+
+        A piece begins where its bytes begin, so the lengths of the tokens tell whose they are.
+        """
+        before = len(self.known)
+        number = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        if new := list(islice(reversed(self.known), len(self.known) - before))[::-1]:
+            # Latin pieces hold no zero byte: it divides them while their bytes become letters
+            spelled = "\0".join(new).encode().decode("latin-1").translate(self.letters).split(self.letters[0])
+            ids = np.array(self.merges.encode_batch_fast([spelled], is_pretokenized=True, add_special_tokens=False)[0].ids, np.int32)
+            ends = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(np.fromiter(map(len, spelled), np.int64, len(spelled))), "right")
+            self.starts, self.held = np.concatenate([self.starts, len(self.held) + ends]), np.concatenate([self.held, ids])
+        start, sizes = self.starts[number], np.diff(self.starts)[number]
+        return sizes, self.held[np.arange(sizes.sum()) + np.repeat(start - np.cumsum(sizes) + sizes, sizes)]
+
     @staticmethod
     def _of_library(encoding) -> Segment:
         word = np.array(encoding.word_ids, np.int64)

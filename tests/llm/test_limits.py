@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
 import tracemalloc
 
 import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
 
-from fathomline.llm import language_id, registry
+from fathomline.llm import bpe, language_id, registry
 
 
 def test_language_fit_holds_its_vectors_once():
@@ -33,3 +36,26 @@ def test_language_fit_holds_its_vectors_once():
 def test_batches_of_the_operators_are_bounded_in_bytes(spark):
     registry.configure(spark)
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").startswith("4")
+
+
+def test_new_pieces_go_to_the_library_in_one_call(monkeypatch):
+    """Each different piece once, all of a slice in one sequence; tokens are those of the whole text, also after the memory starts anew."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, codec, calls = Tokenizer.from_file(path), bpe.Codec(bpe.read_definition(path)), []
+    merges = codec.merges
+
+    class Counted:
+        def encode_batch_fast(self, rows, **options):
+            calls.append(rows)
+            return merges.encode_batch_fast(rows, **options)
+
+    codec.merges = Counted()
+    monkeypatch.setattr(bpe, "KNOWN_PIECES", 30)
+    rng = random.Random(3)
+    words = ["the", "cat's", "né", "12", "?!", "a-b", "Ünder", "xqzv", "\n\n", "  "]
+    for _ in range(20):
+        texts = [" ".join(rng.choice(words) + rng.choice(["", str(rng.randrange(50))]) for _ in range(40)) for _ in range(5)] + [""]
+        made = codec.segments(texts)
+        assert [s.ids.tolist() for s in made] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert all(s.first.sum() == len(codec.pieces.findall(t)) for s, t in zip(made, texts))
+    assert len(calls) <= 20 and all(len(rows) == 1 for rows in calls)

@@ -62,14 +62,17 @@ def shown_items(outgoing: DataFrame, row_key: list[str], items: DataFrame, cell:
     named = items.withColumns({"value": F.replace("value", F.lit(","), F.lit("")), "unit": F.lower(tx.squeeze(F.col("unit")))})
     extra = [c for c in items.columns if c not in {*cell, "value", "unit"}]
     secret = written(named.where((F.col("unit") != "") | (F.length("value") >= 2)), "confidential_items")
-    # Distinct lengths only: as many numbers as the longest unit has characters, at most.
-    lengths = sorted(r[0] for r in secret.select(F.length("unit")).distinct().collect() if r[0])
+    # Distinct lengths only: as many numbers as the longest unit has characters, at most; and whether a value is points alone.
+    shapes = secret.select(F.length("unit").alias("k"), F.col("value").rlike(r"^\.+$").alias("bare")).distinct().collect()
+    lengths = sorted({r.k for r in shapes if r.k})
+    # Most runs of a prose text are full stops. Where no value is points alone, only runs with a digit can show one.
+    run = r"[\p{Nd}.]+" if any(r.bare for r in shapes) else r"(?<![\p{Nd}.])\.*+\p{Nd}[\p{Nd}.]*+"
     plain = outgoing.select(*row_key, *cell, F.lower(F.replace(tx.squeeze(F.col(text)), F.lit(","), F.lit(""))).alias("_t"))
-    beside = r"[\p{Nd}.]+(?= *(.{0,%d}))" % (lengths[-1] if lengths else 0)
+    beside = run + r"(?= *(.{0,%d}))" % (lengths[-1] if lengths else 0)
     after = F.regexp_extract_all("_t", F.lit(beside), F.lit(1))
     before = F.transform(F.reverse(F.regexp_extract_all(F.reverse("_t"), F.lit(beside), F.lit(1))), F.reverse)
     runs = plain.select(*row_key, *cell, F.explode(F.arrays_zip(
-        F.regexp_extract_all("_t", F.lit(r"[\p{Nd}.]+"), F.lit(0)).alias("value"), after.alias("after"), before.alias("before"))).alias("_r"))
+        F.regexp_extract_all("_t", F.lit(run), F.lit(0)).alias("value"), after.alias("after"), before.alias("before"))).alias("_r"))
     cuts = [cut for k in lengths for cut in (F.when(F.length("_r.after") >= k, F.left("_r.after", F.lit(k))), F.when(F.length("_r.before") >= k, F.right("_r.before", F.lit(k))))]
     units = F.array_distinct(F.array_compact(F.array(F.lit(""), *cuts)))
     shown = runs.select(*row_key, *cell, F.col("_r.value").alias("value"), F.explode(units).alias("unit")).distinct()

@@ -272,6 +272,19 @@ def test_number_leaks_of_a_source_with_a_third_of_the_rows(spark):
     assert got == sorted(want)
 
 
+def test_number_leaks_skip_full_stops(spark):
+    """A full stop makes no candidate rows unless an item is points alone; what is found is the same."""
+    docs = spark.range(200).select(F.col("id").alias("doc"), F.lit("a").alias("cell"), F.concat(F.repeat(F.lit("Some words. And more... "), F.lit(30)), F.lit("5 kg. x .75 and 1.5. "), "id").alias("t"))
+    items = spark.createDataFrame([("a", "5", "kg"), ("a", ".75", ""), ("a", "1.5.", ""), ("a", "1.5", ""), ("a", "17", "")], "cell string, value string, unit string")
+    dots = spark.createDataFrame([("a", "...", ""), ("a", ".", "and"), ("b", "..", "")], "cell string, value string, unit string")
+    got = matching.shown_items(docs, ["doc"], items, ["cell"], "t")
+    assert rows(got.groupBy("value").count(), "value", "count") == [(".75", 200), ("1.5.", 200), ("17", 1), ("5", 200)]
+    assert rows(matching.shown_items(docs, ["doc"], items.union(dots), ["cell"], "t").groupBy("value").count(), "value", "count") == [
+        (".", 200), ("...", 200), (".75", 200), ("1.5.", 200), ("17", 1), ("5", 200)]
+    plan = got._jdf.queryExecution().analyzed().toString()
+    assert r"\p{Nd}[\p{Nd}.]*+" in plan
+
+
 def test_snapshots_ignore_unfinished_writes(spark, tmp_path):
     table = SnapshotTable(spark, str(tmp_path / "t"))
     table.write(spark.range(3))

@@ -168,6 +168,24 @@ def _batch(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
+def _by_context(doc: np.ndarray, context: np.ndarray, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by gram, then by context, where a new context begins in it, and the smallest document of each row's context.
+
+    Grams and contexts become ranks, so that one number orders both; rows of a context stay in any order.
+    """
+    rank = np.zeros(len(doc), np.int64)
+    for x in (gram, context):
+        order = np.argsort(x)
+        step = np.zeros(len(x), np.int64)
+        step[order[1:]] = x[order[1:]] != x[order[:-1]]
+        step[order] = np.cumsum(step[order])
+        rank = rank << 32 | step
+    order = np.argsort(rank)
+    new = np.ones(len(doc), bool)
+    new[1:] = rank[order[1:]] != rank[order[:-1]]
+    return order, new, np.minimum.reduceat(doc[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+
+
 def _pieces(key: np.ndarray) -> list[tuple[int, int]]:
     """Runs of equal values of a sorted array."""
     if not len(key):
@@ -203,13 +221,11 @@ def anchor_rows(batches, buckets: int):
         made = [(d, k, *anchors(np.frombuffer(zstandard.decompress(r), np.uint8))) for d, k, r in rows]
         doc, row = (np.repeat(np.array([m[i] for m in made], np.int64), [len(m[2]) for m in made]) for i in (0, 1))
         place, gram, context = (np.concatenate([m[i] for m in made]) for i in (2, 3, 4))
-        order = np.lexsort((doc, context, gram))
-        doc, row, place, gram, context = doc[order], row[order], place[order].astype(np.uint32), gram[order], context[order]
         if not len(doc):
             continue
+        order, new, lowest = _by_context(doc, context, gram)
+        doc, row, place, gram, context = doc[order], row[order], place[order].astype(np.uint32), gram[order], context[order]
         new_gram = np.r_[True, gram[1:] != gram[:-1]]
-        new = new_gram | np.r_[True, context[1:] != context[:-1]]
-        lowest = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
         group = np.cumsum(new_gram) - 1
         many = (np.bincount(group, weights=new) >= MANY_CONTEXTS)[group]
         mark = np.where(doc > lowest, 1, np.where(many, 2, 0)).astype(np.uint8)
@@ -280,13 +296,12 @@ def settle(batches, groups: int):
         yield from _outcomes(doc[done], row[done], np.full(int(done.sum()), SETTLED), place[done], groups)
         noted = np.unique(gram[mark == 3])
         use = np.flatnonzero((mark == 0) | (mark == 2))
-        order = use[np.lexsort((doc[use], context[use], gram[use]))]
-        if not len(order):
+        if not len(use):
             continue
+        order, new, lowest = _by_context(doc[use], context[use], gram[use])
+        order = use[order]
         mark, gram, context, doc, row, place = mark[order], gram[order], context[order], doc[order], row[order], place[order]
         new_gram = np.r_[True, gram[1:] != gram[:-1]]
-        new = new_gram | np.r_[True, context[1:] != context[:-1]]
-        lowest = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
         first = np.flatnonzero(new_gram)
         many = np.isin(gram[first], noted)[np.cumsum(new_gram) - 1] | (mark == 2)
         shared = (np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first))[np.cumsum(new_gram) - 1] | many
@@ -308,7 +323,10 @@ def _by_text(batches):
         docs, rows, kinds, places = table
         low, high = np.searchsorted(docs, d), np.searchsorted(docs, d, "right")
         low, high = low + np.searchsorted(rows[low:high], k), low + np.searchsorted(rows[low:high], k, "right")
-        return {x: places[low:high][kinds[low:high] == x] for x in np.unique(kinds[low:high]).tolist()}
+        if low == high:
+            return {}
+        mine, at = kinds[low:high], places[low:high]
+        return {x: at[mine == x] for x in set(mine.tolist())}
 
     for batch in batches:
         for g, d, k, raw, docs, rows, kinds, places in zip(*[batch.column(c).to_pylist() for c in KNOWN_ROWS]):
@@ -336,11 +354,9 @@ def open_strings(n: int, at: np.ndarray, gram: np.ndarray, state: np.ndarray) ->
     near = np.zeros(n + SPAN, bool)
     near[(at[(state == OPEN) | (state == OPEN_MANY)][:, None] - np.arange(SPAN)).ravel()] = True
     start = np.flatnonzero(near[:max(0, n - LENGTH + 1)])
-    before = np.zeros(n + SPAN + 1, np.int64)
-    before[at + 1] = 1
-    before = np.cumsum(before)
-    low, high = before[start], before[start + SPAN]
-    settled = np.r_[0, np.cumsum(state == SETTLED)]
+    low, high = np.searchsorted(at, start), np.searchsorted(at, start + SPAN)
+    settled = np.zeros(len(at) + 1, np.int64)
+    np.cumsum(state == SETTLED, out=settled[1:])
     free = settled[high] == settled[low]
     start, low, high = start[free], low[free], high[free]
     own, step = low.copy(), 1
@@ -463,6 +479,16 @@ def suffix_sort(raw: np.ndarray, p: Prefix, start: np.ndarray, group: np.ndarray
     return order
 
 
+def _alike(key: np.ndarray) -> np.ndarray:
+    """Whether another row has the same key."""
+    order = np.argsort(key)
+    same = key[order[1:]] == key[order[:-1]]
+    out = np.zeros(len(key), bool)
+    out[order[1:]] = same
+    out[order[:-1][same]] = True
+    return out
+
+
 def repeated_strings(batches, groups: int):
     """Step 2, per bucket: starts of strings that a smaller document holds too."""
     for rows in _by_bucket(batches, ["keys", "docs", "rows", "places", "sizes", "offsets", "texts"]):
@@ -480,6 +506,11 @@ def repeated_strings(batches, groups: int):
         group = _mix(np.repeat(key, count) + (np.repeat(offset, count) - step).astype(np.uint64) * _BASE)
         p = Prefix(raw)
         whole = p.part(start, start + LENGTH)
+        # A string whose hash no other of its group has is no repeat; only the others are sorted.
+        alike = _alike(group ^ _mix(whole))
+        doc, row, place, start, group, whole = (x[alike] for x in (doc, row, place, start, group, whole))
+        if not len(start):
+            continue
         order = suffix_sort(raw, p, start, group, whole)
         a, b = order[:-1], order[1:]
         equal = np.zeros(len(a), bool)
@@ -498,8 +529,8 @@ def covered(n: int, contexts: np.ndarray, strings: np.ndarray) -> np.ndarray:
     """Bytes covered by settled contexts and repeated strings."""
     change = np.zeros(n + 1, np.int64)
     contexts, strings = contexts.astype(np.int64), strings.astype(np.int64)
-    np.add.at(change, np.r_[np.maximum(0, contexts - SPAN + 1), strings], 1)
-    np.add.at(change, np.r_[np.minimum(contexts, n - LENGTH) + LENGTH, strings + LENGTH], -1)
+    np.add.at(change, np.concatenate([np.maximum(0, contexts - SPAN + 1), strings]), 1)
+    np.add.at(change, np.concatenate([np.minimum(contexts, n - LENGTH) + LENGTH, strings + LENGTH]), -1)
     return np.cumsum(change[:n]) > 0
 
 
@@ -516,11 +547,15 @@ def removals(batches):
 
     for doc, _, packed, known, _ in _by_text(batches):
         raw = np.frombuffer(zstandard.decompress(packed), np.uint8)
-        gone = covered(len(raw), known.get(SETTLED, NOWHERE), known.get(REPEATED, NOWHERE))
-        edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
         docs.append(doc)
-        spans.append([{"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2])])
-        kept.append(raw[~gone].tobytes())
+        if not known:
+            spans.append([])
+            kept.append(raw.tobytes())
+        else:
+            gone = covered(len(raw), known.get(SETTLED, NOWHERE), known.get(REPEATED, NOWHERE))
+            edges = np.flatnonzero(np.diff(gone, prepend=False, append=False))
+            spans.append([{"start": int(a), "end": int(b)} for a, b in zip(edges[::2], edges[1::2])])
+            kept.append(raw[~gone].tobytes())
         size += len(kept[-1])
         if size >= 8 << 20 or len(docs) >= 5_000:
             yield out()
